@@ -147,3 +147,336 @@ _GOLD_SELECT = ("SELECT purchase_date, product_id, quantity, "
 @register("daily_product_sales", Q.with_(Q.ALL, _GOLD_SELECT))
 def daily_product_sales(spark, sf_dir):
     return edge(layers(spark, sf_dir).gold)
+
+
+# --- F1-F11: generic checks ----------------------------------------------------
+
+from strata.operators import checks as C  # noqa: E402
+from strata.operators import reconcile as R  # noqa: E402
+from strata.plans import suites as U  # noqa: E402
+
+CHECK_COLUMNS = ("check", "table_name", "severity", "result", "affected_rows")
+DIRTY = [Q.BRONZE_ITEMS_DIRTY, Q.SILVER_ITEMS, Q.BRONZE_ORDERS_DIRTY, Q.SILVER_ORDERS]
+ORPHANS = [Q.BRONZE_ITEMS, Q.SILVER_ITEMS, Q.BRONZE_ORDERS_ORPHANS, Q.SILVER_ORDERS, Q.SALES]
+P0, P1 = A.BENCH_PERIOD
+
+
+def results(checks) -> DataFrame:
+    return C.evaluate(checks).select(*CHECK_COLUMNS)
+
+
+@register("check_not_null", Q.with_(DIRTY, Q.union(
+    Q.not_null("silver_items", "price", "order_items"),
+    Q.not_null("silver_items", "shipping_limit_date", "order_items"),
+    Q.not_null("silver_orders", "order_status", "orders"),
+    Q.not_null("silver_orders", "purchase_date", "orders"))))
+def check_not_null(spark, sf_dir):
+    lay = layers(spark, sf_dir, "dirty", "dirty")
+    return results([C.not_null(lay.items, "price", "order_items"),
+                    C.not_null(lay.items, "shipping_limit_date", "order_items"),
+                    C.not_null(lay.orders, "order_status", "orders"),
+                    C.not_null(lay.orders, "purchase_date", "orders")])
+
+
+@register("check_unique", Q.with_(Q.SILVER, Q.union(
+    Q.unique("silver_items", ["order_id", "order_item_id"], "order_items"),
+    Q.unique("silver_orders", ["order_id"], "orders"),
+    Q.unique("sales", ["order_id", "product_id"], "order_product_sales"),
+    Q.unique("silver_items", ["product_id"], "order_items"))))
+def check_unique(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results([C.unique(lay.items, ["order_id", "order_item_id"], "order_items"),
+                    C.unique(lay.orders, ["order_id"], "orders"),
+                    C.unique(lay.sales, ["order_id", "product_id"], "order_product_sales"),
+                    C.unique(lay.items, ["product_id"], "order_items")])
+
+
+@register("check_non_negative", Q.with_(DIRTY, Q.union(
+    Q.non_negative("silver_items", "price", "order_items"),
+    Q.non_negative("silver_items", "freight_value", "order_items"))))
+def check_non_negative(spark, sf_dir):
+    lay = layers(spark, sf_dir, "dirty", "dirty")
+    return results([C.non_negative(lay.items, "price", "order_items"),
+                    C.non_negative(lay.items, "freight_value", "order_items")])
+
+
+@register("check_greater_than", Q.with_(DIRTY + [Q.SALES], Q.union(
+    Q.greater_than("sales", "quantity", 1, "order_product_sales"),
+    Q.greater_than("silver_items", "price", 0, "order_items"))))
+def check_greater_than(spark, sf_dir):
+    lay = layers(spark, sf_dir, "dirty", "dirty")
+    return results([C.greater_than(lay.sales, "quantity", 1, "order_product_sales"),
+                    C.greater_than(lay.items, "price", 0, "order_items")])
+
+
+@register("check_referential_integrity", Q.with_(ORPHANS, Q.union(
+    Q.referential("sales", "silver_orders", "order_id", "order_product_sales", "orders"),
+    Q.referential("silver_items", "silver_orders", "order_id", "order_items", "orders"))))
+def check_referential_integrity(spark, sf_dir):
+    lay = layers(spark, sf_dir, orders_variant="orphans")
+    return results([C.referential_integrity(lay.sales, lay.orders, "order_id", "order_product_sales", "orders"),
+                    C.referential_integrity(lay.items, lay.orders, "order_id", "order_items", "orders")])
+
+
+@register("check_constant_in_group", Q.with_(Q.ITEMS, Q.union(
+    Q.constant_in_group("silver_items", ["order_id", "product_id"], "price", "order_items"),
+    Q.constant_in_group("silver_items", ["order_id"], "seller_id", "order_items"))))
+def check_constant_in_group(spark, sf_dir):
+    items = S.order_items(A.bronze_order_items(spark, sf_dir))
+    return results([C.constant_in_group(items, ["order_id", "product_id"], "price", "order_items"),
+                    C.constant_in_group(items, ["order_id"], "seller_id", "order_items")])
+
+
+def _range_sql(src, col, table):
+    d = f"cast({col} AS DATE)"
+    out = f"{d} < DATE '{P0}' OR {d} > DATE '{P1}'"
+    return (f"SELECT r.*, (SELECT cast(min({col}) AS VARCHAR) FROM {src} WHERE {out}) AS out_of_range_min, "
+            f"(SELECT cast(max({col}) AS VARCHAR) FROM {src} WHERE {out}) AS out_of_range_max "
+            f"FROM ({Q.date_range(src, col, P0, P1, table)}) r")
+
+
+@register("check_date_range", Q.with_(Q.ITEMS + Q.ORDERS_, Q.union(
+    _range_sql("silver_items", "shipping_limit_date", "order_items"),
+    _range_sql("silver_orders", "order_purchase_timestamp", "orders"))))
+def check_date_range(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    res = C.evaluate([C.date_range(lay.items, "shipping_limit_date", P0, P1, "order_items"),
+                      C.date_range(lay.orders, "order_purchase_timestamp", P0, P1, "orders")])
+    return res.select(*CHECK_COLUMNS, F.col("details")["min"].alias("out_of_range_min"),
+                      F.col("details")["max"].alias("out_of_range_max"))
+
+
+@register("check_keys_without_match", Q.with_(Q.SILVER, Q.union(
+    Q.keys_without_match("silver_orders", "sales", "order_id", "orders", "order_product_sales"),
+    Q.keys_without_match("silver_items", "silver_orders", "order_id", "order_items", "orders"))))
+def check_keys_without_match(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results([C.keys_without_match(lay.orders, lay.sales, "order_id", "orders", "order_product_sales"),
+                    C.keys_without_match(lay.items, lay.orders, "order_id", "order_items", "orders")])
+
+
+@register("check_expected_count", Q.with_(ORPHANS, Q.union(
+    Q.expected_count("units_reconciled_with_order_items", "order_product_sales",
+                     "SELECT sum(quantity) FROM sales", "SELECT count(*) FROM silver_items"),
+    Q.expected_count("orders_match_source", "orders",
+                     "SELECT count(*) FROM silver_orders", "SELECT count(*) FROM orders"))))
+def check_expected_count(spark, sf_dir):
+    lay = layers(spark, sf_dir, orders_variant="orphans")
+    source_orders = A.read_table(spark, sf_dir, "orders")
+    return results([
+        C.expected_count("units_reconciled_with_order_items", "order_product_sales",
+                         C.sum_metric(lay.sales, "quantity"), C.row_count(lay.items)),
+        C.expected_count("orders_match_source", "orders",
+                         C.row_count(lay.orders), C.row_count(source_orders)),
+    ])
+
+
+# --- G2-G10: suites and data contracts ------------------------------------------
+
+def _orders_suite_sql(src="silver_orders"):
+    return [Q.not_null(src, "order_id", "orders"), Q.unique(src, ["order_id"], "orders"),
+            Q.not_null(src, "order_status", "orders"), Q.not_null(src, "purchase_date", "orders"),
+            Q.date_range(src, "order_purchase_timestamp", P0, P1, "orders")]
+
+
+def _items_suite_sql(src="silver_items"):
+    t = "order_items"
+    return [Q.not_null(src, "order_id", t), Q.not_null(src, "product_id", t),
+            Q.not_null(src, "order_item_id", t), Q.unique(src, ["order_id", "order_item_id"], t),
+            Q.not_null(src, "price", t), Q.non_negative(src, "price", t),
+            Q.non_negative(src, "freight_value", t),
+            Q.constant_in_group(src, ["order_id", "product_id"], "price", t),
+            Q.date_range(src, "shipping_limit_date", P0, P1, t)]
+
+
+def _sales_suite_sql():
+    t = "order_product_sales"
+    return [Q.unique("sales", ["order_id", "product_id"], t),
+            Q.greater_than("sales", "quantity", 0, t),
+            Q.non_negative("sales", "item_revenue", t), Q.non_negative("sales", "freight_total", t),
+            Q.referential("sales", "silver_orders", "order_id", t, "orders"),
+            Q.not_null("sales", "purchase_date", t), Q.not_null("sales", "order_status", t),
+            Q.expected_count("units_reconciled_with_order_items", t,
+                             "SELECT coalesce(sum(quantity), 0) FROM sales",
+                             "SELECT count(*) FROM silver_items"),
+            Q.keys_without_match("silver_orders", "sales", "order_id", "orders", t)]
+
+
+@register("suite_orders", Q.with_(Q.ORDERS_, Q.union(*_orders_suite_sql())))
+def suite_orders(spark, sf_dir):
+    return results(U.orders_suite(S.orders(A.bronze_orders(spark, sf_dir)), A.BENCH_PERIOD))
+
+
+@register("suite_order_items", Q.with_(Q.ITEMS, Q.union(*_items_suite_sql())))
+def suite_order_items(spark, sf_dir):
+    return results(U.order_items_suite(S.order_items(A.bronze_order_items(spark, sf_dir)),
+                                       A.BENCH_PERIOD))
+
+
+@register("suite_order_items_dirty", Q.with_([Q.BRONZE_ITEMS_DIRTY, Q.SILVER_ITEMS],
+                                             Q.union(*_items_suite_sql())))
+def suite_order_items_dirty(spark, sf_dir):
+    return results(U.order_items_suite(S.order_items(A.bronze_order_items(spark, sf_dir, "dirty")),
+                                       A.BENCH_PERIOD))
+
+
+@register("suite_order_product_sales", Q.with_(Q.SILVER, Q.union(*_sales_suite_sql())))
+def suite_order_product_sales(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results(U.sales_suite(lay.sales, lay.items, lay.orders))
+
+
+@register("quality_summary", Q.with_(Q.SILVER, (
+    "SELECT count(*) AS total, count(*) FILTER (WHERE result = 'OK') AS ok, "
+    "count(*) FILTER (WHERE result = 'FAIL' AND severity = 'CRITICAL') AS critical_failed, "
+    "count(*) FILTER (WHERE result = 'FAIL' AND severity = 'WARNING') AS warnings FROM ("
+    + Q.union(*_orders_suite_sql(), *_items_suite_sql(), *_sales_suite_sql()) + ")")))
+def quality_summary(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    checks = (U.orders_suite(lay.orders, A.BENCH_PERIOD)
+              + U.order_items_suite(lay.items, A.BENCH_PERIOD)
+              + U.sales_suite(lay.sales, lay.items, lay.orders))
+    return C.summary(C.evaluate(checks))
+
+
+@register("suite_silver_contract", Q.with_(Q.SILVER, Q.union(
+    Q.unique_values("silver_orders", "order_id", "orders"),
+    *[Q.not_null("silver_orders", c, "orders") for c in ("order_id", "purchase_date", "order_status")],
+    *[Q.not_null("silver_items", c, "order_items") for c in ("order_id", "product_id", "price")],
+    *[Q.not_null("sales", c, "order_product_sales") for c in (
+        "order_id", "product_id", "quantity", "item_revenue", "purchase_date", "order_status")])))
+def suite_silver_contract(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results(U.silver_contract(lay.orders, lay.items, lay.sales))
+
+
+@register("suite_gold_contract", Q.with_(Q.ALL, Q.union(
+    *[Q.not_null("gold", c, "daily_product_sales") for c in (
+        "purchase_date", "product_id", "quantity", "total_revenue", "total_freight", "orders_count")],
+    *[Q.not_null("sales", c, "stg_order_product_sales") for c in ("order_id", "product_id")])))
+def suite_gold_contract(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results(U.gold_contract(lay.gold, G.staging(lay.sales)))
+
+
+_GRAIN_SQL = ("SELECT purchase_date, product_id, count(*) AS records FROM gold "
+              "GROUP BY purchase_date, product_id HAVING count(*) > 1")
+_METRIC_SQL = ("SELECT purchase_date, product_id, quantity, cast(total_revenue AS DECIMAL(38,2)) "
+               "AS total_revenue, cast(total_freight AS DECIMAL(38,2)) AS total_freight FROM gold "
+               "WHERE quantity < 1 OR total_revenue < 0 OR total_freight < 0")
+
+
+@register("gold_grain_violations", Q.with_(Q.ALL, _GRAIN_SQL))
+def gold_grain_violations(spark, sf_dir):
+    return G.grain_violations(layers(spark, sf_dir).gold)
+
+
+@register("gold_metric_violations", Q.with_(Q.ALL, _METRIC_SQL))
+def gold_metric_violations(spark, sf_dir):
+    return edge(G.metric_violations(layers(spark, sf_dir).gold))
+
+
+_RECON_SELECT = (
+    "SELECT units_gold, units_silver, revenue_gold, revenue_silver FROM ("
+    "SELECT (SELECT cast(sum(quantity) AS BIGINT) FROM gold) AS units_gold, "
+    "(SELECT cast(sum(quantity) AS BIGINT) FROM sales WHERE order_status IN ('F')) AS units_silver, "
+    "(SELECT cast(sum(total_revenue) AS DECIMAL(38,2)) FROM gold) AS revenue_gold, "
+    "(SELECT cast(sum(item_revenue) AS DECIMAL(38,2)) FROM sales WHERE order_status IN ('F')) "
+    "AS revenue_silver) t "
+    "WHERE units_gold <> units_silver OR abs(revenue_gold - revenue_silver) > 0.01")
+
+
+@register("gold_reconciliation", Q.with_(Q.ALL, _RECON_SELECT))
+def gold_reconciliation(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return edge(U.reconciliation_violations(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
+
+
+@register("gold_reconciliation_drift", Q.with_(Q.SILVER + [Q.gold(("F", "O"))], _RECON_SELECT))
+def gold_reconciliation_drift(spark, sf_dir):
+    """Gold built with a wider status list than the one Silver is compared under."""
+    lay = layers(spark, sf_dir, statuses=("F", "O"))
+    return edge(U.reconciliation_violations(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
+
+
+@register("gold_tests", Q.with_(Q.ALL, Q.union(
+    Q.no_rows("grain_purchase_date_product_id", "daily_product_sales", _GRAIN_SQL),
+    Q.no_rows("metrics_positive", "daily_product_sales", _METRIC_SQL),
+    Q.no_rows("reconciled_with_silver", "daily_product_sales", _RECON_SELECT))))
+def gold_tests(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results(U.gold_tests(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
+
+
+# --- H1-H7: cross-layer reconciliation ------------------------------------------
+
+def _frames(lay: Layers) -> R.LayerFrames:
+    return R.LayerFrames(lay.bronze_orders, lay.bronze_items, lay.orders, lay.items,
+                         lay.sales, lay.gold)
+
+
+_VALID = "(SELECT * FROM sales WHERE order_status IN ('F'))"
+_METRICS_SQL = f"""metrics AS (SELECT
+  (SELECT count(*) FROM bronze_orders) AS bronze_orders_rows,
+  (SELECT count(*) FROM bronze_items) AS bronze_order_items_rows,
+  (SELECT count(*) FROM silver_orders) AS silver_orders_rows,
+  (SELECT count(*) FROM silver_items) AS silver_order_items_rows,
+  (SELECT count(*) FROM sales) AS silver_sales_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT order_id, product_id FROM sales)) AS silver_sales_distinct_keys,
+  (SELECT cast(coalesce(sum(quantity), 0) AS BIGINT) FROM sales) AS silver_units_total,
+  (SELECT count(*) FROM {_VALID}) AS silver_valid_sales_rows,
+  (SELECT cast(coalesce(sum(quantity), 0) AS BIGINT) FROM {_VALID}) AS silver_valid_units,
+  (SELECT cast(coalesce(sum(item_revenue), 0) AS DECIMAL(38,2)) FROM {_VALID}) AS silver_valid_revenue,
+  (SELECT count(*) FROM gold) AS gold_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT purchase_date, product_id FROM gold)) AS gold_distinct_keys,
+  (SELECT cast(coalesce(sum(quantity), 0) AS BIGINT) FROM gold) AS gold_units,
+  (SELECT cast(coalesce(sum(total_revenue), 0) AS DECIMAL(38,2)) FROM gold) AS gold_revenue,
+  (SELECT count(*) FROM (SELECT DISTINCT product_id FROM gold)) AS gold_products,
+  (SELECT count(*) FROM (SELECT DISTINCT purchase_date FROM gold)) AS gold_days)"""
+
+
+@register("layer_metrics", Q.with_(Q.ALL + [_METRICS_SQL], "SELECT * FROM metrics"))
+def layer_metrics(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return R.LayerMetrics(_frames(lay), A.BENCH_VALID_SALE_STATUSES).frame()
+
+
+@register("layer_summary", Q.with_(Q.ALL + [_METRICS_SQL], """
+SELECT 'bronze' AS layer, 'orders' AS table_name, bronze_orders_rows AS rows, NULL::BIGINT AS units,
+       NULL::DECIMAL(38,2) AS revenue, NULL::BIGINT AS days, NULL::BIGINT AS products,
+       NULL::BIGINT AS discarded_units, NULL::DOUBLE AS discarded_pct FROM metrics
+UNION ALL SELECT 'bronze', 'order_items', bronze_order_items_rows, NULL, NULL, NULL, NULL, NULL, NULL FROM metrics
+UNION ALL SELECT 'silver', 'orders', silver_orders_rows, NULL, NULL, NULL, NULL, NULL, NULL FROM metrics
+UNION ALL SELECT 'silver', 'order_items', silver_order_items_rows, silver_order_items_rows, NULL, NULL, NULL,
+       NULL, NULL FROM metrics
+UNION ALL SELECT 'silver', 'order_product_sales', silver_sales_rows, silver_units_total, silver_valid_revenue,
+       NULL, NULL, NULL, NULL FROM metrics
+UNION ALL SELECT 'gold', 'daily_product_sales', gold_rows, gold_units, gold_revenue, gold_days, gold_products,
+       silver_units_total - gold_units,
+       round((silver_units_total - gold_units) * 100.0 / nullif(silver_units_total, 0), 2) FROM metrics"""))
+def layer_summary(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return R.layer_summary(R.LayerMetrics(_frames(lay), A.BENCH_VALID_SALE_STATUSES).frame())
+
+
+@register("reconcile_layers", Q.with_(Q.ALL + [_METRICS_SQL], Q.union(
+    Q.expected_count("bronze_to_silver_orders_lossless", "orders",
+                     "SELECT silver_orders_rows FROM metrics", "SELECT bronze_orders_rows FROM metrics"),
+    Q.expected_count("bronze_to_silver_order_items_lossless", "order_items",
+                     "SELECT silver_order_items_rows FROM metrics", "SELECT bronze_order_items_rows FROM metrics"),
+    Q.expected_count("silver_units_equal_item_rows", "order_product_sales",
+                     "SELECT silver_units_total FROM metrics", "SELECT silver_order_items_rows FROM metrics"),
+    Q.expected_count("silver_grain_order_id_product_id", "order_product_sales",
+                     "SELECT silver_sales_rows FROM metrics", "SELECT silver_sales_distinct_keys FROM metrics"),
+    Q.expected_count("gold_grain_purchase_date_product_id", "daily_product_sales",
+                     "SELECT gold_rows FROM metrics", "SELECT gold_distinct_keys FROM metrics"),
+    Q.expected_count("gold_units_reconciled_with_silver", "daily_product_sales",
+                     "SELECT gold_units FROM metrics", "SELECT silver_valid_units FROM metrics"),
+    Q.check("gold_revenue_reconciled_with_silver", "daily_product_sales", "CRITICAL",
+            "SELECT 0", "(SELECT abs(gold_revenue - silver_valid_revenue) <= 0.01 FROM metrics)"),
+    Q.check("gold_not_above_silver", "daily_product_sales", "CRITICAL",
+            "SELECT 0", "(SELECT gold_units <= silver_units_total FROM metrics)"))))
+def reconcile_layers(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    m = R.LayerMetrics(_frames(lay), A.BENCH_VALID_SALE_STATUSES)
+    return results(R.layer_checks(m, R.THROUGH_GOLD))

@@ -129,3 +129,76 @@ def ts(c: str, alias: str | None = None) -> str:
 
 def money(c: str, alias: str | None = None) -> str:
     return f"cast({c} AS DECIMAL(38,2)) AS {alias or c.split('.')[-1]}"
+
+
+# --- check results, restated in SQL -------------------------------------------
+
+
+def check(name: str, table: str, severity: str, affected: str, ok: str | None = None) -> str:
+    """One result row: check, table_name, severity, result, affected_rows."""
+    ok = ok or "a = 0"
+    return (f"SELECT '{name}' AS \"check\", '{table}' AS table_name, '{severity}' AS severity, "
+            f"CASE WHEN {ok} THEN 'OK' ELSE 'FAIL' END AS result, "
+            f"cast(a AS BIGINT) AS affected_rows FROM (SELECT ({affected}) AS a) t")
+
+
+def not_null(src, col, table, sev="CRITICAL"):
+    return check(f"{col}_not_null", table, sev, f"SELECT count(*) FROM {src} WHERE {col} IS NULL")
+
+
+def unique(src, cols, table, sev="CRITICAL"):
+    k = ", ".join(cols)
+    return check(f"unique_{'_'.join(cols)}", table, sev,
+                 f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT {k} FROM {src}))")
+
+
+def unique_values(src, col, table, sev="CRITICAL"):
+    return check(f"unique_{col}", table, sev,
+                 f"SELECT count(*) FROM (SELECT {col} FROM {src} WHERE {col} IS NOT NULL "
+                 f"GROUP BY {col} HAVING count(*) > 1)")
+
+
+def non_negative(src, col, table, sev="CRITICAL"):
+    return check(f"{col}_non_negative", table, sev, f"SELECT count(*) FROM {src} WHERE {col} < 0")
+
+
+def greater_than(src, col, minimum, table, sev="CRITICAL"):
+    return check(f"{col}_greater_than_{minimum}", table, sev,
+                 f"SELECT count(*) FROM {src} WHERE {col} IS NULL OR {col} <= {minimum}")
+
+
+def referential(child, parent, col, table, parent_table, sev="CRITICAL"):
+    return check(f"{col}_exists_in_{parent_table}", table, sev,
+                 f"SELECT count(*) FROM {child} c WHERE NOT EXISTS "
+                 f"(SELECT 1 FROM {parent} p WHERE p.{col} = c.{col})")
+
+
+def constant_in_group(src, group, col, table, sev="CRITICAL"):
+    g = ", ".join(group)
+    return check(f"{col}_constant_per_{'_'.join(group)}", table, sev,
+                 f"SELECT count(*) FROM (SELECT {g} FROM {src} GROUP BY {g} "
+                 f"HAVING count(DISTINCT {col}) > 1)")
+
+
+def date_range(src, col, start, end, table, sev="WARNING"):
+    d = f"cast({col} AS DATE)"
+    return check(f"{col}_in_range", table, sev,
+                 f"SELECT count(*) FROM {src} WHERE {d} < DATE '{start}' OR {d} > DATE '{end}'")
+
+
+def keys_without_match(left, right, col, table, right_table, sev="WARNING"):
+    return check(f"{col}_matched_in_{right_table}", table, sev,
+                 f"SELECT count(*) FROM (SELECT DISTINCT {col} FROM {left}) l WHERE NOT EXISTS "
+                 f"(SELECT 1 FROM {right} r WHERE r.{col} = l.{col})")
+
+
+def expected_count(name, table, actual, expected, sev="CRITICAL"):
+    return check(name, table, sev, f"abs(({actual}) - ({expected}))")
+
+
+def no_rows(name, table, query, sev="CRITICAL"):
+    return check(name, table, sev, f"SELECT count(*) FROM ({query})")
+
+
+def union(*selects) -> str:
+    return "\nUNION ALL\n".join(selects)
