@@ -480,3 +480,7 @@ def reconcile_layers(spark, sf_dir):
     lay = layers(spark, sf_dir)
     m = R.LayerMetrics(_frames(lay), A.BENCH_VALID_SALE_STATUSES)
     return results(R.layer_checks(m, R.THROUGH_GOLD))
+
+
+# Profiling queries register themselves on import.
+from strata.plans import catalog_profile  # noqa: E402,F401
