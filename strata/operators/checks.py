@@ -170,7 +170,8 @@ class Evaluator:
                 frame = frame.groupBy(*src["keys"]).agg(*inner)
             parts.append(frame.agg(*[expr.alias(a) for a, expr in src["outer"]]))
         if not parts:
-            raise ValueError("nothing to evaluate")
+            # Only constants: a single empty row to project them on.
+            return SparkSession.getActiveSession().range(1).select()
         if len(parts) == 1:
             return parts[0]
         stacked = parts[0]

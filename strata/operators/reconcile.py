@@ -64,6 +64,14 @@ class LayerMetrics:
                 "gold_days": C.distinct_count(f.gold, ["purchase_date"]),
             })
 
+    @classmethod
+    def from_values(cls, values: dict) -> "LayerMetrics":
+        """Metrics already computed (one collected row), as constants for the checks."""
+        m = cls.__new__(cls)
+        m.frames = None
+        m.named = {k: C.literal(v) for k, v in values.items()}
+        return m
+
     def __getitem__(self, name: str) -> C.Metric:
         return self.named[name]
 

@@ -484,3 +484,4 @@ def reconcile_layers(spark, sf_dir):
 
 # Profiling queries register themselves on import.
 from strata.plans import catalog_profile  # noqa: E402,F401
+from strata.plans import catalog_io  # noqa: E402,F401
