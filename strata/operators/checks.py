@@ -72,10 +72,13 @@ class DataQualityError(Exception):
 class Metric:
     """A scalar that a check or report needs.
 
-    ``rows``: aggregate over the rows of ``df``. ``groups``: aggregate over
-    ``df.groupBy(keys)`` whose per-group columns are ``_n`` (row count) plus
-    ``inner``. ``frame``: aggregate over a derived frame owned by one check.
-    ``literal``: a driver-side constant.
+    ``rows``: aggregate ``expr`` over the rows of ``df``. ``groups``: aggregate over
+    ``df.groupBy(keys)``, whose per-group columns are ``_n`` (row count), the key
+    columns and ``inner``; ``fn(col)`` builds that aggregate from a column resolver
+    and must only use aggregates that skip NULL input (sum, count(col), count_if,
+    min, max), because several key sets share one aggregation and each sees the
+    others' rows as NULL. ``frame``: aggregate over a derived frame owned by one
+    check. ``literal``: a driver-side constant.
     """
 
     kind: str
@@ -84,6 +87,7 @@ class Metric:
     keys: tuple = ()
     inner: tuple = ()
     value: object = None
+    fn: Callable | None = None
 
     def resolve(self, ev: "Evaluator") -> Column:
         return ev.add(self)
@@ -104,12 +108,13 @@ def sum_metric(df: DataFrame, column: str) -> Metric:
 
 def distinct_count(df: DataFrame, keys: Sequence[str]) -> Metric:
     """Number of distinct key tuples, NULL counted as a value (like ``distinct().count()``)."""
-    return Metric("groups", df=df, keys=tuple(keys), expr=F.count(F.lit(1)))
+    return group_metric(df, keys, lambda c: F.count(c("_n")))
 
 
-def group_metric(df: DataFrame, keys: Sequence[str], expr: Column,
+def group_metric(df: DataFrame, keys: Sequence[str], fn: Callable[[Callable[[str], Column]], Column],
                  inner: Sequence[tuple[str, Column]] = ()) -> Metric:
-    return Metric("groups", df=df, keys=tuple(keys), expr=expr, inner=tuple(inner))
+    """Aggregate over the groups of ``df`` by ``keys``; ``fn(col)`` sees ``_n``, keys, ``inner``."""
+    return Metric("groups", df=df, keys=tuple(keys), fn=fn, inner=tuple(inner))
 
 
 def frame_metric(df: DataFrame, expr: Column) -> Metric:
@@ -156,19 +161,51 @@ class Evaluator:
         else:
             raise ValueError(m.kind)
         alias = self._alias()
-        src["outer"].append((alias, m.expr))
+        src["outer"].append((alias, m.fn if m.kind == "groups" else m.expr))
         return F.col(alias)
 
+    @staticmethod
+    def _grouped_part(srcs: list[dict]) -> DataFrame:
+        """Every key set over one frame in a single aggregation, read in a single pass.
+
+        One key set is a plain ``groupBy``. Several are one ``groupingSets`` aggregate
+        (one scan, one shuffle, map-side combine per key set), consumed by one ``agg``
+        in which each key set's measures see only their own rows: every column they
+        read is masked with ``when(grouping_id == g, ...)``.
+        """
+        df = srcs[0]["df"]
+        inner = {"_n": F.count(F.lit(1))}
+        for s in srcs:
+            for name, expr in s["inner"].items():
+                inner.setdefault(name, expr)
+        inner_cols = [expr.alias(name) for name, expr in inner.items()]
+        if len(srcs) == 1:
+            grouped = df.groupBy(*srcs[0]["keys"]).agg(*inner_cols)
+            return grouped.agg(*[fn(F.col).alias(a) for a, fn in srcs[0]["outer"]])
+        cols = list(dict.fromkeys(c for s in srcs for c in s["keys"]))
+        grouped = df.groupingSets([list(s["keys"]) for s in srcs], *cols).agg(
+            *inner_cols, F.grouping_id().alias("_gid"))
+        outer = []
+        for s in srcs:
+            # grouping_id: bit set (first column most significant) where a column is absent.
+            gid = sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in s["keys"])
+
+            def masked(name, gid=gid):
+                return F.when(F.col("_gid") == gid, F.col(name))
+            outer += [fn(masked).alias(a) for a, fn in s["outer"]]
+        return grouped.agg(*outer)
+
     def wide(self) -> DataFrame:
         """One row, one column per measure. Empty sources still give one row."""
         parts = []
+        grouped: dict[int, list[dict]] = {}
         for src in self._sources.values():
-            frame = src["df"]
             if src["kind"] == "groups":
-                inner = [F.count(F.lit(1)).alias("_n")]
-                inner += [expr.alias(name) for name, expr in src["inner"].items()]
-                frame = frame.groupBy(*src["keys"]).agg(*inner)
-            parts.append(frame.agg(*[expr.alias(a) for a, expr in src["outer"]]))
+                grouped.setdefault(id(src["df"]), []).append(src)
+            else:
+                parts.append(src["df"].agg(*[expr.alias(a) for a, expr in src["outer"]]))
+        for srcs in grouped.values():
+            parts.append(self._grouped_part(srcs))
         if not parts:
             # Only constants: a single empty row to project them on.
             return SparkSession.getActiveSession().range(1).select()
@@ -233,7 +270,7 @@ def unique(df: DataFrame, columns: Sequence[str], table: str, severity: str = CR
     key = ", ".join(columns)
 
     def plan(ev):
-        extra = ev.add(group_metric(df, columns, F.sum(F.col("_n") - 1)))
+        extra = ev.add(group_metric(df, columns, lambda c: F.sum(c("_n") - 1)))
         total = ev.add(row_count(df))
         affected = F.coalesce(extra, F.lit(0)).cast("bigint")
         msg = F.when(affected == 0, _fmt(f"({key}) is unique in %s rows", thousands(total))).otherwise(
@@ -282,7 +319,7 @@ def constant_in_group(df: DataFrame, group: Sequence[str], column: str, table: s
     lo, hi = f"_min_{column}", f"_max_{column}"
 
     def plan(ev):
-        n = ev.add(group_metric(df, group, F.count_if(F.col(lo) != F.col(hi)),
+        n = ev.add(group_metric(df, group, lambda c: F.count_if(c(lo) != c(hi)),
                                 inner=[(lo, F.min(column)), (hi, F.max(column))]))
         return _count_outcome(n, f"{column} is constant within each ({key})",
                               f"%s groups ({key}) with more than one {column}")

@@ -211,8 +211,8 @@ def nulls(df: DataFrame, table: str) -> DataFrame:
 
 def duplicates(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     """Rows after the first, for the full row and for the key (NULLs equal)."""
-    full = C.group_metric(df, df.columns, F.sum(F.col("_n") - 1))
-    by_key = C.group_metric(df, key, F.sum(F.col("_n") - 1))
+    full = C.group_metric(df, df.columns, lambda c: F.sum(c("_n") - 1))
+    by_key = C.group_metric(df, key, lambda c: F.sum(c("_n") - 1))
     row = C.metrics_frame({"full": full, "key": by_key})
     return _unpivot(row, [
         F.struct(F.lit(table).alias("table_name"), F.lit(kind).alias("duplicate_kind"),

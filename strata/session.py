@@ -74,3 +74,21 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def spread_input(df):
+    """Give a narrow scan the cluster's parallelism; leave wide scans alone.
+
+    A table stored as one unsplittable file (a single Parquet row group) is read by one
+    task, and everything up to the first shuffle (typing, casts, map-side partial
+    aggregation) would run on one core. Such a scan is spread round-robin over
+    ``defaultParallelism`` partitions. Inputs that already have at least that many
+    partitions, the normal case for large tables, get no extra shuffle.
+    """
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect): keep the plan
+        pass
+    return df

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.convert import ts_text
+from strata.session import spread_input
 from strata.sources.schemas import MONEY, ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS
 
 # Fixed values of the variants (see module docstring).
@@ -50,7 +51,7 @@ BENCH_PERIOD = ("1995-01-01", "2001-08-01")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _money_text(c) -> F.Column:

@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import spread_input
 from strata.sources.schemas import all_text
 
 
@@ -53,7 +54,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A published Silver or Gold table."""
-    return spark.read.parquet(path)
+    return spread_input(spark.read.parquet(path))
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
