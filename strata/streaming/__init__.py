@@ -1 +1,6 @@
+"""Streaming: intentionally empty.
 
+The pipeline is a batch medallion flow (full overwrite per run); nothing in it reads or
+writes a stream, keeps state across micro-batches, or uses event-time windows, so no
+streaming operator is provided.
+"""
