@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.convert import pct, ts_text
 from strata.operators import checks as C
-from strata.operators.quantiles import exact_percentiles
+from strata.operators.quantiles import column_percentiles, exact_percentiles
 
 PRICE_PROBS = (0.01, 0.25, 0.50, 0.75, 0.95, 0.99, 1.00)
 ORDER_DATE_COLUMNS = (
@@ -92,41 +92,42 @@ def orders_by_month(orders: DataFrame, column: str = "order_purchase_timestamp")
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max per column (rounded to 4).
 
-    Quartiles are exact with linear interpolation (see ``quantiles``).
+    One aggregate pass for the moments of every column, one percentile pipeline for the
+    quartiles of every column (exact, linear interpolation, see ``quantiles``); the two
+    small results (one row per column each) are stacked and folded per column.
     """
-    out = None
-    for c in columns:
-        moments = df.agg(
-            F.count(c).alias("count"),
-            F.avg(F.col(c).cast("double")).alias("mean"),
-            F.stddev_samp(F.col(c).cast("double")).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        )
-        q = exact_percentiles(df, c, (0.25, 0.5, 0.75)).agg(
-            *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
-              for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-        part = moments.select(
-            F.lit(c).alias("column_name"), "count",
-            *[F.round(x, 4).alias(x) for x in ("mean", "std", "min")],
-            *[F.round(q.select(x).scalar(), 4).alias(x) for x in ("p25", "p50", "p75")],
-            F.round("max", 4).alias("max"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    idx = {c: i for i, c in enumerate(columns)}
+    aggs = []
+    for c, i in idx.items():
+        x = F.col(c).cast("double")
+        aggs += [F.count(c).alias(f"count_{i}"), F.avg(x).alias(f"mean_{i}"),
+                 F.stddev_samp(x).alias(f"std_{i}"), F.min(x).alias(f"min_{i}"),
+                 F.max(x).alias(f"max_{i}")]
+    stats = ("count", "mean", "std", "min", "max")
+    moments = _unpivot(df.agg(*aggs), [
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{k}_{i}").alias(k) for k in stats])
+        for c, i in idx.items()])
+    quartiles = column_percentiles(df, list(columns), (0.25, 0.5, 0.75)).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
+          for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    folded = moments.unionByName(quartiles, allowMissingColumns=True).groupBy("column_name").agg(
+        *[F.max(k).alias(k) for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")])
+    return folded.select("column_name", F.col("count").cast("bigint").alias("count"),
+                         *[F.round(k, 4).alias(k) for k in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 def text_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, unique, most frequent value (ties -> smallest value) and its frequency."""
+    """count, distinct values, most frequent value (ties -> smallest value) and its frequency."""
     out = None
     for c in columns:
         present = df.where(F.col(c).isNotNull())
         top = (present.groupBy(c).agg(F.count(F.lit(1)).alias("freq"))
-               .orderBy(F.col("freq").desc(), F.col(c).asc()).limit(1))
+               .orderBy(F.col("freq").desc(), F.col(c).asc()).limit(1)
+               .select(F.struct(F.col(c).cast("string").alias("top"), "freq")).scalar())
         part = present.agg(F.count(F.lit(1)).alias("count"),
                            F.count_distinct(c).alias("distinct_values")).select(
             F.lit(c).alias("column_name"), "count", "distinct_values",
-            top.select(F.col(c).cast("string")).scalar().alias("top"),
-            top.select("freq").scalar().alias("freq"))
+            top["top"].alias("top"), top["freq"].alias("freq"))
         out = part if out is None else out.unionByName(part)
     return out
 

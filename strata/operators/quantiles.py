@@ -2,19 +2,22 @@
 
 ``percentile`` (exact) keeps every distinct value of a group in one aggregation
 buffer and merges them in one final task, which does not survive a 100 TB column.
-Here the work stays distributed:
+Here the work stays distributed, for several columns in one pipeline:
 
-1. value counts: ``groupBy(value).count()`` (map-side combine; a hot value is one row);
-2. the distinct values are range-partitioned and numbered by a running sum inside each
-   range partition (a window per partition id, already clustered);
-3. one row per range partition (a bounded, small table: its size is the number of
-   partitions) gives each partition's rank offset;
-4. every value row learns the rank interval it covers; each wanted rank (floor and
-   ceil of ``p * (N - 1)`` per probability) is matched inside that row, exploded and
-   folded per probability.
+1. value counts: one scan emits ``(column_name, value)`` pairs, and
+   ``groupBy(column_name, value).count()`` combines them map-side (a hot value is one
+   row, whatever its frequency);
+2. the distinct values are range-partitioned on ``(column_name, value)`` and numbered by
+   a running sum inside each range partition;
+3. one row per (column, range partition) gives the rank offset of each partition, and
+   one row per column its total: both tables are bounded by partitions x columns and
+   are the only broadcasts;
+4. every value row learns the rank interval it covers; each wanted rank (floor and ceil
+   of ``p * (N - 1)`` per probability) is matched inside that row, exploded and folded
+   per (column, probability).
 
 Result: the same numbers as pandas/numpy ``quantile`` (linear) and DuckDB
-``quantile_cont``.
+``quantile_cont``. NULLs are ignored; a column without values yields no rows.
 """
 
 from __future__ import annotations
@@ -25,36 +28,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float],
-                      range_partitions: int | None = None) -> DataFrame:
-    """One row per probability: ``p`` (double), ``value`` (double). NULLs are ignored."""
+def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                       range_partitions: int | None = None) -> DataFrame:
+    """One row per (column, probability): ``column_name``, ``p``, ``value`` (double)."""
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
         raise ValueError("probabilities must be in [0, 1]")
+    if not columns:
+        raise ValueError("no columns")
     spark = df.sparkSession
     parts = range_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    counts = (df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    ranged = counts.repartitionByRange(parts, "v").withColumn("pid", F.spark_partition_id())
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+        for c in columns])).alias("e")).select("e.column_name", "e.v")
+    counts = (pairs.where(F.col("v").isNotNull())
+              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    ranged = (counts.repartitionByRange(parts, "column_name", "v")
+              .withColumn("pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "local_end",
-        F.sum("n").over(Window.partitionBy("pid").orderBy("v")
+        F.sum("n").over(Window.partitionBy("pid", "column_name").orderBy("v")
                         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # One row per range partition: bounded by ``parts``, safe to broadcast.
-    per_part = ranged.groupBy("pid").agg(F.sum("n").alias("part_n"))
-    offsets = per_part.select(
-        "pid",
-        (F.sum("part_n").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("offset"))
-    total = counts.agg(F.sum("n")).scalar()
+    # Bounded by (range partitions x columns) and by columns: safe to broadcast.
+    offsets = (ranged.groupBy("column_name", "pid").agg(F.sum("n").alias("part_n"))
+               .select("column_name", "pid", F.sum("part_n").over(
+                   Window.partitionBy("column_name").orderBy("pid")
+                   .rowsBetween(Window.unboundedPreceding, -1)).alias("offset")))
+    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
 
-    numbered = local.join(F.broadcast(offsets), "pid").select(
-        "v",
-        (F.coalesce(F.col("offset"), F.lit(0)) + F.col("local_end") - F.col("n")).alias("start"),
-        (F.coalesce(F.col("offset"), F.lit(0)) + F.col("local_end")).alias("end"),
-        total.alias("total"),
-    )
+    base = F.coalesce(F.col("offset"), F.lit(0))
+    numbered = (local.join(F.broadcast(offsets), ["column_name", "pid"])
+                .join(F.broadcast(totals), "column_name")
+                .select("column_name", "v", "total",
+                        (base + F.col("local_end") - F.col("n")).alias("start"),
+                        (base + F.col("local_end")).alias("end")))
     wanted = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(side).alias("side"))
                        for p in probs for side in (0, 1)])
 
@@ -63,14 +71,21 @@ def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float],
         return F.when(t["side"] == 0, F.floor(pos)).otherwise(F.ceil(pos))
 
     hits = numbered.select(
-        "v", "total",
+        "column_name", "v", "total",
         F.explode(F.filter(wanted, lambda t: (F.col("start") <= rank(t)) & (rank(t) < F.col("end"))))
         .alias("t"))
-    folded = hits.groupBy(F.col("t.p").alias("p")).agg(
-        F.max(F.when(F.col("t.side") == 0, F.col("v"))).cast("double").alias("lo"),
-        F.max(F.when(F.col("t.side") == 1, F.col("v"))).cast("double").alias("hi"),
+    folded = hits.groupBy("column_name", F.col("t.p").alias("p")).agg(
+        F.max(F.when(F.col("t.side") == 0, F.col("v"))).alias("lo"),
+        F.max(F.when(F.col("t.side") == 1, F.col("v"))).alias("hi"),
         F.max("total").alias("total"),
     )
     pos = F.col("p") * (F.col("total") - 1).cast("double")
     return folded.select(
-        "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (pos - F.floor(pos))).alias("value"))
+        "column_name", "p",
+        (F.col("lo") + (F.col("hi") - F.col("lo")) * (pos - F.floor(pos))).alias("value"))
+
+
+def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float],
+                      range_partitions: int | None = None) -> DataFrame:
+    """One row per probability: ``p`` (double), ``value`` (double)."""
+    return column_percentiles(df, [column], probs, range_partitions).select("p", "value")

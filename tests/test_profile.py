@@ -120,3 +120,21 @@ def test_top_priced_items_tie_break(spark):
     _, si = _frames(spark)
     top = P.top_priced_items(si, 2).collect()
     assert [(r["order_id"], r["order_item_id"]) for r in top] == [("o1", 1), ("o1", 2)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-20, 20)),
+                          st.one_of(st.none(), st.floats(-1e3, 1e3, allow_nan=False))),
+                min_size=1, max_size=200))
+def test_column_percentiles_several_columns_match_numpy(spark, rows):
+    from strata.operators.quantiles import column_percentiles
+    df = spark.createDataFrame(rows, "a int, b double")
+    got = {(r["column_name"], r["p"]): r["value"]
+           for r in column_percentiles(df, ["a", "b"], PROBS, range_partitions=3).collect()}
+    for i, c in enumerate(("a", "b")):
+        vals = [r[i] for r in rows if r[i] is not None]
+        if not vals:
+            assert not any(k[0] == c for k in got)
+            continue
+        for p, w in zip(PROBS, np.quantile(np.array(vals, dtype=float), PROBS)):
+            assert abs(got[(c, p)] - w) <= 1e-9 * max(1.0, abs(w)), (c, p)
