@@ -210,6 +210,16 @@ def nulls(df: DataFrame, table: str) -> DataFrame:
         for i, c in enumerate(df.columns)])
 
 
+def columns_info(df: DataFrame, table: str) -> DataFrame:
+    """Type and non-NULL count of every column (one aggregate pass)."""
+    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_c_{i}") for i, c in enumerate(df.columns)])
+    return _unpivot(row, [
+        F.struct(F.lit(table).alias("table_name"), F.lit(i).alias("position"),
+                 F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.col(f"_c_{i}").alias("non_null"))
+        for i, f in enumerate(df.schema.fields)])
+
+
 def duplicates(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     """Rows after the first, for the full row and for the key (NULLs equal)."""
     full = C.group_metric(df, df.columns, lambda c: F.sum(c("_n") - 1))

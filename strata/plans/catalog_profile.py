@@ -127,6 +127,27 @@ def profile_nulls(spark, sf_dir):
     return P.nulls(lay.orders, "orders").unionByName(P.nulls(lay.items, "order_items"))
 
 
+_SPARK_TYPES = {
+    "orders": ("string", "string", "string", "date", "timestamp", "timestamp", "timestamp", "timestamp",
+               "timestamp"),
+    "order_items": ("string", "int", "string", "string", "timestamp", "decimal(10,2)", "decimal(10,2)"),
+}
+
+
+def _columns_sql(src, table, cols):
+    return [f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, "
+            f"'{_SPARK_TYPES[table][i]}' AS data_type, count({c}) AS non_null FROM {src}"
+            for i, c in enumerate(cols)]
+
+
+@register("profile_columns", Q.with_(DIRTY, Q.union(
+    *_columns_sql("silver_orders", "orders", ORDER_COLS),
+    *_columns_sql("silver_items", "order_items", ITEM_COLS))))
+def profile_columns(spark, sf_dir):
+    lay = layers(spark, sf_dir, "dirty", "dirty")
+    return P.columns_info(lay.orders, "orders").unionByName(P.columns_info(lay.items, "order_items"))
+
+
 def _dups_sql(src, table, key):
     k = ", ".join(key)
     return [f"SELECT '{table}' AS table_name, 'full_row' AS duplicate_kind, "

@@ -68,3 +68,13 @@ def test_bronze_missing_column_and_missing_file(spark, tmp_uri):
 def test_cli_exit_code(tmp_uri, spark):
     o, i = _land(spark, tmp_uri, GOOD_ITEMS, GOOD_ORDERS)
     assert J.main(["bronze", "--orders", o, "--items", i]) == 0
+
+
+def test_single_table_runs(spark, tmp_uri):
+    o, i = _land(spark, tmp_uri, GOOD_ITEMS, GOOD_ORDERS)
+    silver = f"{tmp_uri}/silver"
+    assert J.run_table(spark, "orders", silver, o, period=PERIOD).status == "OK"
+    assert J.run_table(spark, "order_items", silver, i, period=PERIOD).status == "OK"
+    out = J.main(["table", "--table", "order_product_sales", "--silver", silver])
+    assert out == 0
+    assert io.read_table(spark, f"{silver}/order_product_sales").count() == 2
