@@ -151,13 +151,27 @@ def items_per_order(items: DataFrame) -> DataFrame:
 
 
 def order_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Per order (inner join): items, distinct products, distinct sellers, total price."""
-    joined = orders.select("order_id").join(items, "order_id", "inner")
-    return joined.groupBy("order_id").agg(
-        F.count("order_item_id").alias("items"),
+    """Per order of the inner join orders x items: items, distinct products and sellers, total price.
+
+    Computed without joining rows: items are aggregated per order (map-side combine, so a
+    hot order is pre-aggregated) and joined to the number of order rows per key; an order
+    listed k times multiplies counts and sums by k, exactly as the row join would.
+    """
+    per_order = items.groupBy("order_id").agg(
+        F.count("order_item_id").alias("_items"),
         F.count_distinct("product_id").alias("distinct_products"),
         F.count_distinct("seller_id").alias("distinct_sellers"),
-        F.sum("price").alias("total_price"),
+        F.sum("price").alias("_total"),
+    )
+    copies = orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_k"))
+    joined = per_order.join(copies, "order_id", "inner")
+    total_type = per_order.schema["_total"].dataType
+    return joined.select(
+        "order_id",
+        (F.col("_items") * F.col("_k")).alias("items"),
+        "distinct_products",
+        "distinct_sellers",
+        (F.col("_total") * F.col("_k")).cast(total_type).alias("total_price"),
     )
 
 
@@ -283,7 +297,8 @@ def orders_without_items_by_status(orders: DataFrame, items: DataFrame) -> DataF
 
 def key_set_difference(orders: DataFrame, items: DataFrame, key: str = "order_id") -> DataFrame:
     """Distinct keys in one table and not the other, both directions (set semantics)."""
-    o, i = orders.select(key), items.select(key)
+    # Distinct keys first: map-side combine shrinks a hot key before any shuffle.
+    o, i = orders.select(key).distinct(), items.select(key).distinct()
     rows = C.metrics_frame({
         "items_not_in_orders": C.frame_metric(i.subtract(o), F.count(F.lit(1))),
         "orders_not_in_items": C.frame_metric(o.subtract(i), F.count(F.lit(1))),

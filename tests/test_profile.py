@@ -138,3 +138,15 @@ def test_column_percentiles_several_columns_match_numpy(spark, rows):
             continue
         for p, w in zip(PROBS, np.quantile(np.array(vals, dtype=float), PROBS)):
             assert abs(got[(c, p)] - w) <= 1e-9 * max(1.0, abs(w)), (c, p)
+
+
+def test_order_summary_with_duplicated_parent_matches_row_join(spark):
+    so, si = _frames(spark)
+    so2 = so.unionByName(so.where("order_id = 'o1'"))  # o1 listed twice
+    got = {r["order_id"]: (r["items"], r["distinct_products"], str(r["total_price"]))
+           for r in P.order_summary(so2, si).collect()}
+    o, i = _pandas(so2)[["order_id"]], _pandas(si)
+    m = o.merge(i, on="order_id", how="inner")
+    want = m.groupby("order_id").agg(items=("order_item_id", "count"), products=("product_id", "nunique"),
+                                     total=("price", "sum"))
+    assert got == {k: (int(r["items"]), int(r["products"]), f"{r['total']:.2f}") for k, r in want.iterrows()}
