@@ -117,6 +117,18 @@ def group_metric(df: DataFrame, keys: Sequence[str], fn: Callable[[Callable[[str
     return Metric("groups", df=df, keys=tuple(keys), fn=fn, inner=tuple(inner))
 
 
+def coverage_metric(a: DataFrame, b: DataFrame, key: str,
+                    fn: Callable[[Column, Column], Column]) -> Metric:
+    """Aggregate over the per-key row counts of two frames, matched on ``key``.
+
+    ``fn(n_a, n_b)`` receives the row counts of ``a`` and ``b`` per key (NULL where the
+    key is absent on that side; NULL keys never match). Every coverage metric over the
+    same pair and key, in either direction, shares one full outer join of the two
+    pre-aggregated sides.
+    """
+    return Metric("coverage", df=a, keys=(key,), value=b, fn=fn)
+
+
 def frame_metric(df: DataFrame, expr: Column) -> Metric:
     return Metric("frame", df=df, expr=expr)
 
@@ -158,12 +170,37 @@ class Evaluator:
                 src["inner"].setdefault(name, expr)
         elif m.kind == "frame":
             src = self._source(("frame", id(m.df)), "frame", m.df)
+        elif m.kind == "coverage":
+            a, b, key = m.df, m.value, m.keys[0]
+            pair = tuple(sorted((id(a), id(b))))
+            src = self._source(("coverage", pair, key), "coverage", a, (key,))
+            src.setdefault("frames", {id(a): a, id(b): b})
+            first = pair[0]
+            fn = m.fn
+            swapped = id(a) != first
+
+            def oriented(na, nb, fn=fn, swapped=swapped):
+                return fn(nb, na) if swapped else fn(na, nb)
+            alias = self._alias()
+            src["outer"].append((alias, oriented))
+            return F.col(alias)
         else:
             raise ValueError(m.kind)
         alias = self._alias()
         src["outer"].append((alias, m.fn if m.kind == "groups" else m.expr))
         return F.col(alias)
 
+    @staticmethod
+    def _coverage_part(src: dict) -> DataFrame:
+        """Per-key counts of both frames (map-side combined), one full outer join."""
+        key = src["keys"][0]
+        frames = sorted(src["frames"].items())
+        (_, a), (_, b) = frames if len(frames) == 2 else frames * 2
+        ca = a.groupBy(key).agg(F.count(F.lit(1)).alias("_na"))
+        cb = b.groupBy(key).agg(F.count(F.lit(1)).alias("_nb"))
+        joined = ca.join(cb, on=key, how="full")
+        return joined.agg(*[fn(F.col("_na"), F.col("_nb")).alias(a_) for a_, fn in src["outer"]])
+
     @staticmethod
     def _grouped_part(srcs: list[dict]) -> DataFrame:
         """Every key set over one frame in a single aggregation, read in a single pass.
@@ -202,6 +239,8 @@ class Evaluator:
         for src in self._sources.values():
             if src["kind"] == "groups":
                 grouped.setdefault(id(src["df"]), []).append(src)
+            elif src["kind"] == "coverage":
+                parts.append(self._coverage_part(src))
             else:
                 parts.append(src["df"].agg(*[expr.alias(a) for a, expr in src["outer"]]))
         for srcs in grouped.values():
@@ -297,15 +336,15 @@ def greater_than(df: DataFrame, column: str, minimum, table: str, severity: str
 
 def referential_integrity(child: DataFrame, parent: DataFrame, column: str, table: str,
                           parent_table: str, severity: str = CRITICAL) -> Check:
-    """Child rows whose key has no parent.
+    """Child rows whose key has no parent (a NULL key never has one).
 
-    The child side is reduced to one row per key with its row count *before* the
-    anti join, so the shuffle carries distinct keys only and a hot key cannot skew it.
+    Both sides are reduced to one row per key with its row count *before* they meet,
+    so the shuffle carries distinct keys only and a hot key cannot skew it; the join
+    is shared with ``keys_without_match`` over the same pair.
     """
     def plan(ev):
-        per_key = child.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-        orphans = per_key.join(parent.select(column).distinct(), on=column, how="left_anti")
-        n = ev.add(frame_metric(orphans, F.sum("_n")))
+        n = ev.add(coverage_metric(child, parent, column,
+                                   lambda nc, np_: F.sum(F.when(np_.isNull(), nc))))
         return _count_outcome(n, f"every {column} exists in {parent_table}",
                               f"%s rows with {column} missing in {parent_table}")
     return Check(f"{column}_exists_in_{parent_table}", table, severity, plan)
@@ -344,10 +383,10 @@ def date_range(df: DataFrame, column: str, start: str, end: str, table: str,
 
 def keys_without_match(left: DataFrame, right: DataFrame, column: str, table: str,
                        right_table: str, severity: str = WARNING) -> Check:
+    """Distinct keys of ``left`` (NULL counts once) that never occur in ``right``."""
     def plan(ev):
-        missing = left.select(column).distinct().join(
-            right.select(column).distinct(), on=column, how="left_anti")
-        n = ev.add(frame_metric(missing, F.count(F.lit(1))))
+        n = ev.add(coverage_metric(left, right, column,
+                                   lambda nl, nr: F.count_if(nl.isNotNull() & nr.isNull())))
         return _count_outcome(n, f"every {column} appears in {right_table}",
                               f"%s values of {column} without a match in {right_table}")
     return Check(f"{column}_matched_in_{right_table}", table, severity, plan)
