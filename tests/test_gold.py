@@ -93,3 +93,15 @@ def test_layer_checks_catch_lost_rows(spark):
     m = R.LayerMetrics(R.LayerFrames(bo, bi, so, si.where("order_id != 'o4'"), sales, None))
     rows = {r["check"]: r for r in C.evaluate(R.layer_checks(m, R.SILVER_ONLY)).collect()}
     assert rows["bronze_to_silver_order_items_lossless"]["affected_rows"] == 1
+
+
+def test_gold_tests_detect_each_violation(spark):
+    *_, sales = _layers(spark)
+    gold = G.daily_product_sales(sales, ["delivered"])
+    doubled = gold.unionByName(gold)
+    rows = {r["check"]: r["affected_rows"] for r in C.evaluate(U.gold_tests(doubled, sales, ["delivered"])).collect()}
+    assert rows == {"grain_purchase_date_product_id": 1, "metrics_positive": 0, "reconciled_with_silver": 1}
+    neg = gold.selectExpr("purchase_date", "product_id", "0L as quantity", "total_revenue",
+                          "total_freight", "orders_count")
+    rows = {r["check"]: r["affected_rows"] for r in C.evaluate(U.gold_tests(neg, sales, ["delivered"])).collect()}
+    assert rows["metrics_positive"] == 1 and rows["reconciled_with_silver"] == 1
