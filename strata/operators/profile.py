@@ -17,7 +17,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.convert import pct, ts_text
+from strata.functions.convert import month_text, pct, ts_text
 from strata.operators import checks as C
 from strata.operators.quantiles import column_percentiles, exact_percentiles
 
@@ -79,7 +79,7 @@ def date_ranges(orders: DataFrame, columns: Sequence[str] = ORDER_DATE_COLUMNS)
 def orders_by_month(orders: DataFrame, column: str = "order_purchase_timestamp") -> DataFrame:
     """Orders per purchase month (yyyy-MM), with the first and last month on every row."""
     monthly = (orders.where(F.col(column).isNotNull())
-               .groupBy(F.date_format(column, "yyyy-MM").alias("month"))
+               .groupBy(month_text(column).alias("month"))
                .agg(F.count(F.lit(1)).alias("orders")))
     first = monthly.agg(F.min("month")).scalar()
     last = monthly.agg(F.max("month")).scalar()

@@ -128,9 +128,9 @@ def profile_nulls(spark, sf_dir):
 
 
 _SPARK_TYPES = {
-    "orders": ("string", "string", "string", "date", "timestamp", "timestamp", "timestamp", "timestamp",
-               "timestamp"),
-    "order_items": ("string", "int", "string", "string", "timestamp", "decimal(10,2)", "decimal(10,2)"),
+    "orders": ("string", "string", "string", "date", "timestamp_ntz", "timestamp_ntz", "timestamp_ntz",
+               "timestamp_ntz", "timestamp_ntz"),
+    "order_items": ("string", "int", "string", "string", "timestamp_ntz", "decimal(10,2)", "decimal(10,2)"),
 }
 
 

@@ -9,6 +9,7 @@ MONEY = DecimalType(10, 2)
 
 # Fixed values that must equal the source system's text format and column names.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 ORDERS_COLUMNS = (
     "order_id",
