@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.schemas import SALES_COLUMNS
@@ -20,12 +20,21 @@ def staging(sales: DataFrame) -> DataFrame:
     return sales.select(*SALES_COLUMNS)
 
 
-def valid_sales(sales: DataFrame, valid_sale_statuses: Sequence[str]) -> DataFrame:
-    """Rows whose status is in the list. NULL status never passes; an empty list keeps nothing."""
+def is_valid_sale(valid_sale_statuses: Sequence[str]) -> Column:
+    """The business rule as a predicate: status in the list; an empty list matches nothing.
+
+    A NULL status gives NULL, which ``filter``, ``when`` and ``count_if`` treat as false.
+    Kept as a plain ``IN`` so that it is pushed down to the scan.
+    """
     statuses = list(valid_sale_statuses)
     if not statuses:
-        return sales.filter(F.lit(False))
-    return sales.filter(F.col("order_status").isin(statuses))
+        return F.lit(False)
+    return F.col("order_status").isin(statuses)
+
+
+def valid_sales(sales: DataFrame, valid_sale_statuses: Sequence[str]) -> DataFrame:
+    """Rows whose status is in the list. NULL status never passes; an empty list keeps nothing."""
+    return sales.filter(is_valid_sale(valid_sale_statuses))
 
 
 def daily_product_sales(sales: DataFrame, valid_sale_statuses: Sequence[str]) -> DataFrame:

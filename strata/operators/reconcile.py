@@ -41,7 +41,11 @@ class LayerMetrics:
     def __init__(self, f: LayerFrames,
                  valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES):
         self.frames = f
-        valid = G.valid_sales(f.sales, valid_sale_statuses)
+        # Valid sales as conditional aggregates over the sales frame (same single pass).
+        valid = G.is_valid_sale(valid_sale_statuses)
+
+        def when_valid(c):
+            return F.when(valid, F.col(c))
         self.named = {
             "bronze_orders_rows": C.row_count(f.bronze_orders),
             "bronze_order_items_rows": C.row_count(f.bronze_items),
@@ -50,9 +54,9 @@ class LayerMetrics:
             "silver_sales_rows": C.row_count(f.sales),
             "silver_sales_distinct_keys": C.distinct_count(f.sales, ["order_id", "product_id"]),
             "silver_units_total": C.sum_metric(f.sales, "quantity"),
-            "silver_valid_sales_rows": C.row_count(valid),
-            "silver_valid_units": C.sum_metric(valid, "quantity"),
-            "silver_valid_revenue": C.sum_metric(valid, "item_revenue"),
+            "silver_valid_sales_rows": C.rows_metric(f.sales, F.count_if(valid)),
+            "silver_valid_units": C.rows_metric(f.sales, F.coalesce(F.sum(when_valid("quantity")), F.lit(0))),
+            "silver_valid_revenue": C.rows_metric(f.sales, F.coalesce(F.sum(when_valid("item_revenue")), F.lit(0))),
         }
         if f.gold is not None:
             self.named.update({
