@@ -1,12 +1,20 @@
 """Data-quality checks, evaluated in as few passes as possible.
 
 A check never triggers its own Spark action. Each one declares the aggregates it needs
-(*measures*) over some frame; :class:`Evaluator` fuses every measure over the same frame
-into a single ``agg`` (so ten row-level checks on one table are one scan), every
-measure over the same ``(frame, keys)`` into a single ``groupBy`` (map-side partial
-aggregation, so a hot key is pre-aggregated before the shuffle), and joins nothing:
-the one-row partial results are stacked with ``unionByName`` and folded into one wide
-row with a global ``max``. The results frame has one row per check, in order.
+(*measures*) over some frame, and :class:`Evaluator` plans all measures of a suite
+together:
+
+- every row-level measure over one frame is one ``agg`` (ten checks on a table = one
+  scan, no shuffle);
+- every grouped measure over one frame is one aggregation: a ``groupBy`` for one key
+  set, a ``groupingSets`` aggregate for several (one scan, one shuffle, map-side
+  partial aggregation, so a hot key is pre-aggregated before it moves);
+- measures that compare the keys of two frames (referential integrity, keys without
+  match) share one full outer join of the two sides' per-key row counts;
+- the one-row partial results are stacked with ``unionByName`` and folded into one
+  wide row with a global ``max``: no join of any kind between them.
+
+The results frame has one row per check, in the given order.
 
 Counting rules (they matter, tests pin each one):
 

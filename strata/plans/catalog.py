@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
 from strata.functions.convert import ts_text
+from strata.operators import checks as C
 from strata.operators import gold as G
+from strata.operators import reconcile as R
 from strata.operators import silver as S
+from strata.plans import suites as U
 from strata.plans import oracle_sql as Q
 from strata.sources import adapters as A
 
@@ -151,10 +154,6 @@ def daily_product_sales(spark, sf_dir):
 
 # --- F1-F11: generic checks ----------------------------------------------------
 
-from strata.operators import checks as C  # noqa: E402
-from strata.operators import reconcile as R  # noqa: E402
-from strata.plans import suites as U  # noqa: E402
-
 CHECK_COLUMNS = ("check", "table_name", "severity", "result", "affected_rows")
 DIRTY = [Q.BRONZE_ITEMS_DIRTY, Q.SILVER_ITEMS, Q.BRONZE_ORDERS_DIRTY, Q.SILVER_ORDERS]
 ORPHANS = [Q.BRONZE_ITEMS, Q.SILVER_ITEMS, Q.BRONZE_ORDERS_ORPHANS, Q.SILVER_ORDERS, Q.SALES]
@@ -482,6 +481,7 @@ def reconcile_layers(spark, sf_dir):
     return results(R.layer_checks(m, R.THROUGH_GOLD))
 
 
-# Profiling queries register themselves on import.
-from strata.plans import catalog_profile  # noqa: E402,F401
+# Profiling and source/sink queries register themselves on import (they use the
+# helpers above, so they are imported last).
 from strata.plans import catalog_io  # noqa: E402,F401
+from strata.plans import catalog_profile  # noqa: E402,F401
