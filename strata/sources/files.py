@@ -40,7 +40,8 @@ def read_csv_by_name(spark: SparkSession, path: str, expected: Sequence[str],
     selected by name. Empty fields are NULL. Read one header variant at a time.
     """
     header = header if header is not None else csv_header(spark, path)
-    raw = spark.read.option("header", True).schema(all_text(header)).csv(path)
+    # A compressed extract is one unsplittable file: spread it before typing.
+    raw = spread_input(spark.read.option("header", True).schema(all_text(header)).csv(path))
     missing = [c for c in expected if c not in header]
     cols = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in expected]
     return BronzeRead(raw.select(*cols), header, missing)
