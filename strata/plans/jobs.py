@@ -99,8 +99,12 @@ def _finish(spark: SparkSession, name: str, body: Callable[[list], None],
         outcome.status, outcome.error = "ERROR", f"{type(e).__name__}: {e}"
         log.exception("%s failed", name)
     outcome.duration_seconds = time.time() - started
-    if report and collected:
-        C.write_report(spark, collected, report, outcome.status, outcome.duration_seconds,
+    if report:
+        rows = collected or [{  # a run that failed before any check still leaves a trace
+            "check": "run", "table_name": name, "severity": C.CRITICAL,
+            "result": C.OK if outcome.status == "OK" else C.FAIL, "affected_rows": 0,
+            "message": outcome.error or "no checks ran", "details": {}}]
+        C.write_report(spark, rows, report, outcome.status, outcome.duration_seconds,
                        run_id=f"{name}-{uuid.uuid4().hex[:12]}")
     return outcome
 

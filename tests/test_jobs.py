@@ -48,8 +48,11 @@ def test_critical_failure_stops_before_publish_and_is_reported(spark, tmp_uri):
 
 
 def test_unexpected_error_is_reported_as_error(spark, tmp_uri):
-    out = J.run_silver(spark, f"{tmp_uri}/nope/orders", f"{tmp_uri}/nope/items", f"{tmp_uri}/silver")
+    out = J.run_silver(spark, f"{tmp_uri}/nope/orders", f"{tmp_uri}/nope/items", f"{tmp_uri}/silver",
+                       report=f"{tmp_uri}/report")
     assert out.status == "ERROR" and out.exit_code == 1
+    rep = spark.read.json(f"{tmp_uri}/report").collect()
+    assert len(rep) == 1 and rep[0]["status"] == "ERROR" and rep[0]["check"] == "run"
 
 
 def test_bronze_missing_column_and_missing_file(spark, tmp_uri):
