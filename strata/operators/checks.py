@@ -173,7 +173,8 @@ class Evaluator:
         if m.kind == "rows":
             src = self._source(("rows", id(m.df)), "rows", m.df)
         elif m.kind == "groups":
-            src = self._source(("groups", id(m.df), m.keys), "groups", m.df, m.keys)
+            # A key set is a set: (a, b) and (b, a) are one grouping, never two.
+            src = self._source(("groups", id(m.df), tuple(sorted(m.keys))), "groups", m.df, m.keys)
             for name, expr in m.inner:
                 src["inner"].setdefault(name, expr)
         elif m.kind == "frame":
