@@ -7,6 +7,8 @@ readers. Each call uses a fresh folder.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from strata.operators import gold as G
@@ -22,11 +24,16 @@ from strata.session import scratch_path
 
 
 def land(spark, sf_dir, root=None):
-    """Write both Bronze extracts as CSV with a header; returns (orders_uri, items_uri)."""
+    """Write both Bronze extracts as CSV with a header; returns (orders_uri, items_uri).
+
+    The two writes are independent Spark jobs, submitted from two threads so that they
+    share the executors (one job's narrow stages overlap the other's).
+    """
     root = root or scratch_path(spark, "landing")
-    orders_uri = io.write_csv(A.bronze_orders(spark, sf_dir), f"{root}/orders")
-    items_uri = io.write_csv(A.bronze_order_items(spark, sf_dir), f"{root}/order_items")
-    return orders_uri, items_uri
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        orders = pool.submit(io.write_csv, A.bronze_orders(spark, sf_dir), f"{root}/orders")
+        items = pool.submit(io.write_csv, A.bronze_order_items(spark, sf_dir), f"{root}/order_items")
+        return orders.result(), items.result()
 
 
 @register("bronze_csv_scan", Q.with_(Q.ITEMS, _SILVER_ITEMS_SELECT))
