@@ -7,7 +7,6 @@ overrides a setting the cluster already provides.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,15 +66,6 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return shared_dir(spark, kind, uuid.uuid4().hex)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side filesystem calls in local runs."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def spread_input(df):
     """Give a narrow scan the cluster's parallelism; leave wide scans alone.
 
