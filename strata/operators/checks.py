@@ -85,8 +85,10 @@ class Metric:
     columns and ``inner``; ``fn(col)`` builds that aggregate from a column resolver
     and must only use aggregates that skip NULL input (sum, count(col), count_if,
     min, max), because several key sets share one aggregation and each sees the
-    others' rows as NULL. ``frame``: aggregate over a derived frame owned by one
-    check. ``literal``: a driver-side constant.
+    others' rows as NULL. ``coverage``: aggregate ``fn(n_a, n_b)`` over the per-key
+    row counts of two frames matched on one key (see ``coverage_metric``). ``frame``:
+    aggregate over a derived frame owned by one check. ``literal``: a driver-side
+    constant.
     """
 
     kind: str
