@@ -69,3 +69,17 @@ def test_manifest_without_checksum_does_not_read_content(spark, tmp_uri):
     _write(f"{tmp_uri}/m/d/a.csv", "x\n")
     plan = io.manifest(spark, f"{tmp_uri}/m")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_publish_partitioned_round_trip(spark, tmp_uri):
+    df = spark.range(100).selectExpr("id", "cast(id % 3 as string) as part")
+    io.publish(df, f"{tmp_uri}/p", partition_by=["part"])
+    back = io.read_table(spark, f"{tmp_uri}/p")
+    assert back.count() == 100 and sorted(r["part"] for r in back.select("part").distinct().collect()) == ["0", "1", "2"]
+    assert os.path.isdir(f"{tmp_uri}/p/part=0")
+
+
+def test_export_rejects_unknown_format(spark, tmp_uri):
+    import pytest
+    with pytest.raises(ValueError):
+        io.export_sorted(spark.range(3), f"{tmp_uri}/x", ["id"], formats=("xlsx",))
