@@ -62,7 +62,8 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] | None = None)
     """Full overwrite of a Parquet table.
 
     No ``coalesce(1)``: every task writes its own file, AQE sizes the partitions, and
-    the commit protocol makes a retried task (lost executor) safe.
+    the commit protocol makes a retried task (lost executor) safe. Partition columns
+    live in directory names; on read Spark infers their type from those names.
     """
     w = df.write.mode("overwrite")
     if partition_by:
