@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import substring_dedup
+from strata.llm import substring_dedup, suffix_dedup
 from strata.llm.shared import table
 from strata.llm.ship import ship
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return suffix_dedup.digest(suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents")))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return substring_dedup.digest(substring_dedup.dedup_windows(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
 }
 
