@@ -80,3 +80,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND {" AND ".join(passes)} AS kept
 FROM b
 """
+
+
+def op6(width: int = 10) -> str:
+    terms = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+            r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return rf"""
+WITH i AS (SELECT item_id, {terms} AS ws FROM benchmark),
+d AS (SELECT doc_id, {terms} AS ws FROM documents),
+w AS (
+  SELECT DISTINCT item_id, least(len(ws), {width}) AS size,
+         array_to_string(ws[k:k + least(len(ws), {width}) - 1], ' ') AS g
+  FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(len(ws), {width}) + 2)) AS k FROM i WHERE len(ws) > 0)
+), p AS (
+  SELECT doc_id, k, size, array_to_string(ws[k:k + size - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS k
+        FROM d, (SELECT DISTINCT size FROM w) WHERE len(ws) >= size)
+), h AS (
+  SELECT p.doc_id, p.k, p.size, w.item_id FROM p JOIN w ON p.size = w.size AND p.g = w.g
+), hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS word FROM h) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+"""
