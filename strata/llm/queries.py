@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, quality_rules, sql, substring_dedup, suffix_dedup
+from strata.llm import decontaminate, mixing, quality_rules, sql, substring_dedup, suffix_dedup
 from strata.llm.shared import table
 from strata.llm.ship import ship
 
@@ -21,6 +21,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup_windows(table(spark, sf_dir, "documents")))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return decontaminate.digest(decontaminate.find(
@@ -34,6 +38,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
 }
