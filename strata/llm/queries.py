@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, quality_rules, sql, substring_dedup, suffix_dedup
+from strata.llm import decontaminate, mixing, quality_rules, sql, substring_dedup, suffix_dedup, warc_zip
 from strata.llm.shared import table
 from strata.llm.ship import ship
 
@@ -35,16 +35,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.score(table(spark, sf_dir, "documents")))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return warc_zip.digest(warc_zip.round_trip(table(spark, sf_dir, "pages")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_warc_zip": op8_warc_zip,
 }
 
 SQL: dict[str, str] = {
     "op4_substring_dedup": sql.op4(),
     "op6_decontamination": sql.op6(),
     "op7_quality_rules": sql.op7(),
+    "op8_warc_zip": sql.op8(),
 }

@@ -110,3 +110,17 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
 """
+
+
+def op8(min_bytes: int = 1000) -> str:
+    return f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+  FROM pages
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n < {min_bytes} OR page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n < {min_bytes} OR page_id = holder THEN NULL ELSE holder END AS refers_to
+FROM p
+"""
