@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, quality_rules, sql, substring_dedup, suffix_dedup, warc_zip
+from strata.llm import decontaminate, main_text, mixing, quality_rules, sql, substring_dedup, suffix_dedup, warc_zip
 from strata.llm.shared import table
 from strata.llm.ship import ship
 
@@ -40,6 +40,12 @@ def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.digest(warc_zip.round_trip(table(spark, sf_dir, "pages")))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    pages = table(spark, sf_dir, "pages")
+    return main_text.digest(main_text.extract(pages, main_text.fit(pages)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_warc_zip": op8_warc_zip,
+    "op10_main_text": op10_main_text,
 }
 
 SQL: dict[str, str] = {
