@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, main_text, mixing, quality_rules, sql, substring_dedup, suffix_dedup, warc_zip
+from strata.llm import decontaminate, language_id, main_text, mixing, quality_rules, sql, substring_dedup, suffix_dedup, warc_zip
 from strata.llm.shared import table
 from strata.llm.ship import ship
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return suffix_dedup.digest(suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents")))
@@ -47,6 +52,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_mixing": op5_mixing,
