@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, language_id, main_text, mixing, quality_rules, sql, substring_dedup, suffix_dedup, warc_zip
+from strata.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    main_text,
+    mixing,
+    near_dup,
+    quality_rules,
+    sql,
+    substring_dedup,
+    suffix_dedup,
+    warc_zip,
+)
 from strata.llm.shared import table
 from strata.llm.ship import ship
 
@@ -21,6 +33,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents")))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return substring_dedup.digest(substring_dedup.dedup_windows(table(spark, sf_dir, "documents")))
@@ -45,6 +61,11 @@ def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.digest(warc_zip.round_trip(table(spark, sf_dir, "pages")))
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     pages = table(spark, sf_dir, "pages")
@@ -54,11 +75,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_warc_zip": op8_warc_zip,
+    "op9_near_dup": op9_near_dup,
     "op10_main_text": op10_main_text,
 }
 
@@ -67,4 +90,5 @@ SQL: dict[str, str] = {
     "op6_decontamination": sql.op6(),
     "op7_quality_rules": sql.op7(),
     "op8_warc_zip": sql.op8(),
+    "op9_near_dup": sql.op9(),
 }

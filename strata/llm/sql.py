@@ -124,3 +124,28 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
        CASE WHEN n < {min_bytes} OR page_id = holder THEN NULL ELSE holder END AS refers_to
 FROM p
 """
+
+
+def op9(shingle: int = 4, percent: int = 80) -> str:
+    words = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+            rf"'abcdefghijklmnopqrstuvwxyz'), '{_SPACES}'), lambda x: x <> '')"
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {words} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[k:k + least(len(ws), {shingle}) - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(len(ws), {shingle}) + 2)) AS k FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * common >= {percent} * (p.n + q.n - common)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS via FROM w
+  UNION
+  SELECT reach.node, links.y FROM reach JOIN links ON links.x = reach.via
+), least_id AS (SELECT node, min(via) AS component_id FROM reach GROUP BY node)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN least_id ON least_id.node = w.doc_id
+"""
