@@ -29,6 +29,8 @@ from strata.llm import textbatch as tb
 WINDOW, CLASSES, EMBEDDED, FILTERS, WIDTHS = 256, 64, 8, 8, (2, 3, 4)
 PER_LANGUAGE, EXCERPTS, EPOCHS, BATCH, SEED = 300, 4, 6, 64, 3
 UNKNOWN = "und"
+#: The pipeline rejects texts under this score, little over what a guess among four languages gets.
+MIN_SCORE = 0.35
 
 _SPACE, _DIGIT, _OTHER = 26, 27, 28
 FOLD = np.full(256, _OTHER, np.uint8)
@@ -201,6 +203,23 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, excerpts: int = EX
     return sorted((r["lang"], piece) for r in rows.select("lang", "pieces").collect() for piece in r["pieces"])
 
 
+def _judged(model: Compiled | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of every text."""
+    data, offsets = tb.buffers(texts)
+    letters = np.r_[0, np.cumsum(LETTER[data])]
+    known = letters[offsets[1:]] > letters[offsets[:-1]]
+    for i in np.flatnonzero(~known & (np.diff(offsets) > 0)).tolist():
+        known[i] = any(map(str.isalpha, texts[i].as_py()))
+    if not model or not len(data):
+        return [UNKNOWN] * len(known), np.zeros(len(known))
+    x, row, n = windows(data, offsets)
+    total = np.zeros((len(known), len(model.languages)))
+    np.add.at(total, row, model.probabilities(x) * n[:, None])
+    total /= np.maximum(1, np.diff(offsets))[:, None]
+    names = [model.languages[b] if k else UNKNOWN for b, k in zip(total.argmax(1).tolist(), known.tolist(), strict=True)]
+    return names, np.where(known, np.clip(total.max(1), 0, 1), 0.0)
+
+
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
@@ -208,22 +227,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value.compiled() if sent.value else None
         for batch in tb.chunks(batches):
-            data, offsets = tb.buffers(batch.column("text"))
-            texts = batch.column("text")
-            letters = np.r_[0, np.cumsum(LETTER[data])]
-            known = letters[offsets[1:]] > letters[offsets[:-1]]
-            for i in np.flatnonzero(~known & (np.diff(offsets) > 0)).tolist():
-                known[i] = any(map(str.isalpha, texts[i].as_py()))
-            names, score = [UNKNOWN] * len(known), np.zeros(len(known))
-            if model and len(data):
-                x, row, n = windows(data, offsets)
-                p = model.probabilities(x) * n[:, None]
-                total = np.zeros((len(known), len(model.languages)))
-                np.add.at(total, row, p)
-                total /= np.maximum(1, np.diff(offsets))[:, None]
-                best = total.argmax(1)
-                score = np.where(known, np.clip(total.max(1), 0, 1), 0.0)
-                names = [model.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
+            names, score = _judged(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()),
                  pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
@@ -234,3 +238,17 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
 
 def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, train(sample(docs)))
+
+
+def recognised(docs: DataFrame, net: Network | None, least: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value.compiled() if sent.value else None
+        for batch in tb.chunks(batches):
+            names, score = _judged(model, batch.column("text"))
+            keep = (np.array(names, object) != UNKNOWN) & (score >= least)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

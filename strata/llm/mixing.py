@@ -32,11 +32,11 @@ WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 MAX_STEPS, BINS, REFINEMENTS = 60, 1024, 2
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source key and words of each document. The key orders sources by code point, null last."""
+def sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source key and words of each document, and more columns. The key orders sources by code point, null last."""
     key = F.when(F.col("source").isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), F.col("source")))
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), size.alias("size"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), size.alias("size"), *more)
 
 
 def targets(counts: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
