@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm import sketch, textbatch as tb
+from strata.llm import packed, sketch
+from strata.llm import textbatch as tb
 from strata.llm.shared import ordered_id, partitions, plain_id
 
 GRAM = 8
@@ -75,7 +76,7 @@ CANDIDATE = "bucket int, known boolean, h1 binary, h2 binary, doc binary, pos bi
 HELD = 1 << 21
 
 
-def _candidates(width: int, gram: int, packed, bits: int, buckets: int):
+def _candidates(width: int, gram: int, sketched, bits: int, buckets: int):
     """Per task: first occurrences of maybe repeated windows by hash bucket, and repeats known already."""
 
     def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +109,7 @@ def _candidates(width: int, gram: int, packed, bits: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        flags = packed.value
+        flags = sketched.value
         for batch in tb.chunks(batches):
             c = _Chunk(batch, width, gram)
             if not len(c.windows):
@@ -132,16 +133,16 @@ def _candidates(width: int, gram: int, packed, bits: int, buckets: int):
     return run
 
 
-def _by_document(doc: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
-    order = np.argsort(doc, kind="stable")
-    doc, pos = doc[order], pos[order]
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    ends = np.r_[cut[1:], len(doc)] if len(doc) else cut
-    return pd.DataFrame({"doc_id": doc[cut], "starts": [pos[i:j].tobytes() for i, j in zip(cut, ends, strict=True)]})
+def _repeats(buckets: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of one hash bucket: every start that is not its sequence's first."""
+        doc, pos = _later_starts(pdf)
+        return packed.deal(doc, pos, buckets)
+
+    return run
 
 
-def _repeats(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one hash bucket: every start that is not its sequence's first."""
+def _later_starts(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     read = lambda name, kind, rows: np.frombuffer(b"".join(pdf.loc[rows, name]), kind)
     known, new = pdf["known"].to_numpy(bool), ~pdf["known"].to_numpy(bool)
     docs, starts = [read("doc", np.int64, known)], [read("pos", np.int32, known)]
@@ -155,34 +156,35 @@ def _repeats(pdf: pd.DataFrame) -> pd.DataFrame:
         later = (doc != doc[lead]) | (pos != pos[lead])
         docs.append(doc[later])
         starts.append(pos[later])
-    return _by_document(np.concatenate(docs), np.concatenate(starts))
+    return np.concatenate(docs), np.concatenate(starts)
 
 
 def repeated_windows(docs: DataFrame, width: int = 20, gram: int = GRAM) -> DataFrame:
-    """doc_id and packed int32 word starts (``starts``) of windows that also start earlier; several rows a document."""
+    """doc_id and packed int32 word starts (``found``) of windows that also start earlier; one row a document."""
     spark = docs.sparkSession
     rows = docs.select(ordered_id().alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About six bytes a word; of width - gram + 2 neighbouring grams two are elected.
     bits = sketch.bits_for(size / 6 * 2 / (width - gram + 2))
-    packed = spark.sparkContext.broadcast(
+    flags = spark.sparkContext.broadcast(
         sketch.repeated_bits(rows.select("text"), _keys(width, gram), bits))
-    buckets = 4 * partitions(spark)
-    found = rows.mapInArrow(_candidates(width, gram, packed, bits, buckets), CANDIDATE)
-    return found.groupBy("bucket").applyInPandas(_repeats, "doc_id long, starts binary")
+    buckets = partitions(spark)
+    found = rows.mapInArrow(_candidates(width, gram, flags, bits, buckets), CANDIDATE)
+    dealt = found.groupBy("bucket").applyInPandas(_repeats(buckets), packed.DEALT)
+    return dealt.groupBy("to").applyInPandas(packed.gather(np.int32), packed.GATHERED)
 
 
 def _cut(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, gone, kept = [], [], []
-            for text, flags in zip(batch.column("text"), batch.column("starts"), strict=True):
+            for text, flags in zip(batch.column("text"), batch.column("found"), strict=True):
                 raw = text.as_buffer()
                 found = raw.to_pybytes().split() if raw is not None else []
                 n.append(len(found))
                 flagged = flags.as_py()
                 if flagged:
-                    starts = np.frombuffer(b"".join(flagged), np.int32).astype(np.int64)
+                    starts = np.frombuffer(flagged, np.int32).astype(np.int64)
                     drop = tb.covered(starts[starts + width <= len(found)], width, len(found))
                     found = [w for w, d in zip(found, drop, strict=True) if not d]
                 gone.append(n[-1] - len(found))
@@ -198,9 +200,7 @@ def _cut(width: int):
 def dedup_windows(docs: DataFrame, width: int = 20, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), one row for each input row."""
     rows = docs.select(ordered_id().alias("doc_id"), "text")
-    flags = (repeated_windows(docs, width, gram).groupBy("doc_id")
-             .agg(F.collect_list("starts").alias("starts")))
-    joined = rows.join(flags, "doc_id", "left")
+    joined = rows.join(repeated_windows(docs, width, gram), "doc_id", "left")
     return joined.mapInArrow(
         _cut(width), "doc_id long, n_words long, n_removed long, kept_text string"
     ).withColumn("doc_id", plain_id("doc_id"))

@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm import sketch, textbatch as tb
+from strata.llm import packed, sketch
+from strata.llm import textbatch as tb
 from strata.llm.shared import ordered_id, partitions, plain_id
 
 LENGTH, GRAM, SHALLOW, SMALL, SEGMENT = 400, 64, 64, 16, 1 << 22
@@ -161,7 +162,7 @@ CONTEXT = "bucket int, known boolean, text binary, lengths binary, anchors binar
 HELD = 1 << 24
 
 
-def _contexts(length: int, gram: int, packed, bits: int, buckets: int):
+def _contexts(length: int, gram: int, sketched, bits: int, buckets: int):
     def flush(held: dict) -> Iterator[pa.RecordBatch]:
         new: dict[int, list] = {}
         known: dict[int, list] = {}
@@ -195,7 +196,7 @@ def _contexts(length: int, gram: int, packed, bits: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
         size = 0
-        flags = packed.value
+        flags = sketched.value
         for data, offsets, ids, base in _segments(batches, length):
             anchor, low, high, key = _anchors(data, offsets, length, gram)
             maybe = sketch.maybe_repeated(key, flags, bits)
@@ -254,7 +255,7 @@ def repeated_offsets(texts: list[bytes], anchors: np.ndarray, length: int) -> np
     return hit
 
 
-def _sorted_bucket(length: int):
+def _sorted_bucket(length: int, buckets: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         known, new = pdf[pdf["known"]], pdf[~pdf["known"]]
         docs = [np.frombuffer(b"".join(known["doc"]), np.int64)]
@@ -278,26 +279,22 @@ def _sorted_bucket(length: int):
             begin.append(origin - (far - 1))
             stop.append(origin - near + length)
         doc, begin, stop = np.concatenate(docs), np.concatenate(begin), np.concatenate(stop)
-        order = np.argsort(doc, kind="stable")
-        doc, begin, stop = doc[order], begin[order], stop[order]
-        cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        ends = np.r_[cut[1:], len(doc)] if len(doc) else cut
-        return pd.DataFrame({"doc_id": doc[cut], "spans": [
-            np.stack([begin[i:j], stop[i:j]], 1).tobytes() for i, j in zip(cut, ends, strict=True)]})
+        return packed.deal(doc, np.stack([begin, stop], 1), buckets)
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id and packed pairs of int64 (begin, stop) of repeated bytes (``spans``); several rows a document."""
+    """doc_id and packed pairs of int64 (begin, stop) of repeated bytes (``found``); one row a document."""
     spark = docs.sparkSession
     rows = docs.select(ordered_id().alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch.bits_for(size * 2 / (length - gram + 2))
-    packed = spark.sparkContext.broadcast(sketch.repeated_bits(rows, _keys(length, gram), bits))
-    buckets = 4 * partitions(spark)
-    found = rows.mapInArrow(_contexts(length, gram, packed, bits, buckets), CONTEXT)
-    return found.groupBy("bucket").applyInPandas(_sorted_bucket(length), "doc_id long, spans binary")
+    flags = spark.sparkContext.broadcast(sketch.repeated_bits(rows, _keys(length, gram), bits))
+    buckets = partitions(spark)
+    found = rows.mapInArrow(_contexts(length, gram, flags, bits, buckets), CONTEXT)
+    dealt = found.groupBy("bucket").applyInPandas(_sorted_bucket(length, buckets), packed.DEALT)
+    return dealt.groupBy("to").applyInPandas(packed.gather(np.int64, 2), packed.GATHERED)
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -314,13 +311,13 @@ def merged(spans: np.ndarray) -> np.ndarray:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total, gone, runs, kept = [], [], [], []
-        for text, found in zip(batch.column("text"), batch.column("spans"), strict=True):
+        for text, found in zip(batch.column("text"), batch.column("found"), strict=True):
             raw = text.as_buffer()
             raw = raw.to_pybytes() if raw is not None else b""
-            packed = found.as_py()
+            pairs = found.as_py()
             total.append(len(raw))
-            if packed:
-                spans = merged(np.frombuffer(b"".join(packed), np.int64).reshape(-1, 2))
+            if pairs:
+                spans = merged(np.frombuffer(pairs, np.int64).reshape(-1, 2))
                 spans = spans[spans[:, 1] <= len(raw)]
                 edges = [0, *spans.reshape(-1).tolist(), len(raw)]
                 rest = b"".join(raw[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True))
@@ -337,8 +334,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (remaining bytes; may split a character), one row a document."""
     rows = docs.select(ordered_id().alias("doc_id"), "text")
-    spans = repeated_spans(docs, length, gram).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    return rows.join(spans, "doc_id", "left").mapInArrow(
+    return rows.join(repeated_spans(docs, length, gram), "doc_id", "left").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     ).withColumn("doc_id", plain_id("doc_id"))
 
