@@ -8,7 +8,6 @@ Layers:
 - ``strata.operators``  Silver and Gold transforms, the fused check evaluator,
                         cross-layer reconciliation and profiling operators.
 - ``strata.plans``      check suites, jobs with exit codes, and the query catalog.
-- ``strata.streaming``  intentionally empty: the pipeline is batch only.
 """
 
 __version__ = "0.1.0"

@@ -1,8 +1,8 @@
 """Session helpers.
 
 Jobs receive a session from whoever runs them (spark-submit, a notebook, the test
-fixture). ``build_session`` is only a convenience for local runs and tests; it never
-overrides a setting the cluster already provides.
+fixture). ``build_session`` is a convenience for local runs, tests and the command line;
+a setting that the cluster or an existing session already has is left as it is.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings the pipeline relies on. Time zone: typed timestamps are parsed from
-# zone-less text, so the zone is pinned to UTC (the reference does the same).
+# Settings the pipeline relies on, applied only where nothing is set. Time zone: typed
+# timestamps come from zone-less text.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,59 +27,52 @@ DEFAULT_CONF = {
 def build_session(app_name: str = "strata", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
+    """The active session unchanged, or a new one; ``extra`` is the caller's own choice and wins over defaults."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    given = SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not given.contains(k)}
+    if shuffle_partitions and not given.contains("spark.sql.shuffle.partitions"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
-
+    return builder.getOrCreate()
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder every executor can reach, below the cluster's checkpoint dir.
 
-    The location comes from ``spark.checkpoint.dir`` as the cluster configures it.
-    Only when it is unset (local runs, tests) a folder is created and registered as
-    the checkpoint dir, so that later ``checkpoint()`` calls use the same place.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Where it is unset, a local-mode session gets a folder of its own; a cluster must set it."""
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        current = sc.getCheckpointDir()
-        if current:
-            base = current.rsplit("/", 1)[0]
-        else:
-            base = tempfile.mkdtemp(prefix="strata-shared-")
-            sc.setCheckpointDir(base)
-    base = base.rstrip("/")
-    return "/".join([base, "strata", *parts]) if parts else f"{base}/strata"
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="strata-shared-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """This application's folder below the checkpoint dir, reachable from every executor."""
+    return "/".join([checkpoint_dir(spark), "strata", spark.sparkContext.applicationId, *parts])
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh, unique location under the shared folder (one per call)."""
+    """A fresh, unique location under the application's folder (one per call)."""
     return shared_dir(spark, kind, uuid.uuid4().hex)
 
 
-def spread_input(df):
-    """Give a narrow scan the cluster's parallelism; leave wide scans alone.
-
-    A table stored as one unsplittable file (a single Parquet row group) is read by one
-    task, and everything up to the first shuffle (typing, casts, map-side partial
-    aggregation) would run on one core. Such a scan is spread round-robin over
-    ``defaultParallelism`` partitions. Inputs that already have at least that many
-    partitions, the normal case for large tables, get no extra shuffle.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect): keep the plan
-        pass
-    return df
+def hadoop_path(spark: SparkSession, uri: str):
+    """The file system of a URI and its path there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote as scratch; call when its results have been read."""
+    fs, path = hadoop_path(spark, shared_dir(spark))
+    fs.delete(path, True)

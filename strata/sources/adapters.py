@@ -3,8 +3,7 @@
 The pipeline's input is two text extracts (every column a string). The benchmark
 ships typed Parquet tables instead, so these adapters derive the Bronze shape from
 them with plain projections (and one aggregate + join for the carrier date). They run
-over whole tables; the variants only change values or drop a business segment, they
-never sample.
+over whole tables; the variants only change values, they never drop or sample rows.
 
 Mapping:
 
@@ -23,8 +22,8 @@ Variants (fixed rules, mirrored by the oracle SQL):
   where l_quantity = 2, price negated where l_quantity = 3.
 - ``dirty`` orders: purchase timestamp ``'not-a-date'`` where status 'P' and priority
   '1-URGENT'; status NULL where status 'O' and priority '2-HIGH'.
-- ``orphans`` orders: the '5-LOW' priority segment is missing from orders, so its
-  items have no parent.
+- ``orphans`` orders: those of priority '5-LOW' have an ``X`` before their order_id, so
+  their items have no parent and they have no items.
 """
 
 from __future__ import annotations
@@ -33,7 +32,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.convert import ts_text
-from strata.session import spread_input
 from strata.sources.schemas import MONEY, ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS
 
 # Fixed values of the variants (see module docstring).
@@ -51,7 +49,7 @@ BENCH_PERIOD = ("1995-01-01", "2001-08-01")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _money_text(c) -> F.Column:
@@ -84,9 +82,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str, variant: str = "clean")
 def bronze_orders(spark: SparkSession, sf_dir: str, variant: str = "clean") -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    if variant == "orphans":
-        o = o.filter(~F.col("o_orderpriority").eqNullSafe(ORPHAN_PRIORITY))
-    elif variant not in ("clean", "dirty"):
+    if variant not in ("clean", "dirty", "orphans"):
         raise ValueError(f"unknown orders variant {variant!r}")
     # One row per order before the join: partial aggregation map-side, then a join of
     # two order-grained inputs.
@@ -101,8 +97,11 @@ def bronze_orders(spark: SparkSession, sf_dir: str, variant: str = "clean") -> D
         purchase = F.when((status == "P") & (prio == "1-URGENT"), F.lit(BAD_DATE)).otherwise(purchase)
         status = F.when((status == "O") & (prio == "2-HIGH"), F.lit(None)).otherwise(status)
     none = F.lit(None).cast("string")
+    order_id = F.col("o_orderkey").cast("string")
+    if variant == "orphans":
+        order_id = F.when(F.col("o_orderpriority") == ORPHAN_PRIORITY, F.concat(F.lit("X"), order_id)).otherwise(order_id)
     return j.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        order_id.alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         status.alias("order_status"),
         purchase.alias("order_purchase_timestamp"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import spread_input
+from strata.session import hadoop_path
 from strata.sources.schemas import all_text
 
 
@@ -30,21 +32,54 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
+def _by_name(spark: SparkSession, paths, header: Sequence[str], expected: Sequence[str]) -> DataFrame:
+    # enforceSchema=false: Spark compares every part file's own header with the schema and
+    # fails on a difference, instead of binding columns by position.
+    raw = (spark.read.option("header", True).option("enforceSchema", False)
+           .schema(all_text(header)).csv(paths))
+    return raw.select(*[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c)
+                        for c in expected])
+
+
 def read_csv_by_name(spark: SparkSession, path: str, expected: Sequence[str],
                      header: list[str] | None = None) -> BronzeRead:
     """Read a CSV with a header, every column as text, binding columns by *name*.
 
-    Spark binds an explicit schema to CSV columns by position, so a file whose header
-    is ``b,a,c`` would silently be read as ``a,b,c``. Here the schema is the file's own
-    header (all strings, nothing inferred, one pass) and the expected columns are then
-    selected by name. Empty fields are NULL. Read one header variant at a time.
+    The schema is the file's own header (all strings, nothing inferred, one pass); the
+    expected columns are then selected by name. Empty fields are NULL. All part files
+    must share one header: a part with another one fails the read; ``read_csv_variants``
+    reads such folders.
     """
     header = header if header is not None else csv_header(spark, path)
-    # A compressed extract is one unsplittable file: spread it before typing.
-    raw = spread_input(spark.read.option("header", True).schema(all_text(header)).csv(path))
-    missing = [c for c in expected if c not in header]
-    cols = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in expected]
-    return BronzeRead(raw.select(*cols), header, missing)
+    return BronzeRead(_by_name(spark, path, header, expected), header,
+                      [c for c in expected if c not in header])
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Part files by the header they declare; reads the lines of each file's first block.
+
+    Collects one path a file: a listing, like the one the scan itself makes on the driver.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.collect():
+        found.setdefault(tuple(next(csv.reader([r["line"]]))), []).append(r["file"])
+    return {k: sorted(v) for k, v in sorted(found.items())}
+
+
+def read_csv_variants(spark: SparkSession, path: str, expected: Sequence[str]) -> BronzeRead:
+    """Like ``read_csv_by_name`` for folders whose part files declare different headers: each is read by its own."""
+    variants = csv_headers(spark, path)
+    if not variants:
+        raise ValueError(f"no CSV header under {path}")
+    frame = None
+    for header, paths in variants.items():
+        part = _by_name(spark, paths, list(header), expected)
+        frame = part if frame is None else frame.unionByName(part)
+    names = list(dict.fromkeys(c for h in variants for c in h))
+    return BronzeRead(frame, names, [c for c in expected if any(c not in h for h in variants)])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -55,78 +90,127 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A published Silver or Gold table."""
-    return spread_input(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
-    """Full overwrite of a Parquet table.
+def stage(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
+    """Write a Parquet table beside its destination; nothing at ``path`` changes. Returns the staged location.
 
     No ``coalesce(1)``: every task writes its own file, AQE sizes the partitions, and
-    the commit protocol makes a retried task (lost executor) safe. Partition columns
-    live in directory names; on read Spark infers their type from those names.
+    the commit protocol makes a retried task (lost executor) safe.
     """
-    w = df.write.mode("overwrite")
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(staged)
+    return staged
+
+
+def switch(spark: SparkSession, staged: str, path: str) -> str:
+    """Put a complete staged table in place of ``path``: two renames; a failure between them is undone."""
+    fs, new = hadoop_path(spark, staged)
+    _, dest = hadoop_path(spark, path)
+    _, old = hadoop_path(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(dest)
+    if had and not fs.rename(dest, old):
+        raise OSError(f"could not move {path} aside")
+    try:
+        if not fs.rename(new, dest):
+            raise OSError(f"could not move {staged} to {path}")
+    except Exception:
+        if had:
+            fs.rename(old, dest)
+        raise
+    if had:
+        fs.delete(old, True)
     return path
 
 
+def discard(spark: SparkSession, staged: str) -> None:
+    fs, path = hadoop_path(spark, staged)
+    fs.delete(path, True)
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
+    """Replace a Parquet table: the old one stays readable until the new one is complete.
+
+    Partition columns live in directory names; on read Spark infers their type from those names.
+    """
+    spark = df.sparkSession
+    return switch(spark, stage(df, path, partition_by), path)
+
+
 def export_sorted(df: DataFrame, dest: str, keys: Sequence[str],
                   formats: Sequence[str] = ("parquet", "csv")) -> dict[str, str]:
     """Globally ordered export: range-partitioned sort, part files in key order.
 
-    Returns ``{format: path}``; paths are ``{dest}/{name}.{format}`` directories whose
-    part files, read in name order, are sorted by ``keys``.
+    Returns ``{format: path}``; paths are ``{dest}.{format}`` directories whose part
+    files, read in name order, are sorted by ``keys``.
     """
-    ordered = df.orderBy(*keys)
+    unknown = [f for f in formats if f not in ("parquet", "csv")]
+    if unknown:
+        raise ValueError(f"unsupported export format {unknown[0]!r}")
     out = {}
+    ordered = df.orderBy(*keys)
     for fmt in formats:
         path = f"{dest.rstrip('/')}.{fmt}"
-        if fmt == "parquet":
-            ordered.write.mode("overwrite").parquet(path)
-        elif fmt == "csv":
-            ordered.write.mode("overwrite").option("header", True).csv(path)
-        else:
-            raise ValueError(f"unsupported export format {fmt!r}")
+        w = ordered.write.mode("overwrite")
+        w.parquet(path) if fmt == "parquet" else w.option("header", True).csv(path)
         out[fmt] = path
     return out
 
 
-def manifest(spark: SparkSession, root: str, glob: str = "*", with_checksum: bool = False) -> DataFrame:
-    """One row per file under ``root``: dataset (parent folder), file, bytes[, sha256].
+def manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """One row per file under ``root``: dataset (parent folder), file_name, bytes.
 
-    Without ``with_checksum`` only file metadata is read (the binaryFile source prunes
-    the content column), so listing a large landing zone costs no data read.
+    Only file metadata is read (the binaryFile source prunes the content column), so
+    listing a large landing zone costs no data read.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", glob).load(root))
     parts = F.split(F.col("path"), "/")
-    cols = [
-        F.element_at(parts, -2).alias("dataset"),
-        F.element_at(parts, -1).alias("file_name"),
-        F.col("length").alias("bytes"),
-    ]
-    if with_checksum:
-        cols.append(F.sha2(F.col("content"), 256).alias("sha256"))
-    return files.select(*cols)
+    return files.select(F.element_at(parts, -2).alias("dataset"), F.element_at(parts, -1).alias("file_name"),
+                        F.col("length").alias("bytes"))
+
+
+def content_manifest(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """One row per dataset: rows and summed line lengths (header lines left out), read as splittable text.
+
+    A file is never loaded whole, so its size has no limit and its splits spread over tasks.
+    """
+    out = None
+    for name, path in paths.items():
+        raw = spark.read.option("header", True).option("enforceSchema", False)
+        frame = raw.schema(all_text(csv_header(spark, path))).csv(path)
+        part = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_length(frame.columns)), F.lit(0))
+                         .cast("bigint").alias("characters")).select(F.lit(name).alias("dataset"), "rows", "characters")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def row_length(columns: Sequence[str]) -> Column:
+    """Characters of a text row's values; NULL has none."""
+    total = F.lit(0)
+    for c in columns:
+        total = total + F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0))
+    return total
 
 
 def compare_manifests(expected: DataFrame, landed: DataFrame,
                       keys: Sequence[str] = ("dataset", "file_name")) -> DataFrame:
-    """Full outer join of two manifests: missing / unexpected / changed / same per file."""
+    """Full outer join of two manifests: missing / unexpected / changed / same per key."""
     keys = list(keys)
-    e = expected.select(*keys, *[F.col(c).alias(f"expected_{c}") for c in expected.columns if c not in keys])
-    l = landed.select(*keys, *[F.col(c).alias(f"landed_{c}") for c in landed.columns if c not in keys])
+    measures = [c for c in expected.columns if c not in keys]
+    e = expected.select(*keys, *[F.col(c).alias(f"expected_{c}") for c in measures], F.lit(True).alias("in_e"))
+    l = landed.select(*keys, *[F.col(c).alias(f"landed_{c}") for c in measures], F.lit(True).alias("in_l"))
     j = e.join(l, keys, "full")
-    in_e = F.col("expected_bytes").isNotNull()
-    in_l = F.col("landed_bytes").isNotNull()
-    same = F.col("expected_bytes") == F.col("landed_bytes")
-    if "expected_sha256" in j.columns and "landed_sha256" in j.columns:
-        same = same & F.col("expected_sha256").eqNullSafe(F.col("landed_sha256"))
-    status = (F.when(in_e & ~in_l, F.lit("missing")).when(~in_e & in_l, F.lit("unexpected"))
+    same = F.lit(True)
+    for c in measures:
+        same = same & F.col(f"expected_{c}").eqNullSafe(F.col(f"landed_{c}"))
+    status = (F.when(F.col("in_l").isNull(), F.lit("missing")).when(F.col("in_e").isNull(), F.lit("unexpected"))
               .when(same, F.lit("same")).otherwise(F.lit("changed")))
-    return j.withColumn("status", status)
+    return j.withColumn("status", status).drop("in_e", "in_l")
 
 
 def dataset_totals(files: DataFrame) -> DataFrame:
