@@ -6,29 +6,23 @@ small, deterministic result frame. Conventions:
 - value counts and distinct counts exclude NULL (like the exploration's pandas calls);
   where a NULL key matters (duplicates, join coverage) NULLs compare equal;
 - percentages are rounded to 2 places, statistics to 4;
-- global totals come from scalar subqueries (``DataFrame.scalar()``): computed once
-  and inlined as a literal, no join of a one-row frame, no window over everything.
+- global totals are window sums over the small histogram they belong to, so the input is
+  aggregated once; no join of a one-row frame.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.convert import month_text, pct, ts_text
 from strata.operators import checks as C
 from strata.operators.quantiles import column_percentiles, exact_percentiles
+from strata.sources.schemas import ORDER_TIMESTAMP_COLUMNS
 
 PRICE_PROBS = (0.01, 0.25, 0.50, 0.75, 0.95, 0.99, 1.00)
-ORDER_DATE_COLUMNS = (
-    "order_purchase_timestamp",
-    "order_approved_at",
-    "order_delivered_carrier_date",
-    "order_delivered_customer_date",
-    "order_estimated_delivery_date",
-)
 
 
 def _unpivot(row: DataFrame, structs: list[Column]) -> DataFrame:
@@ -63,7 +57,7 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
 # --- D11/D12: dates -------------------------------------------------------------
 
 
-def date_ranges(orders: DataFrame, columns: Sequence[str] = ORDER_DATE_COLUMNS) -> DataFrame:
+def date_ranges(orders: DataFrame, columns: Sequence[str] = ORDER_TIMESTAMP_COLUMNS) -> DataFrame:
     """min, max and NULL count per date column (one aggregate pass, then unpivot)."""
     aggs = []
     for c in columns:
@@ -81,9 +75,10 @@ def orders_by_month(orders: DataFrame, column: str = "order_purchase_timestamp")
     monthly = (orders.where(F.col(column).isNotNull())
                .groupBy(month_text(column).alias("month"))
                .agg(F.count(F.lit(1)).alias("orders")))
-    first = monthly.agg(F.min("month")).scalar()
-    last = monthly.agg(F.max("month")).scalar()
-    return monthly.select("month", "orders", first.alias("first_month"), last.alias("last_month"))
+    # Totals come from the histogram itself (a row a month), so the input is aggregated once.
+    every = Window.partitionBy()
+    return monthly.select("month", "orders", F.min("month").over(every).alias("first_month"),
+                          F.max("month").over(every).alias("last_month"))
 
 
 # --- D13/D14: summaries ---------------------------------------------------------
@@ -117,19 +112,40 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def text_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, distinct values, most frequent value (ties -> smallest value) and its frequency."""
-    out = None
-    for c in columns:
-        present = df.where(F.col(c).isNotNull())
-        top = (present.groupBy(c).agg(F.count(F.lit(1)).alias("freq"))
-               .orderBy(F.col("freq").desc(), F.col(c).asc()).limit(1)
-               .select(F.struct(F.col(c).cast("string").alias("top"), "freq")).scalar())
-        part = present.agg(F.count(F.lit(1)).alias("count"),
-                           F.count_distinct(c).alias("distinct_values")).select(
-            F.lit(c).alias("column_name"), "count", "distinct_values",
-            top["top"].alias("top"), top["freq"].alias("freq"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """count, distinct values, most frequent value (ties -> smallest value) and its frequency.
+
+    All columns in one pass: values are counted per column name (map-side combined), then
+    folded; the most frequent one is the least of (-frequency, value).
+    """
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])).alias("e"))
+    counted = (pairs.select("e.*").groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    present = F.col("v").isNotNull()
+    folded = counted.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("count"),
+        F.count("v").alias("distinct_values"),
+        F.min(F.when(present, F.struct((-F.col("n")).alias("minus"), F.col("v").alias("top")))).alias("t"))
+    return folded.select("column_name", "count", "distinct_values", F.col("t.top").alias("top"),
+                         (-F.col("t.minus")).alias("freq"))
+
+
+def date_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """count, min, quartiles and max of date columns as text; quartiles are of the seconds, rounded down."""
+    seconds = {c: F.unix_timestamp(F.col(c).cast("timestamp_ntz").cast("timestamp")) for c in columns}
+    frame = df.select(*[seconds[c].alias(c) for c in columns])
+    row = frame.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns)
+                      for n, f in (("count", F.count), ("min", F.min), ("max", F.max))])
+    ends = _unpivot(row, [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").cast("double").alias(n)
+                                                                    for n in ("count", "min", "max")])
+                          for i, c in enumerate(columns)])
+    quartiles = column_percentiles(frame, list(columns), (0.25, 0.5, 0.75)).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
+          for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    folded = ends.unionByName(quartiles, allowMissingColumns=True).groupBy("column_name").agg(
+        *[F.max(k).alias(k) for k in ("count", "min", "p25", "p50", "p75", "max")])
+    text = lambda k: ts_text(F.timestamp_seconds(F.floor(k)).cast("timestamp_ntz")).alias(f"{k}_value")
+    return folded.select("column_name", F.col("count").cast("bigint").alias("count"),
+                         *[text(k) for k in ("min", "p25", "p50", "p75", "max")])
 
 
 def price_percentiles(items: DataFrame, probs: Sequence[float] = PRICE_PROBS) -> DataFrame:
@@ -144,10 +160,11 @@ def items_per_order(items: DataFrame) -> DataFrame:
     """Histogram of items per order, with the mean (2 places) and max on every row."""
     per_order = items.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items"))
-    mean = per_order.agg(F.round(F.avg("items"), 2)).scalar()
-    top = per_order.agg(F.max("items")).scalar()
+    every = Window.partitionBy()
+    mean = F.sum(F.col("items") * F.col("orders")).over(every) / F.sum("orders").over(every)
     return (per_order.groupBy("items").agg(F.count(F.lit(1)).alias("orders"))
-            .select("items", "orders", mean.alias("avg_items"), top.alias("max_items")))
+            .select("items", "orders", F.round(mean, 2).alias("avg_items"),
+                    F.max("items").over(every).alias("max_items")))
 
 
 def order_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -157,11 +174,14 @@ def order_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
     hot order is pre-aggregated) and joined to the number of order rows per key; an order
     listed k times multiplies counts and sums by k, exactly as the row join would.
     """
-    per_order = items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("_items"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        F.count_distinct("seller_id").alias("distinct_sellers"),
-        F.sum("price").alias("_total"),
+    # First per (order, product, seller), so that two distinct counts do not multiply the rows.
+    shapes = items.groupBy("order_id", "product_id", "seller_id").agg(
+        F.count("order_item_id").alias("_n"), F.sum("price").alias("_price"))
+    per_order = shapes.groupBy("order_id").agg(
+        F.sum("_n").alias("_items"),
+        F.size(F.collect_set("product_id")).cast("bigint").alias("distinct_products"),
+        F.size(F.collect_set("seller_id")).cast("bigint").alias("distinct_sellers"),
+        F.sum("_price").alias("_total"),
     )
     copies = orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_k"))
     joined = per_order.join(copies, "order_id", "inner")
@@ -183,13 +203,13 @@ def product_quantities(items: DataFrame) -> DataFrame:
 
 def repeated_products(items: DataFrame) -> DataFrame:
     """Histogram of quantity among pairs with quantity > 1, with pair totals and share %."""
-    pairs = product_quantities(items)
-    total = pairs.agg(F.count(F.lit(1))).scalar()
-    repeated = pairs.where(F.col("quantity") > 1)
-    n_rep = repeated.agg(F.count(F.lit(1))).scalar()
-    return (repeated.groupBy("quantity").agg(F.count(F.lit(1)).alias("pairs"))
-            .select("quantity", "pairs", total.alias("total_pairs"), n_rep.alias("repeated_pairs"),
-                    pct(n_rep, total).alias("repeated_pct")))
+    histogram = product_quantities(items).groupBy("quantity").agg(F.count(F.lit(1)).alias("pairs"))
+    every = Window.partitionBy()
+    counted = histogram.select(
+        "quantity", "pairs", F.sum("pairs").over(every).alias("total_pairs"),
+        F.sum(F.when(F.col("quantity") > 1, F.col("pairs"))).over(every).alias("repeated_pairs"))
+    return counted.where(F.col("quantity") > 1).withColumn(
+        "repeated_pct", pct(F.col("repeated_pairs"), F.col("total_pairs")))
 
 
 def price_consistency(items: DataFrame) -> DataFrame:
@@ -297,11 +317,13 @@ def orders_without_items_by_status(orders: DataFrame, items: DataFrame) -> DataF
 
 def key_set_difference(orders: DataFrame, items: DataFrame, key: str = "order_id") -> DataFrame:
     """Distinct keys in one table and not the other, both directions (set semantics)."""
-    # Distinct keys first: map-side combine shrinks a hot key before any shuffle.
-    o, i = orders.select(key).distinct(), items.select(key).distinct()
+    # Sets treat NULLs as equal, so NULL becomes a value that no key has.
+    orders, items = (df.select(F.coalesce(F.col(key), F.lit("\u0000")).alias(key)) for df in (orders, items))
     rows = C.metrics_frame({
-        "items_not_in_orders": C.frame_metric(i.subtract(o), F.count(F.lit(1))),
-        "orders_not_in_items": C.frame_metric(o.subtract(i), F.count(F.lit(1))),
+        "items_not_in_orders": C.coverage_metric(items, orders, key, lambda ni, no: F.count_if(
+            ni.isNotNull() & no.isNull())),
+        "orders_not_in_items": C.coverage_metric(orders, items, key, lambda no, ni: F.count_if(
+            no.isNotNull() & ni.isNull())),
     })
     return _unpivot(rows, [
         F.struct(F.lit(d).alias("direction"), F.col(d).cast("bigint").alias("keys"))
@@ -327,6 +349,13 @@ def top_orders_by_items(orders: DataFrame, items: DataFrame, n: int = 10) -> Dat
     return order_summary(orders, items).orderBy(F.col("items").desc(), "order_id").limit(n)
 
 
+def most_repeated_orders(items: DataFrame, n: int = 3) -> DataFrame:
+    """Every row of the n orders that repeat a product most, sorted (the limit is the feature)."""
+    top = (product_quantities(items).groupBy("order_id").agg(F.max("quantity").alias("_q"))
+           .orderBy(F.col("_q").desc(), "order_id").limit(n).select("order_id"))
+    return items.join(top, "order_id", "left_semi").orderBy("order_id", "product_id", "order_item_id")
+
+
 def top_repeated_pairs(items: DataFrame, n: int = 3) -> DataFrame:
     return (product_quantities(items).where(F.col("quantity") > 1)
             .orderBy(F.col("quantity").desc(), "order_id", "product_id").limit(n))

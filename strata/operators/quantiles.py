@@ -4,17 +4,14 @@
 buffer and merges them in one final task, which does not survive a 100 TB column.
 Here the work stays distributed, for several columns in one pipeline:
 
-1. value counts: one scan emits ``(column_name, value)`` pairs, and
-   ``groupBy(column_name, value).count()`` combines them map-side (a hot value is one
-   row, whatever its frequency);
-2. the distinct values are range-partitioned on ``(column_name, value)`` and numbered by
-   a running sum inside each range partition;
-3. one row per (column, range partition) gives the rank offset of each partition, and
-   one row per column its total: both tables are bounded by partitions x columns and
-   are the only broadcasts;
-4. every value row learns the rank interval it covers; each wanted rank (floor and ceil
-   of ``p * (N - 1)`` per probability) is matched inside that row, exploded and folded
-   per (column, probability).
+1. value counts: one scan emits ``(column_name, slice, value)``, and a ``groupBy`` counts
+   them map-side (a hot value is one row, whatever its frequency). The slice of a value
+   is a monotone function of the value itself and the column's minimum and maximum,
+   so it does not depend on partitioning, sampling or plan reuse;
+2. each slice becomes one row: its number of rows and its sorted distinct values;
+3. running totals over the slices (one small row each) give the ranks a slice covers;
+   only slices that hold a wanted rank (floor and ceil of ``p * (N - 1)``) go on;
+4. in those, the value at the rank is read off and folded per (column, probability).
 
 Result: the same numbers as pandas/numpy ``quantile`` (linear) and DuckDB
 ``quantile_cont``. NULLs are ignored; a column without values yields no rows.
@@ -24,45 +21,42 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _scale(x: Column) -> Column:
+    """Monotone and even for long tails: slices are as wide in order of magnitude, not in value."""
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
 def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                       range_partitions: int | None = None) -> DataFrame:
+                       slices: int | None = None) -> DataFrame:
     """One row per (column, probability): ``column_name``, ``p``, ``value`` (double)."""
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
         raise ValueError("probabilities must be in [0, 1]")
     if not columns:
         raise ValueError("no columns")
-    spark = df.sparkSession
-    parts = range_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = {c: F.col(c).cast("double") for c in columns}
 
+    bounds = df.agg(F.struct(*[f(v).alias(f"{n}_{i}") for i, v in enumerate(values.values())
+                               for n, f in (("lo", F.min), ("hi", F.max))])).scalar()
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
-        for c in columns])).alias("e")).select("e.column_name", "e.v")
-    counts = (pairs.where(F.col("v").isNotNull())
-              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
-    ranged = (counts.repartitionByRange(parts, "column_name", "v")
-              .withColumn("pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "local_end",
-        F.sum("n").over(Window.partitionBy("pid", "column_name").orderBy("v")
-                        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # Bounded by (range partitions x columns) and by columns: safe to broadcast.
-    offsets = (ranged.groupBy("column_name", "pid").agg(F.sum("n").alias("part_n"))
-               .select("column_name", "pid", F.sum("part_n").over(
-                   Window.partitionBy("column_name").orderBy("pid")
-                   .rowsBetween(Window.unboundedPreceding, -1)).alias("offset")))
-    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
-
-    base = F.coalesce(F.col("offset"), F.lit(0))
-    numbered = (local.join(F.broadcast(offsets), ["column_name", "pid"])
-                .join(F.broadcast(totals), "column_name")
-                .select("column_name", "v", "total",
-                        (base + F.col("local_end") - F.col("n")).alias("start"),
-                        (base + F.col("local_end")).alias("end")))
+        F.struct(F.lit(c).alias("column_name"), v.alias("v"), bounds[f"lo_{i}"].alias("lo"),
+                 bounds[f"hi_{i}"].alias("hi"))
+        for i, (c, v) in enumerate(values.items())])).alias("e")).select("e.*").where(F.col("v").isNotNull())
+    width = _scale(F.col("hi")) - _scale(F.col("lo"))
+    at = F.floor((_scale(F.col("v")) - _scale(F.col("lo"))) / F.nullif(width, F.lit(0.0)) * parts)
+    slice_id = F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(parts - 1)), F.lit(0)).cast("int")
+    counts = pairs.groupBy("column_name", slice_id.alias("slice"), "v").agg(F.count(F.lit(1)).alias("n"))
+    sliced = counts.groupBy("column_name", "slice").agg(
+        F.sum("n").alias("rows"), F.sort_array(F.collect_list(F.struct("v", "n"))).alias("held"))
+
+    order = Window.partitionBy("column_name").orderBy("slice")
+    ranked = (sliced.withColumn("end", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("total", F.sum("rows").over(Window.partitionBy("column_name"))))
     wanted = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(side).alias("side"))
                        for p in probs for side in (0, 1)])
 
@@ -70,22 +64,26 @@ def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
         pos = t["p"] * (F.col("total") - 1).cast("double")
         return F.when(t["side"] == 0, F.floor(pos)).otherwise(F.ceil(pos))
 
-    hits = numbered.select(
-        "column_name", "v", "total",
-        F.explode(F.filter(wanted, lambda t: (F.col("start") <= rank(t)) & (rank(t) < F.col("end"))))
-        .alias("t"))
-    folded = hits.groupBy("column_name", F.col("t.p").alias("p")).agg(
-        F.max(F.when(F.col("t.side") == 0, F.col("v"))).alias("lo"),
-        F.max(F.when(F.col("t.side") == 1, F.col("v"))).alias("hi"),
-        F.max("total").alias("total"),
-    )
+    start = F.col("end") - F.col("rows")
+    hits = ranked.select(
+        "column_name", "held", start.alias("start"), "total",
+        F.explode(F.filter(wanted, lambda t: (start <= rank(t)) & (rank(t) < F.col("end")))).alias("t"))
+    # The first value whose running count passes the rank.
+    found = F.aggregate(
+        "held", F.struct(F.col("start").alias("seen"), F.lit(None).cast("double").alias("v")),
+        lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.coalesce(
+            s["v"], F.when(s["seen"] + x["n"] > rank(F.col("t")), x["v"])).alias("v")),
+        lambda s: s["v"])
+    folded = hits.select("column_name", "total", F.col("t.p").alias("p"), F.col("t.side").alias("side"),
+                         found.alias("v")).groupBy("column_name", "p").agg(
+        F.max(F.when(F.col("side") == 0, F.col("v"))).alias("lo"),
+        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("hi"), F.max("total").alias("total"))
     pos = F.col("p") * (F.col("total") - 1).cast("double")
     return folded.select(
-        "column_name", "p",
-        (F.col("lo") + (F.col("hi") - F.col("lo")) * (pos - F.floor(pos))).alias("value"))
+        "column_name", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (pos - F.floor(pos))).alias("value"))
 
 
 def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float],
-                      range_partitions: int | None = None) -> DataFrame:
+                      slices: int | None = None) -> DataFrame:
     """One row per probability: ``p`` (double), ``value`` (double)."""
-    return column_percentiles(df, [column], probs, range_partitions).select("p", "value")
+    return column_percentiles(df, [column], probs, slices).select("p", "value")
