@@ -57,22 +57,6 @@ def month_text(c) -> Column:
     return F.substring(_col(c).cast("string"), 1, 7)
 
 
-def thousands(c) -> Column:
-    """Integer with thousands separators: 1234567 -> '1,234,567'."""
-    return F.format_number(_col(c).cast("bigint"), 0)
-
-
-def signed_thousands(c) -> Column:
-    """Signed integer with separators: -12 -> '-12', 12 -> '+12'."""
-    x = _col(c).cast("bigint")
-    return F.concat(F.when(x >= 0, F.lit("+")).otherwise(F.lit("-")), F.format_number(F.abs(x), 0))
-
-
-def money_text(c) -> Column:
-    """Decimal with thousands separators and two decimals."""
-    return F.format_number(_col(c), 2)
-
-
 def pct(part, whole, digits: int = 2) -> Column:
     """Percentage rounded to ``digits``; NULL when ``whole`` is 0 or NULL."""
     whole = _col(whole)

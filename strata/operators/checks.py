@@ -10,7 +10,7 @@ together:
   set, a ``groupingSets`` aggregate for several (one scan, one shuffle, map-side
   partial aggregation, so a hot key is pre-aggregated before it moves);
 - measures that compare the keys of two frames (referential integrity, keys without
-  match) share one full outer join of the two sides' per-key row counts;
+  match) share one aggregation of both sides' keys, counted per side;
 - the one-row partial results are stacked with ``unionByName`` and folded into one
   wide row with a global ``max``: no join of any kind between them.
 
@@ -40,11 +40,9 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    LongType, MapType, StringType, StructField, StructType,
+    DoubleType, LongType, MapType, StringType, StructField, StructType, TimestampType,
 )
 
-from strata.functions.convert import money_text, signed_thousands, thousands
-
 CRITICAL = "CRITICAL"
 WARNING = "WARNING"
 OK = "OK"
@@ -203,14 +201,22 @@ class Evaluator:
 
     @staticmethod
     def _coverage_part(src: dict) -> DataFrame:
-        """Per-key counts of both frames (map-side combined), one full outer join."""
+        """Rows of both frames per key, counted side by side in one map-side combined aggregation.
+
+        The two key columns are stacked with their side and grouped once: one shuffle
+        of pre-aggregated keys and no join. NULL keys of the two sides do not match,
+        so each side's are a group of their own.
+        """
         key = src["keys"][0]
         frames = sorted(src["frames"].items())
         (_, a), (_, b) = frames if len(frames) == 2 else frames * 2
-        ca = a.groupBy(key).agg(F.count(F.lit(1)).alias("_na"))
-        cb = b.groupBy(key).agg(F.count(F.lit(1)).alias("_nb"))
-        joined = ca.join(cb, on=key, how="full")
-        return joined.agg(*[fn(F.col("_na"), F.col("_nb")).alias(a_) for a_, fn in src["outer"]])
+        one, none = F.lit(1).cast("bigint"), F.lit(None).cast("bigint")
+        sides = [df.select(F.col(key).alias("_k"), F.when(F.col(key).isNull(), side).alias("_s"),
+                           (one if side == 0 else none).alias("_a"), (one if side == 1 else none).alias("_b"))
+                 for side, df in ((0, a), (1, b))]
+        counted = sides[0].unionByName(sides[1]).groupBy("_k", "_s").agg(
+            F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+        return counted.agg(*[fn(F.col("_na"), F.col("_nb")).alias(a_) for a_, fn in src["outer"]])
 
     @staticmethod
     def _grouped_part(srcs: list[dict]) -> DataFrame:
@@ -297,51 +303,49 @@ class Check:
         return Check(self.name, self.table, severity, self.plan)
 
 
-def _fmt(pattern: str, *cols) -> Column:
-    return F.format_string(pattern, *cols)
+def describe(kind: str, params: dict | None = None, **values: Column) -> Column:
+    """The one message template: ``kind(param=..., ...) value=... value=...``; text a person and a parser can read."""
+    head = kind + ("(" + ", ".join(f"{k}={v}" for k, v in params.items()) + ")" if params else "")
+    parts = [F.lit(head)]
+    for name, value in values.items():
+        parts.append(F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit("null"))))
+    return F.concat_ws(" ", *parts)
 
 
-def _count_outcome(affected: Column, ok_text: str, fail_pattern: str, *fail_cols) -> Outcome:
+def _zero(affected: Column, kind: str, params: dict, **values: Column) -> Outcome:
+    """A check that passes when nothing is affected."""
     affected = F.coalesce(affected, F.lit(0)).cast("bigint")
-    msg = F.when(affected == 0, F.lit(ok_text)).otherwise(
-        _fmt(fail_pattern, thousands(affected), *fail_cols))
-    return Outcome(affected, affected == 0, msg)
+    return Outcome(affected, affected == 0, describe(kind, params, affected=affected, **values))
 
 
 def not_null(df: DataFrame, column: str, table: str, severity: str = CRITICAL) -> Check:
     def plan(ev):
-        n = ev.add(rows_metric(df, F.count_if(F.col(column).isNull())))
-        return _count_outcome(n, f"{column} has no NULLs", f"%s rows with NULL {column}")
+        return _zero(ev.add(rows_metric(df, F.count_if(F.col(column).isNull()))), "not_null", {"column": column})
     return Check(f"{column}_not_null", table, severity, plan)
 
 
 def unique(df: DataFrame, columns: Sequence[str], table: str, severity: str = CRITICAL) -> Check:
     columns = tuple(columns)
-    key = ", ".join(columns)
 
     def plan(ev):
+        # Row count and surplus come from the same groups: one grouped pass, no row pass.
         extra = ev.add(group_metric(df, columns, lambda c: F.sum(c("_n") - 1)))
-        total = ev.add(row_count(df))
-        affected = F.coalesce(extra, F.lit(0)).cast("bigint")
-        msg = F.when(affected == 0, _fmt(f"({key}) is unique in %s rows", thousands(total))).otherwise(
-            _fmt(f"({key}) repeats: %s duplicate rows out of %s", thousands(affected), thousands(total)))
-        return Outcome(affected, affected == 0, msg)
+        total = ev.add(group_metric(df, columns, lambda c: F.coalesce(F.sum(c("_n")), F.lit(0))))
+        return _zero(extra, "unique", {"key": "+".join(columns)}, rows=total)
     return Check(f"unique_{'_'.join(columns)}", table, severity, plan)
 
 
 def non_negative(df: DataFrame, column: str, table: str, severity: str = CRITICAL) -> Check:
     def plan(ev):
-        n = ev.add(rows_metric(df, F.count_if(F.col(column) < 0)))
-        return _count_outcome(n, f"{column} >= 0 in every row", f"%s rows with negative {column}")
+        return _zero(ev.add(rows_metric(df, F.count_if(F.col(column) < 0))), "non_negative", {"column": column})
     return Check(f"{column}_non_negative", table, severity, plan)
 
 
 def greater_than(df: DataFrame, column: str, minimum, table: str, severity: str = CRITICAL) -> Check:
     def plan(ev):
         c = F.col(column)
-        n = ev.add(rows_metric(df, F.count_if(c.isNull() | (c <= F.lit(minimum)))))
-        return _count_outcome(n, f"{column} > {minimum} in every row",
-                              f"%s rows with {column} <= {minimum} or NULL")
+        return _zero(ev.add(rows_metric(df, F.count_if(c.isNull() | (c <= F.lit(minimum))))),
+                     "greater_than", {"column": column, "minimum": minimum})
     return Check(f"{column}_greater_than_{minimum}", table, severity, plan)
 
 
@@ -350,14 +354,12 @@ def referential_integrity(child: DataFrame, parent: DataFrame, column: str, tabl
     """Child rows whose key has no parent (a NULL key never has one).
 
     Both sides are reduced to one row per key with its row count *before* they meet,
-    so the shuffle carries distinct keys only and a hot key cannot skew it; the join
+    so the shuffle carries distinct keys only and a hot key cannot skew it; the match
     is shared with ``keys_without_match`` over the same pair.
     """
     def plan(ev):
-        n = ev.add(coverage_metric(child, parent, column,
-                                   lambda nc, np_: F.sum(F.when(np_.isNull(), nc))))
-        return _count_outcome(n, f"every {column} exists in {parent_table}",
-                              f"%s rows with {column} missing in {parent_table}")
+        n = ev.add(coverage_metric(child, parent, column, lambda nc, np_: F.sum(F.when(np_.isNull(), nc))))
+        return _zero(n, "references", {"column": column, "parent": parent_table})
     return Check(f"{column}_exists_in_{parent_table}", table, severity, plan)
 
 
@@ -365,14 +367,12 @@ def constant_in_group(df: DataFrame, group: Sequence[str], column: str, table: s
                       severity: str = CRITICAL) -> Check:
     """Groups where ``column`` takes more than one non-NULL value (min != max)."""
     group = tuple(group)
-    key = ", ".join(group)
     lo, hi = f"_min_{column}", f"_max_{column}"
 
     def plan(ev):
         n = ev.add(group_metric(df, group, lambda c: F.count_if(c(lo) != c(hi)),
                                 inner=[(lo, F.min(column)), (hi, F.max(column))]))
-        return _count_outcome(n, f"{column} is constant within each ({key})",
-                              f"%s groups ({key}) with more than one {column}")
+        return _zero(n, "constant", {"column": column, "group": "+".join(group)})
     return Check(f"{column}_constant_per_{'_'.join(group)}", table, severity, plan)
 
 
@@ -381,12 +381,11 @@ def date_range(df: DataFrame, column: str, start: str, end: str, table: str,
     def plan(ev):
         d = F.col(column).cast("date")
         out = d.isNotNull() & ((d < F.lit(start).cast("date")) | (d > F.lit(end).cast("date")))
-        n = F.coalesce(ev.add(rows_metric(df, F.count_if(out))), F.lit(0)).cast("bigint")
         lo = ev.add(rows_metric(df, F.min(F.when(out, F.col(column)))))
         hi = ev.add(rows_metric(df, F.max(F.when(out, F.col(column)))))
-        outcome = _count_outcome(n, f"{column} within [{start}, {end}]",
-                                 f"%s rows with {column} outside [{start}, {end}]")
-        outcome.details = F.when(n > 0, F.create_map(
+        outcome = _zero(ev.add(rows_metric(df, F.count_if(out))), "in_range",
+                        {"column": column, "from": start, "to": end})
+        outcome.details = F.when(outcome.affected > 0, F.create_map(
             F.lit("min"), lo.cast("string"), F.lit("max"), hi.cast("string"))).otherwise(_empty_details())
         return outcome
     return Check(f"{column}_in_range", table, severity, plan)
@@ -398,8 +397,7 @@ def keys_without_match(left: DataFrame, right: DataFrame, column: str, table: st
     def plan(ev):
         n = ev.add(coverage_metric(left, right, column,
                                    lambda nl, nr: F.count_if(nl.isNotNull() & nr.isNull())))
-        return _count_outcome(n, f"every {column} appears in {right_table}",
-                              f"%s values of {column} without a match in {right_table}")
+        return _zero(n, "matched", {"column": column, "other": right_table})
     return Check(f"{column}_matched_in_{right_table}", table, severity, plan)
 
 
@@ -410,16 +408,11 @@ def expected_count(name: str, table: str, actual, expected, severity: str = CRIT
     def plan(ev):
         a = F.coalesce(ev.add(actual), F.lit(0)).cast("bigint")
         e = F.coalesce(ev.add(expected), F.lit(0)).cast("bigint")
-        diff = a - e
-        msg = F.when(diff == 0, _fmt("%s matches the expected count", thousands(a))).otherwise(
-            _fmt("%s against %s expected (difference: %s)", thousands(a), thousands(e),
-                 signed_thousands(diff)))
-        return Outcome(F.abs(diff), diff == 0, msg)
+        return _zero(F.abs(a - e), "equal", {}, actual=a, expected=e)
     return Check(name, table, severity, plan)
 
 
 def within_tolerance(name: str, table: str, actual, expected, tolerance=Decimal("0.01"),
-                     label: tuple[str, str] = ("actual", "expected"),
                      severity: str = CRITICAL) -> Check:
     """|actual - expected| <= tolerance (a difference equal to the tolerance passes)."""
     actual, expected = _as_metric(actual), _as_metric(expected)
@@ -427,54 +420,55 @@ def within_tolerance(name: str, table: str, actual, expected, tolerance=Decimal(
     def plan(ev):
         a = F.coalesce(ev.add(actual), F.lit(0))
         e = F.coalesce(ev.add(expected), F.lit(0))
-        ok = F.abs(a - e) <= F.lit(tolerance)
-        msg = _fmt(f"{label[0]} %s against {label[1]} %s", money_text(a), money_text(e))
-        return Outcome(F.lit(0).cast("bigint"), ok, msg)
+        return Outcome(F.lit(0).cast("bigint"), F.abs(a - e) <= F.lit(tolerance),
+                       describe("close", {"tolerance": tolerance}, actual=a, expected=e))
     return Check(name, table, severity, plan)
 
 
-def not_greater(name: str, table: str, left, right, unit: str = "rows",
-                label: tuple[str, str] = ("left", "right"), severity: str = CRITICAL) -> Check:
+def not_greater(name: str, table: str, left, right, severity: str = CRITICAL) -> Check:
     """left <= right."""
     left, right = _as_metric(left), _as_metric(right)
 
     def plan(ev):
         a = F.coalesce(ev.add(left), F.lit(0))
         b = F.coalesce(ev.add(right), F.lit(0))
-        msg = _fmt(f"%s {unit} in {label[0]} out of %s in {label[1]}", thousands(a), thousands(b))
-        return Outcome(F.lit(0).cast("bigint"), a <= b, msg)
+        return Outcome(F.lit(0).cast("bigint"), a <= b, describe("at_most", {}, actual=a, limit=b))
     return Check(name, table, severity, plan)
 
 
-def no_rows(name: str, table: str, violations: DataFrame, severity: str = CRITICAL,
-            what: str = "violating rows") -> Check:
+def no_rows(name: str, table: str, violations: DataFrame, severity: str = CRITICAL) -> Check:
     """A query that must return nothing (data-test style); affected = rows it returns."""
     def plan(ev):
-        n = ev.add(frame_metric(violations, F.count(F.lit(1))))
-        return _count_outcome(n, f"no {what}", f"%s {what}")
+        return _zero(ev.add(frame_metric(violations, F.count(F.lit(1)))), "no_rows", {})
     return Check(name, table, severity, plan)
 
 
-def fixed(name: str, table: str, ok: bool, message: str, affected: int = 0,
-          severity: str = CRITICAL, details: dict | None = None) -> Check:
-    """A result known on the driver (file readable, header present)."""
+def not_empty(name: str, table: str, rows: Metric, severity: str = CRITICAL) -> Check:
+    """At least one row; ``affected`` is the row count."""
+    def plan(ev):
+        n = F.coalesce(ev.add(rows), F.lit(0)).cast("bigint")
+        return Outcome(n, n > 0, describe("not_empty", {}, rows=n))
+    return Check(name, table, severity, plan)
+
+
+def known(name: str, table: str, affected: int, message: str, severity: str = CRITICAL,
+          details: dict | None = None) -> Check:
+    """A result known on the driver (a header, a listing): passes when nothing is affected."""
     def plan(ev):
         det = _empty_details()
         if details:
             det = F.create_map(*[x for k, v in details.items() for x in (F.lit(k), F.lit(str(v)))])
-        return Outcome(F.lit(affected).cast("bigint"), F.lit(bool(ok)), F.lit(message), det)
+        return Outcome(F.lit(affected).cast("bigint"), F.lit(affected == 0), F.lit(message), det)
     return Check(name, table, severity, plan)
 
 
-def metric_check(name: str, table: str, metric: Metric, ok: Callable[[Column], Column],
-                 message: Callable[[Column], Column], severity: str = CRITICAL,
-                 affected: Callable[[Column], Column] | None = None) -> Check:
-    """A check over one metric with a caller-given condition (e.g. not empty)."""
-    def plan(ev):
-        v = ev.add(metric)
-        aff = (affected(v) if affected else v).cast("bigint")
-        return Outcome(aff, ok(v), message(v))
-    return Check(name, table, severity, plan)
+def with_severities(checks: Sequence[Check], severities: dict[str, str] | None) -> list[Check]:
+    """The checks with some severities replaced, by check name or ``table.check``."""
+    given = severities or {}
+    wrong = set(given.values()) - {CRITICAL, WARNING}
+    if wrong:
+        raise ValueError(f"unknown severity {sorted(wrong)[0]!r}")
+    return [c.with_severity(given.get(f"{c.table}.{c.name}", given.get(c.name, c.severity))) for c in checks]
 
 
 # --- evaluation, gate, report ---------------------------------------------
@@ -511,39 +505,54 @@ def summary(results: DataFrame) -> DataFrame:
     )
 
 
-def gate(results: DataFrame | list, context: str, logger: logging.Logger | None = None) -> list:
-    """Log every result and raise when a CRITICAL check failed.
+@dataclass(frozen=True)
+class Verdict:
+    """What a set of results means for a run: it may go on unless a CRITICAL check failed."""
 
-    ``results`` holds one row per check (a few dozen at most), so collecting it is
-    bounded. The exception carries all results, so a report can still list the
-    check that stopped the run.
-    """
-    rows = results.collect() if isinstance(results, DataFrame) else list(results)
-    log = logger or logging.getLogger("strata.checks")
-    log.info("Data quality: %s", context)
-    for r in rows:
-        tag = "OK" if r["result"] == OK else ("FAIL" if r["severity"] == CRITICAL else "WARN")
-        line = "  [%-4s] %-46s %s" % (tag, r["check"], r["message"])
-        if r["result"] == OK:
-            log.info(line)
-        elif r["severity"] == WARNING:
-            log.warning(line)
-        else:
-            log.error(line)
-    critical = [r for r in rows if r["result"] == FAIL and r["severity"] == CRITICAL]
-    warnings = [r for r in rows if r["result"] == FAIL and r["severity"] == WARNING]
-    log.info("  Summary: %d checks, %d critical failed, %d warnings", len(rows), len(critical), len(warnings))
-    if critical:
-        detail = "; ".join(f"{r['table_name']}.{r['check']}: {r['message']}" for r in critical)
-        raise DataQualityError(f"{len(critical)} critical check(s) failed in {context} -> {detail}", rows)
-    return rows
+    context: str
+    results: tuple
+    blocking: tuple
+    advisory: tuple
+
+    @property
+    def passed(self) -> bool:
+        return not self.blocking
+
+    def require(self) -> "Verdict":
+        """Itself, or DataQualityError naming the blocking checks and carrying every result."""
+        if self.blocking:
+            names = [f"{r['table_name']}/{r['check']} ({r['message']})" for r in self.blocking]
+            raise DataQualityError(f"{self.context}: blocked by " + ", ".join(names), list(self.results))
+        return self
+
+    def table(self) -> str:
+        """The results as aligned text, one line a check."""
+        cells = [("table", "check", "severity", "result", "affected", "message")]
+        cells += [tuple(str(r[c]) for c in ("table_name", "check", "severity", "result", "affected_rows", "message"))
+                  for r in self.results]
+        width = [max(len(row[k]) for row in cells) for k in range(6)]
+        return "\n".join("  ".join(v.ljust(w) for v, w in zip(row, width)).rstrip() for row in cells)
+
+
+def verdict(results: DataFrame | list, context: str) -> Verdict:
+    """Judge results (one row per check, a few dozen at most, so collecting them is bounded)."""
+    rows = tuple(results.collect() if isinstance(results, DataFrame) else results)
+    failed = [r for r in rows if r["result"] == FAIL]
+    return Verdict(context, rows, tuple(r for r in failed if r["severity"] == CRITICAL),
+                   tuple(r for r in failed if r["severity"] != CRITICAL))
+
+
+def log_verdict(v: Verdict, log: logging.Logger) -> None:
+    """One record a run: the table of results, at the level of the worst of them."""
+    level = logging.ERROR if v.blocking else logging.WARNING if v.advisory else logging.INFO
+    log.log(level, "%s: %d checks, %d blocking, %d advisory\n%s", v.context, len(v.results), len(v.blocking),
+            len(v.advisory), v.table())
 
 
 def report_frame(spark: SparkSession, rows: list, status: str,
                  duration_seconds: float | None = None, run_id: str | None = None) -> DataFrame:
     """The collected results of one run as a report frame (run columns + one row per check)."""
-    base = spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows],
-                                 RESULT_SCHEMA)
+    base = spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows], RESULT_SCHEMA)
     return base.select(
         F.lit(run_id).cast("string").alias("run_id"),
         F.date_trunc("second", F.current_timestamp()).alias("run_at"),
@@ -560,3 +569,14 @@ def write_report(spark: SparkSession, rows: list, dest: str, status: str,
     frame = report_frame(spark, rows, status, duration_seconds, run_id)
     frame.coalesce(1).write.mode("append").json(dest)
     return frame
+
+
+#: The report table's columns: the run's, then one check's.
+REPORT_SCHEMA = StructType([
+    StructField("run_id", StringType()), StructField("run_at", TimestampType()),
+    StructField("status", StringType()), StructField("duration_seconds", DoubleType()), *RESULT_SCHEMA.fields])
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A report table by its schema; its history is not scanned to infer one."""
+    return spark.read.schema(REPORT_SCHEMA).json(path)

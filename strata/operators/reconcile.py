@@ -111,11 +111,9 @@ def layer_checks(m: LayerMetrics, upto: str = THROUGH_GOLD) -> list[C.Check]:
         C.expected_count("gold_units_reconciled_with_silver", "daily_product_sales",
                          m["gold_units"], m["silver_valid_units"]),
         C.within_tolerance("gold_revenue_reconciled_with_silver", "daily_product_sales",
-                           m["gold_revenue"], m["silver_valid_revenue"], Decimal("0.01"),
-                           label=("Gold", "Silver")),
+                           m["gold_revenue"], m["silver_valid_revenue"], Decimal("0.01")),
         C.not_greater("gold_not_above_silver", "daily_product_sales",
-                      m["gold_units"], m["silver_units_total"], unit="units",
-                      label=("Gold", "Silver")),
+                      m["gold_units"], m["silver_units_total"]),
     ]
     return checks
 

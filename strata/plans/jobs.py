@@ -3,16 +3,17 @@
 Every job takes a session and storage URIs (any scheme Spark can write: a shared
 filesystem, HDFS, an object store). The pattern for each published table:
 
-    build lazily -> persist(MEMORY_AND_DISK) -> one fused check pass -> gate -> publish
-    -> unpersist (always, in ``finally``)
+    write beside the destination -> check what was written (one fused pass) -> verdict
+    -> switch it into place, or discard it
 
-so a table is written only after its CRITICAL checks passed, and it is computed once
-for both the checks and the write. The next table re-reads what was published, which
-cuts the lineage (a lost executor never recomputes earlier layers).
+so a table is computed once, checks see exactly the rows that will be published, the old
+table stays readable until the new one has passed, and nothing is kept on executors: a
+lost one costs its running tasks only. The next table reads what was published.
 
 Reports always contain every result, including the check that stopped the run, and an
 unexpected exception ends the run with status ``ERROR`` (exit code 1), never ``OK``.
-Atomicity is per table: orders may be published and items then rejected.
+Atomicity is per table: orders may be published and items then rejected. Severities can be
+replaced by check name (``--severity order_items.unique_order_id_order_item_id=WARNING``).
 
     python -m strata.plans.jobs bronze   --orders URI --items URI
     python -m strata.plans.jobs silver   --orders URI --items URI --silver URI [--report URI]
@@ -31,7 +32,6 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import checks as C
@@ -39,6 +39,7 @@ from strata.operators import gold as G
 from strata.operators import reconcile as R
 from strata.operators import silver as S
 from strata.plans import suites as U
+from strata.session import build_session, hadoop_path
 from strata.sources import files as io
 from strata.sources.schemas import (
     DEFAULT_PERIOD, DEFAULT_VALID_SALE_STATUSES, ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS,
@@ -69,20 +70,28 @@ def table_uri(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+Severities = dict[str, str] | None
+
+
+def judge(checks: Sequence[C.Check], context: str, collected: list, severities: Severities = None) -> None:
+    """Evaluate, keep every result, log, and raise on a blocking one."""
+    v = C.verdict(C.evaluate(C.with_severities(checks, severities)), context)
+    collected.extend(v.results)
+    C.log_verdict(v, log)
+    v.require()
+
+
 def publish_checked(df: DataFrame, checks: Callable[[DataFrame], list[C.Check]], dest: str,
-                    context: str, collected: list) -> None:
-    """persist -> checks (one pass) -> gate -> publish -> unpersist."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                    context: str, collected: list, severities: Severities = None) -> None:
+    """Stage -> check what was staged -> switch, or discard."""
+    spark = df.sparkSession
+    staged = io.stage(df, dest)
     try:
-        try:
-            rows = C.gate(C.evaluate(checks(df)), context, log)
-        except C.DataQualityError as e:
-            collected.extend(e.results)
-            raise
-        collected.extend(rows)
-        io.publish(df, dest)
-    finally:
-        df.unpersist()
+        judge(checks(io.read_table(spark, staged)), context, collected, severities)
+        io.switch(spark, staged, dest)
+    except BaseException:
+        io.discard(spark, staged)
+        raise
 
 
 def _finish(spark: SparkSession, name: str, body: Callable[[list], None],
@@ -109,7 +118,20 @@ def _finish(spark: SparkSession, name: str, body: Callable[[list], None],
     return outcome
 
 
-# --- I2: Bronze -------------------------------------------------------------------
+# --- A8/A10, I2: landing and Bronze --------------------------------------------------
+
+
+def landing_checks(spark: SparkSession, sources: dict[str, str]) -> list[C.Check]:
+    """Each required extract is there: a location that holds at least one file."""
+    found = []
+    for name, uri in sources.items():
+        fs, path = hadoop_path(spark, uri)
+        files = [x for x in (fs.globStatus(path.suffix("/*")) if fs.exists(path) and fs.getFileStatus(path).isDirectory()
+                             else fs.globStatus(path)) or [] if not x.getPath().getName().startswith(("_", "."))]
+        size = sum(x.getLen() for x in files)
+        found.append(C.known(f"{name}_landed", name, 0 if files else 1, f"landed files={len(files)} bytes={size}",
+                             details=None if files else {"location": uri}))
+    return found
 
 
 def bronze_checks(spark: SparkSession, files: Sequence[tuple[str, str, Sequence[str]]]) -> list[C.Check]:
@@ -117,72 +139,77 @@ def bronze_checks(spark: SparkSession, files: Sequence[tuple[str, str, Sequence[
     checks: list[C.Check] = []
     for name, uri, expected in files:
         try:
-            header = io.csv_header(spark, uri)
-            frame = io.read_csv_by_name(spark, uri, expected, header).frame
-            checks += U.bronze_suite(name, header, C.row_count(frame), expected)
+            read, error = io.read_csv_by_name(spark, uri, expected), None
         except Exception as e:  # noqa: BLE001 - an unreadable file is a failed check
-            checks += U.bronze_suite(name, None, None, expected, error=str(e).splitlines()[0][:300])
+            read, error = None, str(e)
+        checks += U.bronze_suite(name, read, expected, error)
     return checks
 
 
 def validate_bronze(spark: SparkSession, orders_uri: str, items_uri: str,
-                    report: str | None = None) -> JobOutcome:
-    def body(collected):
-        checks = bronze_checks(spark, [("orders", orders_uri, ORDERS_COLUMNS),
-                                       ("order_items", items_uri, ORDER_ITEMS_COLUMNS)])
-        try:
-            collected.extend(C.gate(C.evaluate(checks), "bronze", log))
-        except C.DataQualityError as e:
-            collected.extend(e.results)
-            raise
-    return _finish(spark, "validate_bronze", body, report)
+                    report: str | None = None, severities: Severities = None) -> JobOutcome:
+    sources = [(ORDERS_TABLE, orders_uri, ORDERS_COLUMNS), (ITEMS_TABLE, items_uri, ORDER_ITEMS_COLUMNS)]
+    return _finish(spark, "validate_bronze", lambda collected: judge(
+        bronze_checks(spark, sources), "bronze", collected, severities), report)
 
 
 # --- I1/I5: Bronze -> Silver --------------------------------------------------------
 
 
 def silver_orders_job(spark: SparkSession, orders_uri: str, silver_root: str, collected: list,
-                      period: Sequence[str] = DEFAULT_PERIOD) -> None:
+                      period: Sequence[str] = DEFAULT_PERIOD, severities: Severities = None) -> None:
     bronze = io.read_csv_by_name(spark, orders_uri, ORDERS_COLUMNS).frame
     publish_checked(S.orders(bronze), lambda df: U.orders_suite(df, period),
-                    table_uri(silver_root, ORDERS_TABLE), ORDERS_TABLE, collected)
+                    table_uri(silver_root, ORDERS_TABLE), ORDERS_TABLE, collected, severities)
 
 
 def silver_items_job(spark: SparkSession, items_uri: str, silver_root: str, collected: list,
-                     period: Sequence[str] = DEFAULT_PERIOD) -> None:
+                     period: Sequence[str] = DEFAULT_PERIOD, severities: Severities = None) -> None:
     bronze = io.read_csv_by_name(spark, items_uri, ORDER_ITEMS_COLUMNS).frame
     publish_checked(S.order_items(bronze), lambda df: U.order_items_suite(df, period),
-                    table_uri(silver_root, ITEMS_TABLE), ITEMS_TABLE, collected)
+                    table_uri(silver_root, ITEMS_TABLE), ITEMS_TABLE, collected, severities)
 
 
-def silver_sales_job(spark: SparkSession, silver_root: str, collected: list) -> None:
+def silver_sales_job(spark: SparkSession, silver_root: str, collected: list, severities: Severities = None) -> None:
     items = io.read_table(spark, table_uri(silver_root, ITEMS_TABLE))
     orders = io.read_table(spark, table_uri(silver_root, ORDERS_TABLE))
     publish_checked(S.order_product_sales(items, orders),
                     lambda df: U.sales_suite(df, items, orders),
-                    table_uri(silver_root, SALES_TABLE), SALES_TABLE, collected)
+                    table_uri(silver_root, SALES_TABLE), SALES_TABLE, collected, severities)
 
 
 def run_silver(spark: SparkSession, orders_uri: str, items_uri: str, silver_root: str,
-               report: str | None = None, period: Sequence[str] = DEFAULT_PERIOD) -> JobOutcome:
-    """Orders, then items, then sales; stops at the first CRITICAL failure."""
+               report: str | None = None, period: Sequence[str] = DEFAULT_PERIOD,
+               severities: Severities = None) -> JobOutcome:
+    """Landing check, then orders, items and sales; stops at the first blocking result.
+
+    A missing extract is reported before anything is written; landing results that pass
+    are logged only, so a full run reports the 23 checks of the three tables.
+    """
     def body(collected):
-        silver_orders_job(spark, orders_uri, silver_root, collected, period)
-        silver_items_job(spark, items_uri, silver_root, collected, period)
-        silver_sales_job(spark, silver_root, collected)
+        landed = C.verdict(C.evaluate(landing_checks(spark, {ORDERS_TABLE: orders_uri, ITEMS_TABLE: items_uri})),
+                           "landing")
+        C.log_verdict(landed, log)
+        if not landed.passed:
+            collected.extend(landed.results)
+            landed.require()
+        silver_orders_job(spark, orders_uri, silver_root, collected, period, severities)
+        silver_items_job(spark, items_uri, silver_root, collected, period, severities)
+        silver_sales_job(spark, silver_root, collected, severities)
     return _finish(spark, "run_silver", body, report)
 
 
 def run_table(spark: SparkSession, table: str, silver_root: str, source_uri: str | None = None,
-              report: str | None = None, period: Sequence[str] = DEFAULT_PERIOD) -> JobOutcome:
-    """One Silver table on its own: read, transform, persist, check, gate, publish, unpersist."""
+              report: str | None = None, period: Sequence[str] = DEFAULT_PERIOD,
+              severities: Severities = None) -> JobOutcome:
+    """One Silver table on its own."""
     def body(collected):
         if table == ORDERS_TABLE:
-            silver_orders_job(spark, source_uri, silver_root, collected, period)
+            silver_orders_job(spark, source_uri, silver_root, collected, period, severities)
         elif table == ITEMS_TABLE:
-            silver_items_job(spark, source_uri, silver_root, collected, period)
+            silver_items_job(spark, source_uri, silver_root, collected, period, severities)
         elif table == SALES_TABLE:
-            silver_sales_job(spark, silver_root, collected)
+            silver_sales_job(spark, silver_root, collected, severities)
         else:
             raise ValueError(f"unknown table {table!r}")
     return _finish(spark, f"run_{table}", body, report)
@@ -193,23 +220,20 @@ def run_table(spark: SparkSession, table: str, silver_root: str, source_uri: str
 
 def build_gold(spark: SparkSession, silver_root: str, gold_root: str, export_root: str | None = None,
                valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES,
-               report: str | None = None) -> JobOutcome:
-    """Daily sales model; rebuilt from Silver without touching it."""
+               report: str | None = None, severities: Severities = None) -> JobOutcome:
+    """Daily sales model; rebuilt from Silver without touching it. An empty one is never published."""
     def body(collected):
         staging = G.staging(io.read_table(spark, table_uri(silver_root, SALES_TABLE)))
-        gold = G.daily_product_sales(staging, valid_sale_statuses).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            checks = U.gold_contract(gold, staging) + U.gold_tests(gold, staging, valid_sale_statuses)
-            try:
-                collected.extend(C.gate(C.evaluate(checks), GOLD_TABLE, log))
-            except C.DataQualityError as e:
-                collected.extend(e.results)
-                raise
-            io.publish(gold, table_uri(gold_root, GOLD_TABLE))
-            if export_root:
-                io.export_sorted(gold, table_uri(export_root, GOLD_TABLE), GOLD_KEYS)
-        finally:
-            gold.unpersist()
+        dest = table_uri(gold_root, GOLD_TABLE)
+
+        def checks(gold):
+            # A status list that matches nothing empties both sides of the reconciliation.
+            return [*U.gold_contract(gold, staging), *U.gold_tests(gold, staging, valid_sale_statuses),
+                    C.not_empty("gold_not_empty", GOLD_TABLE, C.row_count(gold))]
+        publish_checked(G.daily_product_sales(staging, valid_sale_statuses), checks, dest, GOLD_TABLE, collected,
+                        severities)
+        if export_root:
+            io.export_sorted(io.read_table(spark, dest), table_uri(export_root, GOLD_TABLE), GOLD_KEYS)
     return _finish(spark, "build_gold", body, report)
 
 
@@ -231,7 +255,7 @@ def layer_frames(spark: SparkSession, orders_uri: str, items_uri: str, silver_ro
 def validate_layers(spark: SparkSession, orders_uri: str, items_uri: str, silver_root: str,
                     gold_root: str | None = None, upto: str = R.THROUGH_GOLD,
                     valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES,
-                    report: str | None = None) -> JobOutcome:
+                    report: str | None = None, severities: Severities = None) -> JobOutcome:
     """4 checks with ``upto='silver'``, 8 with ``upto='gold'``; metrics in one fused pass."""
     def body(collected):
         frames = layer_frames(spark, orders_uri, items_uri, silver_root,
@@ -239,14 +263,9 @@ def validate_layers(spark: SparkSession, orders_uri: str, items_uri: str, silver
         metrics = R.LayerMetrics(frames, valid_sale_statuses)
         row = metrics.frame().collect()[0]  # one row of scalars
         summary = R.layer_summary(spark.createDataFrame([row]))
-        for r in summary.collect():
-            log.info("  %-7s %-22s %12s rows", r["layer"], r["table_name"], f"{r['rows']:,}")
+        log.info("rows by layer: %s", {f"{r['layer']}.{r['table_name']}": r["rows"] for r in summary.collect()})
         fixed = R.LayerMetrics.from_values(row.asDict())
-        try:
-            collected.extend(C.gate(C.evaluate(R.layer_checks(fixed, upto)), "layers", log))
-        except C.DataQualityError as e:
-            collected.extend(e.results)
-            raise
+        judge(R.layer_checks(fixed, upto), "layers", collected, severities)
     return _finish(spark, "validate_layers", body, report)
 
 
@@ -262,9 +281,11 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--source")
     t.add_argument("--report")
     t.add_argument("--period", nargs=2, default=list(DEFAULT_PERIOD))
+    t.add_argument("--severity", nargs="*", default=[])
     for name in ("bronze", "silver", "gold", "validate"):
         p = sub.add_parser(name)
         p.add_argument("--report")
+        p.add_argument("--severity", nargs="*", default=[], metavar="CHECK=SEVERITY")
         if name in ("bronze", "silver", "validate"):
             p.add_argument("--orders", required=True)
             p.add_argument("--items", required=True)
@@ -282,19 +303,19 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
 
-    from strata.session import build_session
+    severities = dict(x.split("=", 1) for x in args.severity)
     spark = build_session(f"strata-{args.job}")
     if args.job == "table":
-        out = run_table(spark, args.table, args.silver, args.source, args.report, tuple(args.period))
+        out = run_table(spark, args.table, args.silver, args.source, args.report, tuple(args.period), severities)
     elif args.job == "bronze":
-        out = validate_bronze(spark, args.orders, args.items, args.report)
+        out = validate_bronze(spark, args.orders, args.items, args.report, severities)
     elif args.job == "silver":
-        out = run_silver(spark, args.orders, args.items, args.silver, args.report, tuple(args.period))
+        out = run_silver(spark, args.orders, args.items, args.silver, args.report, tuple(args.period), severities)
     elif args.job == "gold":
-        out = build_gold(spark, args.silver, args.gold, args.export, args.status, args.report)
+        out = build_gold(spark, args.silver, args.gold, args.export, args.status, args.report, severities)
     else:
         out = validate_layers(spark, args.orders, args.items, args.silver, args.gold, args.upto,
-                              args.status, args.report)
+                              args.status, args.report, severities)
     log.info("%s finished: %s (%.1f s)", args.job, out.status, out.duration_seconds)
     return out.exit_code
 
