@@ -21,7 +21,9 @@ from strata.operators import reconcile as R
 from strata.operators import silver as S
 from strata.plans import suites as U
 from strata.plans import oracle_sql as Q
+from strata.session import scratch_path
 from strata.sources import adapters as A
+from strata.sources import files as io
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -258,7 +260,11 @@ def check_keys_without_match(spark, sf_dir):
     Q.expected_count("units_reconciled_with_order_items", "order_product_sales",
                      "SELECT sum(quantity) FROM sales", "SELECT count(*) FROM silver_items"),
     Q.expected_count("orders_match_source", "orders",
-                     "SELECT count(*) FROM silver_orders", "SELECT count(*) FROM orders"))))
+                     "SELECT count(*) FROM silver_orders", "SELECT count(*) FROM orders"),
+    Q.expected_count("sales_match_items", "order_product_sales",
+                     "SELECT count(*) FROM sales", "SELECT count(*) FROM silver_items"),
+    Q.expected_count("placed_sales_match_items", "order_product_sales",
+                     "SELECT count(purchase_date) FROM sales", "SELECT count(*) FROM silver_items"))))
 def check_expected_count(spark, sf_dir):
     lay = layers(spark, sf_dir, orders_variant="orphans")
     source_orders = A.read_table(spark, sf_dir, "orders")
@@ -267,6 +273,10 @@ def check_expected_count(spark, sf_dir):
                          C.sum_metric(lay.sales, "quantity"), C.row_count(lay.items)),
         C.expected_count("orders_match_source", "orders",
                          C.row_count(lay.orders), C.row_count(source_orders)),
+        C.expected_count("sales_match_items", "order_product_sales",
+                         C.row_count(lay.sales), C.row_count(lay.items)),
+        C.expected_count("placed_sales_match_items", "order_product_sales",
+                         C.rows_metric(lay.sales, F.count("purchase_date")), C.row_count(lay.items)),
     ])
 
 
@@ -338,21 +348,27 @@ def quality_summary(spark, sf_dir):
     return C.summary(C.evaluate(checks))
 
 
-@register("suite_silver_contract", Q.with_(Q.SILVER, Q.union(
+_SILVER_CONTRACT_SQL = Q.union(
     Q.unique_values("silver_orders", "order_id", "orders"),
     *[Q.not_null("silver_orders", c, "orders") for c in ("order_id", "purchase_date", "order_status")],
     *[Q.not_null("silver_items", c, "order_items") for c in ("order_id", "product_id", "price")],
     *[Q.not_null("sales", c, "order_product_sales") for c in (
-        "order_id", "product_id", "quantity", "item_revenue", "purchase_date", "order_status")])))
+        "order_id", "product_id", "quantity", "item_revenue", "purchase_date", "order_status")])
+
+
+@register("suite_silver_contract", Q.with_(Q.SILVER, _SILVER_CONTRACT_SQL))
 def suite_silver_contract(spark, sf_dir):
     lay = layers(spark, sf_dir)
     return results(U.silver_contract(lay.orders, lay.items, lay.sales))
 
 
-@register("suite_gold_contract", Q.with_(Q.ALL, Q.union(
+_GOLD_CONTRACT_SQL = Q.union(
     *[Q.not_null("gold", c, "daily_product_sales") for c in (
         "purchase_date", "product_id", "quantity", "total_revenue", "total_freight", "orders_count")],
-    *[Q.not_null("sales", c, "stg_order_product_sales") for c in ("order_id", "product_id")])))
+    *[Q.not_null("sales", c, "stg_order_product_sales") for c in ("order_id", "product_id")])
+
+
+@register("suite_gold_contract", Q.with_(Q.ALL, _GOLD_CONTRACT_SQL))
 def suite_gold_contract(spark, sf_dir):
     lay = layers(spark, sf_dir)
     return results(U.gold_contract(lay.gold, G.staging(lay.sales)))
@@ -377,10 +393,10 @@ def gold_metric_violations(spark, sf_dir):
 
 _RECON_SELECT = (
     "SELECT units_gold, units_silver, revenue_gold, revenue_silver FROM ("
-    "SELECT (SELECT cast(sum(quantity) AS BIGINT) FROM gold) AS units_gold, "
-    "(SELECT cast(sum(quantity) AS BIGINT) FROM sales WHERE order_status IN ('F')) AS units_silver, "
-    "(SELECT cast(sum(total_revenue) AS DECIMAL(38,2)) FROM gold) AS revenue_gold, "
-    "(SELECT cast(sum(item_revenue) AS DECIMAL(38,2)) FROM sales WHERE order_status IN ('F')) "
+    "SELECT (SELECT cast(coalesce(sum(quantity), 0) AS BIGINT) FROM gold) AS units_gold, "
+    "(SELECT cast(coalesce(sum(quantity), 0) AS BIGINT) FROM sales WHERE order_status IN ('F')) AS units_silver, "
+    "(SELECT cast(coalesce(sum(total_revenue), 0) AS DECIMAL(38,2)) FROM gold) AS revenue_gold, "
+    "(SELECT cast(coalesce(sum(item_revenue), 0) AS DECIMAL(38,2)) FROM sales WHERE order_status IN ('F')) "
     "AS revenue_silver) t "
     "WHERE units_gold <> units_silver OR abs(revenue_gold - revenue_silver) > 0.01")
 
@@ -398,15 +414,73 @@ def gold_reconciliation_drift(spark, sf_dir):
     return edge(U.reconciliation_violations(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
 
 
-@register("gold_tests", Q.with_(Q.ALL, Q.union(
+@register("gold_reconciliation_empty", Q.with_(Q.SILVER + [Q.gold(())], _RECON_SELECT))
+def gold_reconciliation_empty(spark, sf_dir):
+    """A Gold without rows against a Silver with sales: one difference, not a pass."""
+    lay = layers(spark, sf_dir, statuses=())
+    return edge(U.reconciliation_violations(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
+
+
+_GOLD_TESTS_SQL = Q.union(
     Q.no_rows("grain_purchase_date_product_id", "daily_product_sales", _GRAIN_SQL),
     Q.no_rows("metrics_positive", "daily_product_sales", _METRIC_SQL),
-    Q.no_rows("reconciled_with_silver", "daily_product_sales", _RECON_SELECT))))
+    Q.no_rows("reconciled_with_silver", "daily_product_sales", _RECON_SELECT))
+
+
+@register("gold_tests", Q.with_(Q.ALL, _GOLD_TESTS_SQL))
 def gold_tests(spark, sf_dir):
     lay = layers(spark, sf_dir)
     return results(U.gold_tests(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
 
 
+# Variants in which the tests and contracts above find something: dirty extracts (negative
+# prices, NULL prices, dates and statuses), a Gold whose rows occur twice, and orphans.
+
+DIRTY_ALL = DIRTY + [Q.SALES, Q.GOLD]
+_TWICE = "SELECT * FROM gold0 UNION ALL SELECT * FROM gold0"
+TWICE = Q.SILVER + [Q.GOLD.replace("gold AS", "gold0 AS", 1), f"gold AS ({_TWICE})"]
+
+
+def _twice(lay: Layers) -> DataFrame:
+    return lay.gold.unionByName(lay.gold)
+
+
+@register("gold_grain_violations_twice", Q.with_(TWICE, _GRAIN_SQL))
+def gold_grain_violations_twice(spark, sf_dir):
+    return G.grain_violations(_twice(layers(spark, sf_dir)))
+
+
+@register("gold_metric_violations_dirty", Q.with_(DIRTY_ALL, _METRIC_SQL))
+def gold_metric_violations_dirty(spark, sf_dir):
+    return edge(G.metric_violations(layers(spark, sf_dir, "dirty", "dirty").gold))
+
+
+@register("gold_tests_twice", Q.with_(TWICE, _GOLD_TESTS_SQL))
+def gold_tests_twice(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return results(U.gold_tests(_twice(lay), lay.sales, A.BENCH_VALID_SALE_STATUSES))
+
+
+@register("gold_tests_dirty", Q.with_(DIRTY_ALL, _GOLD_TESTS_SQL))
+def gold_tests_dirty(spark, sf_dir):
+    lay = layers(spark, sf_dir, "dirty", "dirty")
+    return results(U.gold_tests(lay.gold, lay.sales, A.BENCH_VALID_SALE_STATUSES))
+
+
+@register("suite_silver_contract_dirty", Q.with_(DIRTY + [Q.SALES], _SILVER_CONTRACT_SQL))
+def suite_silver_contract_dirty(spark, sf_dir):
+    lay = layers(spark, sf_dir, "dirty", "dirty")
+    return results(U.silver_contract(lay.orders, lay.items, lay.sales))
+
+
+@register("suite_gold_contract_dirty", Q.with_(
+    DIRTY + [Q.SALES, Q.gold(("F", "P"))], _GOLD_CONTRACT_SQL))
+def suite_gold_contract_dirty(spark, sf_dir):
+    """Dirty extracts with a status whose orders lack a date: Gold has NULL dates and revenues."""
+    lay = layers(spark, sf_dir, "dirty", "dirty", statuses=("F", "P"))
+    return results(U.gold_contract(lay.gold, G.staging(lay.sales)))
+
+
 # --- H1-H7: cross-layer reconciliation ------------------------------------------
 
 def _frames(lay: Layers) -> R.LayerFrames:
@@ -458,7 +532,7 @@ def layer_summary(spark, sf_dir):
     return R.layer_summary(R.LayerMetrics(_frames(lay), A.BENCH_VALID_SALE_STATUSES).frame())
 
 
-@register("reconcile_layers", Q.with_(Q.ALL + [_METRICS_SQL], Q.union(
+_SILVER_LAYER_SQL = (
     Q.expected_count("bronze_to_silver_orders_lossless", "orders",
                      "SELECT silver_orders_rows FROM metrics", "SELECT bronze_orders_rows FROM metrics"),
     Q.expected_count("bronze_to_silver_order_items_lossless", "order_items",
@@ -466,7 +540,8 @@ def layer_summary(spark, sf_dir):
     Q.expected_count("silver_units_equal_item_rows", "order_product_sales",
                      "SELECT silver_units_total FROM metrics", "SELECT silver_order_items_rows FROM metrics"),
     Q.expected_count("silver_grain_order_id_product_id", "order_product_sales",
-                     "SELECT silver_sales_rows FROM metrics", "SELECT silver_sales_distinct_keys FROM metrics"),
+                     "SELECT silver_sales_rows FROM metrics", "SELECT silver_sales_distinct_keys FROM metrics"))
+_GOLD_LAYER_SQL = (
     Q.expected_count("gold_grain_purchase_date_product_id", "daily_product_sales",
                      "SELECT gold_rows FROM metrics", "SELECT gold_distinct_keys FROM metrics"),
     Q.expected_count("gold_units_reconciled_with_silver", "daily_product_sales",
@@ -474,13 +549,46 @@ def layer_summary(spark, sf_dir):
     Q.check("gold_revenue_reconciled_with_silver", "daily_product_sales", "CRITICAL",
             "SELECT 0", "(SELECT abs(gold_revenue - silver_valid_revenue) <= 0.01 FROM metrics)"),
     Q.check("gold_not_above_silver", "daily_product_sales", "CRITICAL",
-            "SELECT 0", "(SELECT gold_units <= silver_units_total FROM metrics)"))))
+            "SELECT 0", "(SELECT gold_units <= silver_units_total FROM metrics)"))
+
+
+def published(lay: Layers, root: str) -> Layers:
+    """The layers written as tables and read back: what a reconciliation compares."""
+    spark = lay.sales.sparkSession
+    at = lambda name, df: io.read_table(spark, io.publish(df, f"{root}/{name}"))
+    orders, items = at("orders", lay.orders), at("order_items", lay.items)
+    sales = at("order_product_sales", S.order_product_sales(items, orders))
+    return Layers(lay.bronze_orders, lay.bronze_items, orders, items, sales, at("daily_product_sales", lay.gold))
+
+
+@register("reconcile_layers", Q.with_(Q.ALL + [_METRICS_SQL], Q.union(*_SILVER_LAYER_SQL, *_GOLD_LAYER_SQL)))
 def reconcile_layers(spark, sf_dir):
-    lay = layers(spark, sf_dir)
+    """Bronze extracts against published Silver and Gold tables."""
+    lay = published(layers(spark, sf_dir), scratch_path(spark, "layers"))
     m = R.LayerMetrics(_frames(lay), A.BENCH_VALID_SALE_STATUSES)
     return results(R.layer_checks(m, R.THROUGH_GOLD))
 
 
+_BROKEN = [Q.BRONZE_ITEMS, Q.SILVER_ITEMS, Q.BRONZE_ORDERS,
+           Q.SILVER_ORDERS.replace("silver_orders AS", "silver_orders0 AS", 1),
+           "silver_orders AS (SELECT * FROM silver_orders0 WHERE order_status <> 'P')",
+           Q.SALES.replace("sales AS", "sales0 AS", 1),
+           "sales AS (SELECT * FROM sales0 UNION ALL SELECT * FROM sales0 WHERE order_status = 'O')",
+           Q.gold(("F", "O")).replace("gold AS", "gold0 AS", 1), f"gold AS ({_TWICE})"]
+
+
+@register("reconcile_layers_broken", Q.with_(_BROKEN + [_METRICS_SQL], Q.union(*_SILVER_LAYER_SQL, *_GOLD_LAYER_SQL)))
+def reconcile_layers_broken(spark, sf_dir):
+    """Layers that disagree: orders lost, sales rows repeated, Gold of other statuses and written twice."""
+    lay = layers(spark, sf_dir)
+    orders = lay.orders.filter("order_status <> 'P'")
+    once = S.order_product_sales(lay.items, orders)
+    sales = once.unionByName(once.filter("order_status = 'O'"))
+    gold = G.daily_product_sales(sales, ("F", "O"))
+    broken = Layers(lay.bronze_orders, lay.bronze_items, orders, lay.items, sales, gold.unionByName(gold))
+    return results(R.layer_checks(R.LayerMetrics(_frames(broken), A.BENCH_VALID_SALE_STATUSES), R.THROUGH_GOLD))
+
+
 # Profiling and source/sink queries register themselves on import (they use the
 # helpers above, so they are imported last).
 from strata.plans import catalog_io  # noqa: E402,F401

@@ -10,7 +10,7 @@ from strata.plans.catalog import DIRTY, ORPHANS, edge, layers, register
 
 ORDERS_TEXT = ("order_id", "customer_id", "order_status")
 ITEMS_TEXT = ("order_id", "product_id", "seller_id")
-ORDER_COLS = ("order_id", "customer_id", "order_status", "purchase_date", *P.ORDER_DATE_COLUMNS)
+ORDER_COLS = ("order_id", "customer_id", "order_status", "purchase_date", *P.ORDER_TIMESTAMP_COLUMNS)
 ITEM_COLS = ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
              "price", "freight_value")
 
@@ -51,7 +51,7 @@ def profile_status_distribution(spark, sf_dir):
 @register("profile_date_ranges", Q.with_(Q.ORDERS_, Q.union(*[
     f"SELECT '{c}' AS column_name, strftime(min({c}), {Q.TS}) AS min_value, "
     f"strftime(max({c}), {Q.TS}) AS max_value, count(*) FILTER (WHERE {c} IS NULL) AS nulls "
-    f"FROM silver_orders" for c in P.ORDER_DATE_COLUMNS])))
+    f"FROM silver_orders" for c in P.ORDER_TIMESTAMP_COLUMNS])))
 def profile_date_ranges(spark, sf_dir):
     return P.date_ranges(layers(spark, sf_dir).orders)
 
@@ -77,9 +77,9 @@ def _numeric_sql(src, c):
 
 
 @register("profile_numeric_summary", Q.with_(Q.ITEMS, Q.union(
-    _numeric_sql("silver_items", "price"), _numeric_sql("silver_items", "freight_value"))))
+    *[_numeric_sql("silver_items", c) for c in ("order_item_id", "price", "freight_value")])))
 def profile_numeric_summary(spark, sf_dir):
-    return P.numeric_summary(layers(spark, sf_dir).items, ["price", "freight_value"])
+    return P.numeric_summary(layers(spark, sf_dir).items, ["order_item_id", "price", "freight_value"])
 
 
 def _text_sql(src, c):
@@ -88,10 +88,35 @@ def _text_sql(src, c):
             f"(SELECT {c} {top}) AS top, (SELECT count(*) {top}) AS freq FROM {src}")
 
 
-@register("profile_text_summary", Q.with_(Q.ORDERS_, Q.union(
-    *[_text_sql("silver_orders", c) for c in ("order_status", "customer_id")])))
+@register("profile_text_summary", Q.with_(Q.ORDERS_ + Q.ITEMS, Q.union(
+    *[f"SELECT 'orders' AS table_name, t.* FROM ({_text_sql('silver_orders', c)}) t" for c in ORDERS_TEXT],
+    *[f"SELECT 'order_items' AS table_name, t.* FROM ({_text_sql('silver_items', c)}) t" for c in ITEMS_TEXT])))
 def profile_text_summary(spark, sf_dir):
-    return P.text_summary(layers(spark, sf_dir).orders, ["order_status", "customer_id"])
+    lay = layers(spark, sf_dir)
+    return P.text_summary(lay.orders, ORDERS_TEXT).withColumn("table_name", F.lit("orders")).unionByName(
+        P.text_summary(lay.items, ITEMS_TEXT).withColumn("table_name", F.lit("order_items")))
+
+
+def _dates_sql(src, table, c):
+    seconds = f"epoch(cast({c} AS TIMESTAMP))"
+    text = lambda x: f"strftime(make_timestamp(cast(floor({x}) AS BIGINT) * 1000000), {Q.TS})"
+    return (f"SELECT '{table}' AS table_name, '{c}' AS column_name, count({c}) AS count, "
+            f"{text(f'min({seconds})')} AS min_value, "
+            + ", ".join(f"{text(f'quantile_cont({seconds}, {p})')} AS {n}_value"
+                        for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")))
+            + f", {text(f'max({seconds})')} AS max_value FROM {src}")
+
+
+ORDER_DATES = ("purchase_date", *P.ORDER_TIMESTAMP_COLUMNS)
+
+
+@register("profile_date_summary", Q.with_(Q.ORDERS_ + Q.ITEMS, Q.union(
+    *[_dates_sql("silver_orders", "orders", c) for c in ORDER_DATES],
+    _dates_sql("silver_items", "order_items", "shipping_limit_date"))))
+def profile_date_summary(spark, sf_dir):
+    lay = layers(spark, sf_dir)
+    return P.date_summary(lay.orders, ORDER_DATES).withColumn("table_name", F.lit("orders")).unionByName(
+        P.date_summary(lay.items, ["shipping_limit_date"]).withColumn("table_name", F.lit("order_items")))
 
 
 @register("profile_price_percentiles", Q.with_(Q.ITEMS, Q.union(*[
@@ -127,16 +152,8 @@ def profile_nulls(spark, sf_dir):
     return P.nulls(lay.orders, "orders").unionByName(P.nulls(lay.items, "order_items"))
 
 
-_SPARK_TYPES = {
-    "orders": ("string", "string", "string", "date", "timestamp_ntz", "timestamp_ntz", "timestamp_ntz",
-               "timestamp_ntz", "timestamp_ntz"),
-    "order_items": ("string", "int", "string", "string", "timestamp_ntz", "decimal(10,2)", "decimal(10,2)"),
-}
-
-
 def _columns_sql(src, table, cols):
-    return [f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, "
-            f"'{_SPARK_TYPES[table][i]}' AS data_type, count({c}) AS non_null FROM {src}"
+    return [f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, count({c}) AS non_null FROM {src}"
             for i, c in enumerate(cols)]
 
 
@@ -145,7 +162,9 @@ def _columns_sql(src, table, cols):
     *_columns_sql("silver_items", "order_items", ITEM_COLS))))
 def profile_columns(spark, sf_dir):
     lay = layers(spark, sf_dir, "dirty", "dirty")
-    return P.columns_info(lay.orders, "orders").unionByName(P.columns_info(lay.items, "order_items"))
+    # Types are Spark's own and pinned by a test; the oracle compares what it can count itself.
+    return P.columns_info(lay.orders, "orders").unionByName(
+        P.columns_info(lay.items, "order_items")).drop("data_type")
 
 
 def _dups_sql(src, table, key):
@@ -302,3 +321,11 @@ def top_orders_by_items(spark, sf_dir):
     "ORDER BY quantity DESC, order_id, product_id LIMIT 3")))
 def top_repeated_pairs(spark, sf_dir):
     return P.top_repeated_pairs(layers(spark, sf_dir).items, 3)
+
+
+@register("most_repeated_orders", Q.with_(Q.ITEMS + [_PAIRS], (
+    f"SELECT order_id, order_item_id, product_id, seller_id, {Q.ts('shipping_limit_date')}, {Q.money('price')}, "
+    f"{Q.money('freight_value')} FROM silver_items WHERE order_id IN (SELECT order_id FROM pairs "
+    "GROUP BY order_id ORDER BY max(quantity) DESC, order_id LIMIT 3)")))
+def most_repeated_orders(spark, sf_dir):
+    return edge(P.most_repeated_orders(layers(spark, sf_dir).items, 3))

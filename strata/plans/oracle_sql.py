@@ -38,7 +38,10 @@ BRONZE_ITEMS_DIRTY = f"""bronze_items AS (
   FROM lineitem)"""
 
 
-def _bronze_orders(where: str = "", dirty: bool = False) -> str:
+def _bronze_orders(dirty: bool = False, orphans: bool = False) -> str:
+    order_id = "cast(o_orderkey AS VARCHAR)"
+    if orphans:
+        order_id = f"CASE WHEN o_orderpriority = '5-LOW' THEN 'X' || {order_id} ELSE {order_id} END"
     status = "o_orderstatus"
     purchase = f"strftime(o_orderdate, {TS})"
     if dirty:
@@ -49,7 +52,7 @@ def _bronze_orders(where: str = "", dirty: bool = False) -> str:
     return f"""last_ship AS (
   SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey),
 bronze_orders AS (
-  SELECT cast(o_orderkey AS VARCHAR) AS order_id,
+  SELECT {order_id} AS order_id,
          cast(o_custkey AS VARCHAR) AS customer_id,
          {status} AS order_status,
          {purchase} AS order_purchase_timestamp,
@@ -57,13 +60,12 @@ bronze_orders AS (
          strftime(last_ship, {TS}) AS order_delivered_carrier_date,
          cast(NULL AS VARCHAR) AS order_delivered_customer_date,
          cast(NULL AS VARCHAR) AS order_estimated_delivery_date
-  FROM orders LEFT JOIN last_ship ON o_orderkey = l_orderkey
-  {where})"""
+  FROM orders LEFT JOIN last_ship ON o_orderkey = l_orderkey)"""
 
 
 BRONZE_ORDERS = _bronze_orders()
 BRONZE_ORDERS_DIRTY = _bronze_orders(dirty=True)
-BRONZE_ORDERS_ORPHANS = _bronze_orders("WHERE o_orderpriority IS DISTINCT FROM '5-LOW'")
+BRONZE_ORDERS_ORPHANS = _bronze_orders(orphans=True)
 
 SILVER_ITEMS = f"""silver_items AS (
   SELECT order_id,
