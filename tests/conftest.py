@@ -17,7 +17,8 @@ def spark():
                       extra={"spark.driver.memory": "4g"})
     # Tests set their own shared folder only where the environment does not name one.
     if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-ckpt-"))
+        s.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="strata-test-ckpt-"))
+    s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
 

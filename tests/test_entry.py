@@ -22,10 +22,22 @@ def test_entry_runs(spark):
 
 def test_every_query_has_a_callable_and_sql_keys_match():
     import __spark_entry__ as E
+    from strata.plans import catalog
     q, s = E.queries(), E.oracle_sql()
-    assert set(s) <= set(q)
+    assert set(s) <= set(q) and set(catalog.QUERIES) <= set(q)
     assert all(callable(f) for f in q.values())
-    assert set(q) - set(s) == {"bronze_manifest"}
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"bronze_manifest"}
+
+
+def test_entry_works_without_the_corpus_operators(monkeypatch):
+    import importlib.util
+
+    import __spark_entry__ as E
+    from strata.plans import catalog
+    found = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda n, *a: None if n.startswith(
+        ("strata.llm", "corpus_pipeline")) else found(n, *a))
+    assert set(E.queries()) == set(catalog.QUERIES) and set(E.oracle_sql()) == set(catalog.SQL)
 
 
 @pytest.fixture(scope="module")
@@ -38,8 +50,8 @@ def duck():
 
 def _names():
     sys.path.insert(0, ROOT)
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    from strata.plans import catalog
+    return sorted(catalog.SQL)
 
 
 @pytest.mark.parametrize("name", _names())

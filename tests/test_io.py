@@ -2,6 +2,7 @@ import glob
 import os
 
 import pyarrow.parquet as pq
+import pytest
 
 from strata.operators import silver as S
 from strata.sources import files as io
@@ -51,21 +52,53 @@ def test_sorted_export_is_globally_ordered(spark, tmp_uri):
     assert csv.count() == 5000 and csv.columns == ["a", "b", "id"]
 
 
+def test_mixed_headers_fail_or_follow_their_names(spark, tmp_uri):
+    _write(f"{tmp_uri}/x/a.csv", "order_id,price\no1,10.00\n")
+    _write(f"{tmp_uri}/x/b.csv", "price,order_id\n20.00,o2\n")
+    _write(f"{tmp_uri}/x/c.csv", "order_id,price,colour\no3,30.00,red\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_csv_by_name(spark, f"{tmp_uri}/x", ("order_id", "price")).frame.collect()
+    read = io.read_csv_variants(spark, f"{tmp_uri}/x", ("order_id", "price"))
+    assert sorted(map(tuple, read.frame.collect())) == [("o1", "10.00"), ("o2", "20.00"), ("o3", "30.00")]
+    assert read.missing == [] and read.header == ["order_id", "price", "colour"]
+
+
+def test_failed_publish_leaves_the_old_table(spark, tmp_uri):
+    dest = f"{tmp_uri}/t"
+    io.publish(spark.range(5), dest)
+    with pytest.raises(Exception):
+        io.publish(spark.range(5).selectExpr("assert_true(id < 3) as a", "id"), dest)
+    assert io.read_table(spark, dest).count() == 5
+
+
+def test_switch_undoes_a_failed_move(spark, tmp_uri):
+    dest = f"{tmp_uri}/t"
+    io.publish(spark.range(5), dest)
+    with pytest.raises(Exception):
+        io.switch(spark, f"{tmp_uri}/never-written", dest)
+    assert io.read_table(spark, dest).count() == 5
+
+
 def test_manifest_and_compare(spark, tmp_uri):
     _write(f"{tmp_uri}/src/orders/a.csv", "x\n1\n")
     _write(f"{tmp_uri}/src/items/b.csv", "y\n2\n")
     _write(f"{tmp_uri}/dst/orders/a.csv", "x\n1\n")
     _write(f"{tmp_uri}/dst/items/c.csv", "z\n")
-    src = io.manifest(spark, f"{tmp_uri}/src", "*.csv", with_checksum=True)
-    dst = io.manifest(spark, f"{tmp_uri}/dst", "*.csv", with_checksum=True)
+    src, dst = (io.manifest(spark, f"{tmp_uri}/{d}", "*.csv") for d in ("src", "dst"))
     status = {(r["dataset"], r["file_name"]): r["status"] for r in io.compare_manifests(src, dst).collect()}
     assert status == {("orders", "a.csv"): "same", ("items", "b.csv"): "missing",
                       ("items", "c.csv"): "unexpected"}
     totals = {r["dataset"]: (r["files"], r["bytes"]) for r in io.dataset_totals(src).collect()}
     assert totals == {"orders": (1, 4), "items": (1, 4)}
+    read = {n: io.content_manifest(spark, {"orders": f"{tmp_uri}/{n}/orders"}) for n in ("src", "dst")}
+    assert [tuple(r) for r in read["src"].collect()] == [("orders", 1, 1)]
+    _write(f"{tmp_uri}/dst/orders/a.csv", "x\n123\n")
+    changed = io.compare_manifests(read["src"], io.content_manifest(spark, {"orders": f"{tmp_uri}/dst/orders"}),
+                                   keys=("dataset",)).collect()
+    assert [r["status"] for r in changed] == ["changed"]
 
 
-def test_manifest_without_checksum_does_not_read_content(spark, tmp_uri):
+def test_manifest_does_not_read_content(spark, tmp_uri):
     _write(f"{tmp_uri}/m/d/a.csv", "x\n")
     plan = io.manifest(spark, f"{tmp_uri}/m")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
@@ -80,6 +113,5 @@ def test_publish_partitioned_round_trip(spark, tmp_uri):
 
 
 def test_export_rejects_unknown_format(spark, tmp_uri):
-    import pytest
     with pytest.raises(ValueError):
         io.export_sorted(spark.range(3), f"{tmp_uri}/x", ["id"], formats=("xlsx",))

@@ -1,5 +1,6 @@
 import os
 
+from strata.operators import checks as C
 from strata.plans import jobs as J
 from strata.sources import files as io
 from tests.fixtures import item, items, order, orders
@@ -32,7 +33,7 @@ def test_full_run_publishes_and_validates(spark, tmp_uri):
     v = J.validate_layers(spark, o, i, f"{tmp_uri}/silver", f"{tmp_uri}/gold", "gold", ["delivered"])
     assert v.status == "OK" and len(v.results) == 8
     assert J.validate_layers(spark, o, i, f"{tmp_uri}/silver", None, "silver").results.__len__() == 4
-    rep = spark.read.json(f"{tmp_uri}/report")
+    rep = C.read_report(spark, f"{tmp_uri}/report")
     assert rep.count() == 23 and {r["status"] for r in rep.collect()} == {"OK"}
 
 
@@ -43,18 +44,44 @@ def test_critical_failure_stops_before_publish_and_is_reported(spark, tmp_uri):
     assert out.status == "FAILED" and out.exit_code == 1
     assert os.path.isdir(f"{tmp_uri}/silver/orders")          # orders were published (per table)
     assert not os.path.exists(f"{tmp_uri}/silver/order_items")  # items were not
-    failed = [r for r in spark.read.json(f"{tmp_uri}/report").collect() if r["result"] == "FAIL"]
+    failed = [r for r in C.read_report(spark, f"{tmp_uri}/report").collect() if r["result"] == "FAIL"]
     assert any(r["check"] == "unique_order_id_order_item_id" for r in failed)
 
 
-def test_unexpected_error_is_reported_as_error(spark, tmp_uri):
+def test_missing_extract_stops_the_run_before_anything_is_written(spark, tmp_uri):
     out = J.run_silver(spark, f"{tmp_uri}/nope/orders", f"{tmp_uri}/nope/items", f"{tmp_uri}/silver",
                        report=f"{tmp_uri}/report")
+    assert out.status == "FAILED" and out.exit_code == 1 and not os.path.exists(f"{tmp_uri}/silver")
+    rep = {r["check"]: r["result"] for r in C.read_report(spark, f"{tmp_uri}/report").collect()}
+    assert rep == {"orders_landed": "FAIL", "order_items_landed": "FAIL"}
+
+
+def test_unexpected_error_is_reported_as_error(spark, tmp_uri):
+    out = J.build_gold(spark, f"{tmp_uri}/nope", f"{tmp_uri}/gold", report=f"{tmp_uri}/report")
     assert out.status == "ERROR" and out.exit_code == 1
-    rep = spark.read.json(f"{tmp_uri}/report").collect()
+    rep = C.read_report(spark, f"{tmp_uri}/report").collect()
     assert len(rep) == 1 and rep[0]["status"] == "ERROR" and rep[0]["check"] == "run"
 
 
+def test_empty_gold_is_not_published_over_a_good_one(spark, tmp_uri):
+    o, i = _land(spark, tmp_uri, GOOD_ITEMS, GOOD_ORDERS)
+    assert J.run_silver(spark, o, i, f"{tmp_uri}/silver", period=PERIOD).status == "OK"
+    build = lambda statuses: J.build_gold(spark, f"{tmp_uri}/silver", f"{tmp_uri}/gold", None, statuses)
+    assert build(["delivered"]).status == "OK"
+    out = build(["no such status"])
+    assert out.status == "FAILED" and "gold_not_empty" in out.error
+    assert io.read_table(spark, f"{tmp_uri}/gold/daily_product_sales").count() == 1
+    assert os.listdir(f"{tmp_uri}/gold") == ["daily_product_sales"]
+
+
+def test_severity_override_lets_a_run_go_on(spark, tmp_uri):
+    o, i = _land(spark, tmp_uri, GOOD_ITEMS + [GOOD_ITEMS[0]], GOOD_ORDERS)
+    out = J.run_silver(spark, o, i, f"{tmp_uri}/silver", period=PERIOD,
+                       severities={"unique_order_id_order_item_id": C.WARNING})
+    assert out.status == "OK" and len(out.results) == 23
+    assert [r["severity"] for r in out.results if r["result"] == "FAIL"][0] == "WARNING"
+
+
 def test_bronze_missing_column_and_missing_file(spark, tmp_uri):
     os.makedirs(f"{tmp_uri}/b/orders")
     with open(f"{tmp_uri}/b/orders/a.csv", "w") as f:

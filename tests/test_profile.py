@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -16,7 +17,7 @@ PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
        st.integers(min_value=1, max_value=7))
 def test_exact_percentiles_match_numpy(spark, values, parts):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x int")
-    got = {r["p"]: r["value"] for r in exact_percentiles(df, "x", PROBS, range_partitions=parts).collect()}
+    got = {r["p"]: r["value"] for r in exact_percentiles(df, "x", PROBS, slices=parts).collect()}
     want = np.quantile(np.array(values, dtype=float), PROBS)  # linear interpolation
     for p, w in zip(PROBS, want):
         assert abs(got[p] - w) < 1e-9, (p, got[p], w)
@@ -31,7 +32,7 @@ def test_percentiles_with_a_hot_value(spark):
 
 
 def _frames(spark):
-    bi = items(spark, [item("o1", "1", "p1", "s1"), item("o1", "2", "p1", "s2"), item("o1", "3", "p2", "s1", price="10.00"),
+    bi = items(spark, [item("o1", "1", "p1", "s1", price="100.00"), item("o1", "2", "p1", "s2", price="100.00"), item("o1", "3", "p2", "s1", price="10.00"),
                        item("o2", "1", "p1", "s1", price="90.00"), item("o9", "1", "p3", "s3", price="5.00"),
                        item(None, "1", "p4", "s4", price="1.00")])
     bo = orders(spark, [order("o1"), order("o2", "shipped"), order("o3", "canceled"), order("o4", "canceled"),
@@ -130,7 +131,7 @@ def test_column_percentiles_several_columns_match_numpy(spark, rows):
     from strata.operators.quantiles import column_percentiles
     df = spark.createDataFrame(rows, "a int, b double")
     got = {(r["column_name"], r["p"]): r["value"]
-           for r in column_percentiles(df, ["a", "b"], PROBS, range_partitions=3).collect()}
+           for r in column_percentiles(df, ["a", "b"], PROBS, slices=3).collect()}
     for i, c in enumerate(("a", "b")):
         vals = [r[i] for r in rows if r[i] is not None]
         if not vals:
@@ -150,3 +151,20 @@ def test_order_summary_with_duplicated_parent_matches_row_join(spark):
     want = m.groupby("order_id").agg(items=("order_item_id", "count"), products=("product_id", "nunique"),
                                      total=("price", "sum"))
     assert got == {k: (int(r["items"]), int(r["products"]), f"{r['total']:.2f}") for k, r in want.iterrows()}
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("slices", [1, 16, 200])
+def test_percentiles_do_not_depend_on_the_plan(spark, reuse, adaptive, slices):
+    df = spark.range(500).selectExpr("cast(if(id % 5 = 0, -id, id * id * 1.7) as double) as x").repartition(7)
+    values = np.array([r["x"] for r in df.collect()])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        got = {r["p"]: r["value"] for r in exact_percentiles(df, "x", PROBS, slices=slices).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == pytest.approx({p: float(np.quantile(values, p)) for p in PROBS})
