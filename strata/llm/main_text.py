@@ -37,7 +37,8 @@ SAMPLE_PAGES, SAMPLE_CHARS, VARIANTS, SEED = 240, 16_384, 2, 5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|object|math|title)\b[^>]*"
-    r"(?:>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"(?:>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<[/a-zA-Z][^>]*\Z",
     re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
