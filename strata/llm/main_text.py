@@ -324,8 +324,14 @@ def train(sources: list[str], variants: int = VARIANTS, seed: int = SEED) -> Boo
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> BoostedTrees | None:
     """Trains on the ``sample`` pages that come first by hash; the driver holds at most that many excerpts."""
-    rows = (pages.select(F.xxhash64("html", "url").alias("h"), F.substring("html", 1, SAMPLE_CHARS).alias("html"))
-            .filter("html is not null").orderBy("h", "html").limit(sample).collect())
+    keyed = pages.filter("html is not null").select(F.xxhash64("html", "url").alias("h"), "html")
+    # Hashes alone choose the pages, so that tasks send the driver a few numbers, not each its own pages.
+    chosen = [r["h"] for r in keyed.select("h").distinct().orderBy("h").limit(sample).collect()]
+    if not chosen:
+        return None
+    rows = (keyed.filter(F.col("h") <= chosen[-1]).select("h", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+            .dropDuplicates(["h"]).collect())
+    rows = sorted(rows, key=lambda r: (r["h"], r["html"]))
     return train([r["html"] for r in rows])
 
 

@@ -47,7 +47,7 @@ def rows(seed, n=60):
 
 def odd_rows(seed=1):
     """Nulls in every column, empty and very long texts, ties, repeated rows."""
-    rng = random.Random(seed)
+    rng = random.Random(seed + 1000)
     long = sentence(rng, "en", 4000)
     base = rows(seed, 12)
     return [*base, base[3], base[3], (None, "a text without an id, in the house", "en", "s1", None, *[None] * 7),
