@@ -8,11 +8,13 @@
    Values of one class only are dropped, classes with fewer than ``MATCHES`` shared
    values are skipped, and of the rest each posts only its rarest ``shared - MATCHES + 1``
    values: two classes with ``MATCHES`` in common meet in one of them (prefix filter).
-3. *Links.* Only components are wanted, so a posting list need not be multiplied out. In linear
-   rounds each member is compared with one hub of its list, on full sets; lists whose members are all
-   connected by then are done. In what remains, collisions of members of different components are counted on
-   whole signatures, block by block (``_collisions``), and every pair with ``MATCHES`` or more is
-   confirmed on full sets too. No cap on lists, partners or candidates.
+3. *Links.* Only components are wanted, so a posting list need not be multiplied out. First
+   each member is compared, on full sets, with one hub of its list, the member whose values are
+   the most shared: of a text and its near copies that is the text. Lists whose members are
+   all connected by then are done, and lists of the same members are kept once. In the rest, tasks
+   count collisions of full sets on an inverted index of the list (``_settle``): each member outside
+   the list's largest component against all others at once, which is exact and emits links only. A list over
+   ``BLOCK`` members is dealt as pairs of blocks, so no task holds more. No cap on lists, partners or candidates.
 4. Components by star contraction (``components.py``).
 
 Defined results: null, or a text without words, has an empty set and is linked with nothing; rows
@@ -33,7 +35,7 @@ from strata.llm import textbatch as tb
 from strata.llm.components import components
 from strata.llm.shared import ordered_id, partitions, plain_id, stored
 
-COORDINATES, MATCHES, ROUNDS, SALT = 64, 38, 2, 256
+COORDINATES, MATCHES, SALT, BLOCK = 64, 38, 256, 4096
 U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(17))
 _MULTIPLY = _rng.integers(0, 2**63, COORDINATES, dtype=U) * U(2) + U(1)
@@ -94,14 +96,14 @@ def _sign(shingle: int):
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """key, class_id: the rarest shared values of each class that shares enough of them."""
+    """key, class_id, weight: the rarest shared values of each class that shares enough, and how shared all of its values are."""
     tokens = classes.select("class_id", F.explode("keys").alias("key"))
     shared = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     ranked = (tokens.join(shared, "key").groupBy("class_id")
-              .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("s"))
+              .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("s"), F.sum("n").alias("weight"))
               .filter(F.size("s") >= MATCHES))
-    return ranked.select("class_id", F.explode(F.slice("s", F.lit(1), F.size("s") - MATCHES + 1)).alias("x")).select(
-        F.col("x.key").alias("key"), "class_id")
+    return ranked.select("class_id", "weight", F.explode(F.slice(
+        "s", F.lit(1), F.size("s") - MATCHES + 1)).alias("x")).select(F.col("x.key").alias("key"), "class_id", "weight")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -149,40 +151,68 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return placed.groupBy("bucket").applyInPandas(judge, "a long, b long")
 
 
-def _collisions(percent: int):
-    """Pairs of different components in one posting list whose signatures collide often enough."""
+def _settle(shingle: int, percent: int):
+    """Links between different components of each list (or pair of blocks of one) of a bucket.
+
+    A member's shingles, looked up in the list's inverted index, give its intersection with every other member
+    at once; one link to each other component is enough.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        h, at = shingle_sets(pa.array(pdf["text"], pa.string()), shingle)
+        live = np.flatnonzero(np.diff(at))
+        same = np.zeros(len(pdf), np.int64)
+        if len(live):
+            same[live] = _identity(h, at[:-1][live])[0]
+        own = np.flatnonzero(same == pdf["id1"].to_numpy())
+        ids, comp = pdf["class_id"].to_numpy(), pdf["component"].to_numpy()
+        lists = pdf["list"].to_numpy()
+        own = own[np.argsort(lists[own], kind="stable")]
+        cuts = np.flatnonzero(np.r_[True, lists[own][1:] != lists[own][:-1], True]) if len(own) else [0]
         found = set()
-        signatures = np.array(pdf["keys"].tolist(), np.int64).astype(np.uint32) if len(pdf) else None
-        ids, comp, size = (pdf[c].to_numpy() for c in ("class_id", "component", "n_shingles"))
-        order = np.argsort(pdf["key"].to_numpy(), kind="stable")
-        key = pdf["key"].to_numpy()[order]
-        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            rows = order[i:j]
-            if len(rows) < 2:
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = own[i:j]
+            names, inverse, count = np.unique(comp[rows], return_inverse=True, return_counts=True)
+            if len(names) < 2:
                 continue
-            sig, c, n, own = signatures[rows], comp[rows], size[rows], ids[rows]
-            for at in range(0, len(rows), 64):
-                block = slice(at, at + 64)
-                able = (c[block, None] != c[None]) & (
-                    100 * np.minimum(n[block, None], n[None]) >= percent * np.maximum(n[block, None], n[None]))
-                able &= own[block, None] > own[None]
-                p, q = np.nonzero(able)
-                if not len(p):
-                    continue
-                # Skips most pairs on half of the coordinates: the rest cannot make up for too few there.
-                half = (sig[block][p, ::2] == sig[q, ::2]).sum(1)
-                live = half >= MATCHES - COORDINATES // 2
-                p, q, half = p[live], q[live], half[live]
-                enough = half + (sig[block][p, 1::2] == sig[q, 1::2]).sum(1) >= MATCHES
-                found.update(zip(own[block][p[enough]].tolist(), own[q[enough]].tolist(), strict=True))
+            size = at[rows + 1] - at[rows]
+            values = np.concatenate([h[at[r]: at[r + 1]] for r in rows])
+            member = np.repeat(np.arange(len(rows)), size)
+            order = np.argsort(values, kind="stable")
+            values, member = values[order], member[order]
+            for x in np.flatnonzero(inverse != count.argmax()).tolist():
+                mine = h[at[rows[x]]: at[rows[x] + 1]]
+                begin, end = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+                n = end - begin
+                places = np.repeat(begin - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                common = np.bincount(member[places], minlength=len(rows))
+                linked = (100 * common >= percent * (size[x] + size - common)) & (inverse != inverse[x])
+                partners = np.flatnonzero(linked)
+                for y in partners[np.unique(inverse[partners], return_index=True)[1]].tolist():
+                    pair = (int(ids[rows[x]]), int(ids[rows[y]]))
+                    found.add((max(pair), min(pair)))
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def _open_lists(posted: DataFrame, grouped: DataFrame) -> DataFrame:
+    """class_id, component, list: members of lists that hold several components, dealt in pairs of blocks."""
+    labelled = (posted.select("key", "class_id").join(grouped.withColumnRenamed("node", "class_id"), "class_id", "left")
+                .withColumn("component", F.coalesce("component", "class_id")))
+    of = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "class_id"))
+    lists = (labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"),
+                                         F.count(F.lit(1)).alias("n"), of(1).alias("s1"), of(2).alias("s2"))
+             .filter("least <> most").groupBy("s1", "s2", "n").agg(F.min("key").alias("key")))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("class_id"), blocks).cast("int")
+    dealt = labelled.join(lists.select("key", "n"), "key").select(
+        "class_id", "component", "key", own.alias("own"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    return dealt.select("class_id", "component", F.xxhash64(
+        "key", F.least("own", "other"), F.greatest("own", "other")).alias("list"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row a document; component_id is its group's least doc_id."""
     spark = docs.sparkSession
@@ -199,38 +229,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> Dat
     wanted = posted.select("class_id").distinct().join(classes.select("class_id", "id1"), "class_id")
     texts = stored(rows.join(wanted, rows["doc_id"] == wanted["class_id"]).select("class_id", "id1", "text"), "texts")
 
-    links = stored(spark.createDataFrame([], "a long, b long"), "links")
-    tested = links
-    grouped = None
-    for k in range(ROUNDS + 1):
-        labelled = posted.withColumn("component", F.col("class_id")) if grouped is None else (
-            posted.join(grouped.withColumnRenamed("node", "class_id"), "class_id", "left")
-            .withColumn("component", F.coalesce("component", "class_id")))
-        # The hub: the least class at first, later a member picked by hash.
-        rank = F.col("class_id") if k == 0 else F.xxhash64("class_id", F.lit(k))
-        per_list = labelled.groupBy("key").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"),
-            F.min(F.struct(rank.alias("r"), "class_id", "component")).alias("hub")).filter("least <> most")
-        open_lists = labelled.join(per_list, "key")
-        if k < ROUNDS:
-            pairs = (open_lists.filter(F.col("component") != F.col("hub.component"))
-                     .select(F.col("class_id").alias("a"), F.col("hub.class_id").alias("b")).distinct())
-        else:
-            n = partitions(spark)
-            pairs = (open_lists.select("key", "class_id", "component")
-                     .join(classes.select("class_id", "n_shingles", "keys"), "class_id")
-                     .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
-                     .groupBy("bucket").applyInPandas(_collisions(percent), "a long, b long").distinct())
-        if tested is not links:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti").join(
-                tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(confirm(pairs, texts, shingle, percent), "links")
-        links = found if k == 0 else links.unionByName(found)
-        tested = pairs if k == 0 else tested.unionByName(pairs)
-        grouped = components(links)
-        if k < ROUNDS:
-            grouped = stored(grouped, "components")
+    hubs = posted.groupBy("key").agg(F.max(F.struct("weight", "class_id")).alias("hub"))
+    pairs = stored(posted.join(hubs, "key").select(F.col("class_id").alias("a"), F.col("hub.class_id").alias("b"))
+                   .filter("a <> b").distinct(), "pairs")
+    links = stored(confirm(pairs, texts, shingle, percent), "links")
+    n = 2 * partitions(spark)
+    opened = _open_lists(posted, components(links)).join(texts, "class_id").withColumn(
+        "bucket", F.pmod(F.col("list"), F.lit(n)).cast("int"))
+    links = links.unionByName(stored(opened.groupBy("bucket").applyInPandas(
+        _settle(shingle, percent), "a long, b long").distinct(), "links"))
     # Rows that share a doc_id tie their classes together.
     ties = members.filter("doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     group = components(ties.unionByName(links))
