@@ -73,7 +73,7 @@ def _keys(width: int, gram: int):
 
 
 CANDIDATE = "bucket int, known boolean, h1 binary, h2 binary, doc binary, pos binary"
-HELD = 1 << 21
+HELD = 1 << 19
 
 
 def _candidates(width: int, gram: int, sketched, bits: int, buckets: int):

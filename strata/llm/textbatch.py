@@ -14,7 +14,7 @@ import pyarrow as pa
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE2 = 0xC2B2AE3D27D4EB4F | 1
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 #: Bytes that end a word: space and the controls from tab to carriage return.
