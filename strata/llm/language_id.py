@@ -30,7 +30,7 @@ WINDOW, CLASSES, EMBEDDED, FILTERS, WIDTHS = 256, 64, 8, 8, (2, 3, 4)
 PER_LANGUAGE, EXCERPTS, EPOCHS, BATCH, SEED = 300, 4, 6, 64, 3
 UNKNOWN = "und"
 #: The pipeline rejects texts under this score, little over what a guess among four languages gets.
-MIN_SCORE = 0.35
+MIN_SCORE = 0.3
 
 _SPACE, _DIGIT, _OTHER = 26, 27, 28
 FOLD = np.full(256, _OTHER, np.uint8)
