@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, language_id, line_dedup, mixing, near_dup
-from strata.llm.shared import stored, table
+from strata.llm.shared import identified, stored, table
 from strata.llm.ship import ship
 
 #: Near duplicates: shingles of five words, similarity of 0.8 or more.
@@ -36,18 +36,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least doc_id."""
+    """One document of each group of near copies stays, the one with the least doc_id; of its equal rows, one."""
     ship(spark)
-    dropped = near_dup.near_duplicates(docs, SHINGLE, PERCENT).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # Rows without doc_id would be one node, and tie unrelated documents together.
+    known = docs.filter("doc_id is not null")
+    dropped = near_dup.near_duplicates(known, SHINGLE, PERCENT).filter("not kept").select("doc_id").distinct()
+    kept = stored(known.join(dropped, "doc_id", "left_anti").select(*docs.columns), "near-kept")
+    again = stored(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    return (kept.join(again, "doc_id", "left_anti").select(*docs.columns)
+            .unionByName(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+            .unionByName(docs.filter("doc_id is null")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark passage."""
+    """Drops documents that hold a benchmark passage, with or without doc_id."""
     ship(spark)
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
-    dropped = stored(found.filter(F.size("hits") > 0).select("doc_id").distinct(), "contaminated")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    rows, _ = identified(docs)
+    found = decontaminate.find(rows.select(F.col("__id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    dropped = stored(found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
+    return rows.join(dropped, "__id", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ same document further ahead). Windows are judged on the input.
 3. Flagged starts go back to their documents by doc_id; words are cut there.
 
 Defined results: null or empty text has no words; rows with equal doc_id count as one
-document seen twice (they share flags); a null doc_id sorts last. Extra columns are ignored.
+document seen twice (they share flags); a row without doc_id is a document of its own, sorted last. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import packed, sketch
 from strata.llm import textbatch as tb
-from strata.llm.shared import ordered_id, partitions, plain_id
+from strata.llm.shared import identified, ordered_id, partitions, plain_id
 
 GRAM = 8
 
@@ -199,11 +199,12 @@ def _cut(width: int):
 
 def dedup_windows(docs: DataFrame, width: int = 20, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), one row for each input row."""
-    rows = docs.select(ordered_id().alias("doc_id"), "text")
-    joined = rows.join(repeated_windows(docs, width, gram), "doc_id", "left")
+    docs, last = identified(docs)
+    rows = docs.select(F.col("__id").alias("doc_id"), "text")
+    joined = rows.join(repeated_windows(rows, width, gram), "doc_id", "left")
     return joined.mapInArrow(
         _cut(width), "doc_id long, n_words long, n_removed long, kept_text string"
-    ).withColumn("doc_id", plain_id("doc_id"))
+    ).withColumn("doc_id", plain_id("doc_id", last))
 
 
 def digest(kept: DataFrame) -> DataFrame:
