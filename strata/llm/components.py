@@ -40,5 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
         if new == mark:
             break
         mark = new
+    else:
+        raise RuntimeError(f"components still change after {MAX_ROUNDS} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

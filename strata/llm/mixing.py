@@ -102,6 +102,9 @@ def solve(counts: DataFrame, goal: DataFrame, tolerance: float = 1e-7) -> DataFr
         state = stored(step.select("key", "source_size", "documents", "target", "mean", F.col("next").alias("tilt"),
                                    F.col("low_").alias("low"), F.col("high_").alias("high"),
                                    F.col("hit").alias("done")), "mix")
+    else:
+        if not state.filter("not done").isEmpty():
+            raise RuntimeError(f"targets of the mix not met after {MAX_STEPS} steps")
     return state
 
 
