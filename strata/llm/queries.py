@@ -13,6 +13,7 @@ from strata.llm import (
     main_text,
     mixing,
     near_dup,
+    periodic_runs,
     quality_rules,
     sql,
     substring_dedup,
@@ -72,6 +73,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.digest(main_text.extract(pages, main_text.fit(pages)))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return periodic_runs.digest(periodic_runs.find(periodic_runs.plant(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_zip": op8_warc_zip,
     "op9_near_dup": op9_near_dup,
     "op10_main_text": op10_main_text,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
