@@ -18,6 +18,7 @@ from strata.llm import (
     sql,
     substring_dedup,
     suffix_dedup,
+    vector_dedup,
     warc_zip,
 )
 from strata.llm.shared import table
@@ -73,6 +74,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.digest(main_text.extract(pages, main_text.fit(pages)))
 
 
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return periodic_runs.digest(periodic_runs.find(periodic_runs.plant(table(spark, sf_dir, "documents"))))
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_zip": op8_warc_zip,
     "op9_near_dup": op9_near_dup,
     "op10_main_text": op10_main_text,
+    "op12_vector_dedup": op12_vector_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
