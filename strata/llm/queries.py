@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
     decontaminate,
+    hard_negatives,
     language_id,
     line_dedup,
     main_text,
@@ -74,6 +75,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.digest(main_text.extract(pages, main_text.fit(pages)))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return hard_negatives.mine(hard_negatives.query_rows(table(spark, sf_dir, "embeddings")))
+
+
 def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_zip": op8_warc_zip,
     "op9_near_dup": op9_near_dup,
     "op10_main_text": op10_main_text,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_vector_dedup": op12_vector_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -105,4 +112,6 @@ SQL: dict[str, str] = {
     "op7_quality_rules": sql.op7(),
     "op8_warc_zip": sql.op8(),
     "op9_near_dup": sql.op9(),
+    "op11_hard_negatives": sql.op11(),
+    "op12_vector_dedup": sql.op12(),
 }

@@ -149,3 +149,43 @@ c AS (
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN least_id ON least_id.node = w.doc_id
 """
+
+
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def op11() -> str:
+    """All scores of the anchors, the best positives by window functions, then the window of each."""
+    return f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS other, b.label AS label,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, own, other AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE label <> positives.own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 10"""
+
+
+def op12() -> str:
+    """All cosines; the least vec_id reachable by a recursive walk over the links."""
+    return f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE {_USABLE}),
+n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v WHERE list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+reached AS (SELECT vec_id, vec_id AS place FROM embeddings UNION SELECT reached.vec_id, links.b FROM reached JOIN links ON place = links.a)
+SELECT e.vec_id, coalesce(l.n, 0) AS n_links, r.least AS component_id, e.vec_id = r.least AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(place) AS least FROM reached GROUP BY vec_id) r USING (vec_id)
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id"""
