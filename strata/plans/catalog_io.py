@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import checks as C
+from strata.operators import digest as D
 from strata.operators import gold as G
 from strata.operators import reconcile as R
 from strata.operators import silver as S
@@ -88,41 +89,60 @@ def bronze_csv_mixed_headers(spark, sf_dir):
     return edge(S.order_items(io.read_csv_variants(spark, uri, ORDER_ITEMS_COLUMNS).frame))
 
 
-def _text_sql(src, columns):
+def _digest_sql(src, columns):
+    """The digest of a table of text columns, recomputed."""
+    text = " || ".join(f"coalesce('{c}=' || length({c}) || ':' || {c}, '{c}-')" for c in sorted(columns))
     length = " + ".join(f"coalesce(length({c}), 0)" for c in columns)
-    return f"SELECT count(*) AS rows, cast(coalesce(sum({length}), 0) AS BIGINT) AS characters FROM {src}"
+    number = lambda k: f"cast('0x' || substr(h, {k}, 15) AS BIGINT)"
+    return (f"SELECT count(*) AS rows, cast(coalesce(sum(n), 0) AS BIGINT) AS characters, "
+            f"cast(coalesce(sum({number(1)}), 0) AS DECIMAL(38,0)) AS sum1, "
+            f"cast(coalesce(sum({number(16)}), 0) AS DECIMAL(38,0)) AS sum2, "
+            f"coalesce(bit_xor({number(1)}), 0) AS xor1, coalesce(bit_xor({number(16)}), 0) AS xor2 "
+            f"FROM (SELECT md5({text}) AS h, {length} AS n FROM {src})")
 
 
-def _manifest_sql(name, src, columns):
-    return (f"SELECT '{name}' AS dataset, rows AS expected_rows, characters AS expected_characters, "
-            f"rows AS landed_rows, characters AS landed_characters, 'same' AS status FROM ({_text_sql(src, columns)})")
+def _compared_sql(name, sent, landed, status):
+    """One row of the comparison; ``landed`` None: it never came."""
+    both = [f"e.{m} AS expected_{m}" for m in D.MEASURES]
+    both += [f"l.{m} AS landed_{m}" if landed else
+             f"cast(NULL AS {'DECIMAL(38,0)' if m.startswith('sum') else 'BIGINT'}) AS landed_{m}" for m in D.MEASURES]
+    return (f"SELECT '{name}' AS dataset, {', '.join(both)}, '{status}' AS status FROM ({sent}) e"
+            + (f", ({landed}) l" if landed else ""))
 
 
-def _expected(frames) -> DataFrame:
-    out = None
-    for name, df in frames.items():
-        part = df.agg(F.count(F.lit(1)).alias("rows"),
-                      F.coalesce(F.sum(io.row_length(df.columns)), F.lit(0)).cast("bigint").alias("characters")
-                      ).select(F.lit(name).alias("dataset"), "rows", "characters")
-        out = part if out is None else out.unionByName(part)
-    return out
+#: Every digit of the prices of one order is the next one: other content of the same length.
+_ALTERED_SQL = ("(SELECT * REPLACE (CASE WHEN order_id = (SELECT min(order_id) FROM bronze_items) "
+                "THEN translate(price, '0123456789', '1234567890') ELSE price END AS price) FROM bronze_items)")
+
+
+def altered(items: DataFrame) -> DataFrame:
+    first = items.agg(F.min("order_id")).scalar()
+    other = F.translate("price", "0123456789", "1234567890")
+    return items.withColumn("price", F.when(F.col("order_id") == first, other).otherwise(F.col("price")))
+
+
+_ITEMS_SQL, _ORDERS_SQL = _digest_sql("bronze_items", ORDER_ITEMS_COLUMNS), _digest_sql("bronze_orders", ORDERS_COLUMNS)
 
 
 @register("landing_check", Q.with_(Q.ITEMS + Q.ORDERS_, Q.union(
-    _manifest_sql("orders", "bronze_orders", ORDERS_COLUMNS),
-    _manifest_sql("order_items", "bronze_items", ORDER_ITEMS_COLUMNS),
-    "SELECT 'returns' AS dataset, 0 AS expected_rows, 0 AS expected_characters, cast(NULL AS BIGINT) AS landed_rows, "
-    "cast(NULL AS BIGINT) AS landed_characters, 'missing' AS status")))
+    _compared_sql("orders", _ORDERS_SQL, _ORDERS_SQL, "same"),
+    _compared_sql("order_items", _ITEMS_SQL, _ITEMS_SQL, "same"),
+    _compared_sql("order_items_altered", _ITEMS_SQL, _digest_sql(_ALTERED_SQL, ORDER_ITEMS_COLUMNS), "changed"),
+    _compared_sql("returns", _ORDERS_SQL, None, "missing"))))
 def landing_check(spark, sf_dir):
-    """What was sent against what landed, per dataset; one dataset was announced and never came."""
+    """What was sent against what landed, by content: two extracts the same, one with other digits at the same
+    length, one announced that never came."""
     root = scratch_path(spark, "landing")
     orders_uri, items_uri = land(spark, sf_dir, root)
-    sent = _expected({"orders": A.bronze_orders(spark, sf_dir), "order_items": A.bronze_order_items(spark, sf_dir)})
-    announced = sent.unionByName(sent.filter("dataset = 'orders'").select(
-        F.lit("returns").alias("dataset"), F.lit(0).cast("bigint").alias("rows"),
-        F.lit(0).cast("bigint").alias("characters")))
-    landed = io.content_manifest(spark, {"orders": orders_uri, "order_items": items_uri})
-    return io.compare_manifests(announced, landed, keys=("dataset",))
+    orders, items = A.bronze_orders(spark, sf_dir), A.bronze_order_items(spark, sf_dir)
+    altered_uri = io.write_csv(altered(items), f"{root}/order_items_altered")
+    names = {"orders": orders, "order_items": items, "order_items_altered": items, "returns": orders}
+    sent = None
+    for name, frame in names.items():
+        part = D.digest(frame).select(F.lit(name).alias("dataset"), *D.MEASURES)
+        sent = part if sent is None else sent.unionByName(part)
+    landed = io.content_manifest(spark, {"orders": orders_uri, "order_items": items_uri, "order_items_altered": altered_uri})
+    return io.compare_manifests(sent, landed, keys=("dataset",))
 
 
 @register("bronze_manifest")
@@ -133,15 +153,34 @@ def bronze_manifest(spark, sf_dir):
     return io.manifest(spark, root, glob="*.csv")
 
 
-@register("landing_totals", (
-    "SELECT 'order_items' AS dataset, true AS has_files, true AS has_bytes "
-    "UNION ALL SELECT 'orders', true, true"))
+def _line_length_sql(columns):
+    return " + ".join(f"coalesce(length({c}), 0)" for c in columns) + f" + {len(columns) - 1}"
+
+
+def _totals_sql(name, src, columns):
+    length = _line_length_sql(columns)
+    return (f"SELECT '{name}' AS dataset, count(*) AS data_lines, cast(sum({length}) AS BIGINT) AS data_characters, "
+            f"cast(sum({length} + 1) AS BIGINT) AS data_bytes, cast(0 AS BIGINT) AS files_unread FROM {src}")
+
+
+@register("landing_totals", Q.with_(Q.ITEMS + Q.ORDERS_, Q.union(
+    _totals_sql("orders", "bronze_orders", ORDERS_COLUMNS), _totals_sql("order_items", "bronze_items", ORDER_ITEMS_COLUMNS))))
 def landing_totals(spark, sf_dir):
-    """Datasets of the landing zone with whether files and bytes arrived (counts depend on the writer's tasks)."""
+    """Lines, characters and bytes of the listed files without their headers, per dataset; how many files there are
+    depends on the writer's tasks, so each listed file gives one header back."""
     root = scratch_path(spark, "landing")
     land(spark, sf_dir, root)
-    return io.dataset_totals(io.manifest(spark, root, glob="*.csv")).select(
-        "dataset", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    header = {"orders": ",".join(ORDERS_COLUMNS), "order_items": ",".join(ORDER_ITEMS_COLUMNS)}
+    heading = F.create_map(*[F.lit(x) for name, line in header.items() for x in (name, len(line))])[F.col("dataset")]
+    listed = io.manifest(spark, root, glob="*.csv").groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    read = io.line_manifest(spark, root, glob="*.csv").groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("read"), F.sum("rows").alias("lines"), F.sum("characters").alias("characters"))
+    return listed.join(read, "dataset", "left").select(
+        "dataset", (F.col("lines") - F.col("files")).alias("data_lines"),
+        (F.col("characters") - F.col("files") * heading).alias("data_characters"),
+        (F.col("bytes") - F.col("files") * (heading + 1)).alias("data_bytes"),
+        (F.col("files") - F.coalesce("read", F.lit(0))).alias("files_unread"))
 
 
 def _bronze_sql(table, name, n_rows_sql):
@@ -161,6 +200,31 @@ def suite_bronze(spark, sf_dir):
     return C.evaluate(checks).select(*CHECK_COLUMNS)
 
 
+@register("suite_bronze_broken", Q.union(
+    Q.check("short_readable", "short", "CRITICAL", "SELECT 0"),
+    Q.check("short_expected_columns", "short", "CRITICAL", "SELECT 1"),
+    Q.check("short_not_empty", "short", "CRITICAL", "SELECT count(*) FROM lineitem", "a > 0"),
+    Q.check("swapped_readable", "swapped", "CRITICAL", "SELECT 0"),
+    Q.check("swapped_expected_columns", "swapped", "CRITICAL", "SELECT 1"),
+    Q.check("swapped_not_empty", "swapped", "CRITICAL", "SELECT count(*) FROM lineitem", "a > 0"),
+    Q.check("empty_readable", "empty", "CRITICAL", "SELECT 0"),
+    Q.check("empty_expected_columns", "empty", "CRITICAL", "SELECT 0"),
+    Q.check("empty_not_empty", "empty", "CRITICAL", "SELECT count(*) FROM orders WHERE o_orderkey IS NULL", "a > 0"),
+    Q.check("absent_readable", "absent", "CRITICAL", "SELECT 1")))
+def suite_bronze_broken(spark, sf_dir):
+    """Extracts that must not pass: a column left out, one replaced by another, no rows, no extract at all."""
+    root = scratch_path(spark, "landing")
+    items, orders = A.bronze_order_items(spark, sf_dir), A.bronze_orders(spark, sf_dir)
+    io.write_csv(items.drop("seller_id"), f"{root}/short")
+    io.write_csv(items.withColumnRenamed("price", "discount").select(*reversed(
+        [c if c != "price" else "discount" for c in ORDER_ITEMS_COLUMNS])), f"{root}/swapped")
+    io.write_csv(orders.filter("order_id is null"), f"{root}/empty")
+    return C.evaluate(J.bronze_checks(spark, [
+        (name, f"{root}/{name}", columns) for name, columns in (
+            ("short", ORDER_ITEMS_COLUMNS), ("swapped", ORDER_ITEMS_COLUMNS), ("empty", ORDERS_COLUMNS),
+            ("absent", ORDERS_COLUMNS))])).select(*CHECK_COLUMNS)
+
+
 @register("silver_job_report", Q.with_(Q.ITEMS + Q.ORDERS_, Q.union(
     *_orders_suite_sql(), *_items_suite_sql())))
 def silver_job_report(spark, sf_dir):

@@ -15,6 +15,7 @@ unexpected exception ends the run with status ``ERROR`` (exit code 1), never ``O
 Atomicity is per table: orders may be published and items then rejected. Severities can be
 replaced by check name (``--severity order_items.unique_order_id_order_item_id=WARNING``).
 
+    python -m strata.plans.jobs landing  --source URI --landed URI [--dataset orders order_items]
     python -m strata.plans.jobs bronze   --orders URI --items URI
     python -m strata.plans.jobs silver   --orders URI --items URI --silver URI [--report URI]
     python -m strata.plans.jobs gold     --silver URI --gold URI [--export URI] [--status delivered ...]
@@ -33,6 +34,7 @@ from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import checks as C
 from strata.operators import gold as G
@@ -134,6 +136,26 @@ def landing_checks(spark: SparkSession, sources: dict[str, str]) -> list[C.Check
     return found
 
 
+def landed_checks(spark: SparkSession, source: str, landed: str, datasets: Sequence[str]) -> list[C.Check]:
+    """Each dataset below ``landed`` holds the files below ``source``, line by line the same (by digests, not by size)."""
+    found = io.compare_manifests(io.line_manifest(spark, source), io.line_manifest(spark, landed))
+    counted = {r["dataset"]: r for r in found.groupBy("dataset").agg(
+        *[F.count_if(F.col("status") == k).alias(k) for k in io.STATUSES]).collect()}
+    checks = []
+    for name in dict.fromkeys([*datasets, *sorted(counted)]):
+        n = {k: counted[name][k] if name in counted else 0 for k in io.STATUSES}
+        wrong = sum(n.values()) - n["same"] + (0 if name in counted else 1)
+        checks.append(C.known(f"{name}_unchanged", name, wrong, "files " + " ".join(f"{k}={v}" for k, v in n.items())))
+    return checks
+
+
+def verify_landing(spark: SparkSession, source: str, landed: str, datasets: Sequence[str] = (ORDERS_TABLE, ITEMS_TABLE),
+                   report: str | None = None, severities: Severities = None) -> JobOutcome:
+    """Proof that what landed is what was sent: every file of every dataset (a folder each) by the digest of its lines."""
+    return _finish(spark, "verify_landing", lambda collected: judge(
+        landed_checks(spark, source, landed, datasets), "landing", collected, severities), report)
+
+
 def bronze_checks(spark: SparkSession, files: Sequence[tuple[str, str, Sequence[str]]]) -> list[C.Check]:
     """Readable, expected columns present, not empty; per (name, uri, expected columns)."""
     checks: list[C.Check] = []
@@ -282,10 +304,14 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--report")
     t.add_argument("--period", nargs=2, default=list(DEFAULT_PERIOD))
     t.add_argument("--severity", nargs="*", default=[])
-    for name in ("bronze", "silver", "gold", "validate"):
+    for name in ("landing", "bronze", "silver", "gold", "validate"):
         p = sub.add_parser(name)
         p.add_argument("--report")
         p.add_argument("--severity", nargs="*", default=[], metavar="CHECK=SEVERITY")
+        if name == "landing":
+            p.add_argument("--source", required=True)
+            p.add_argument("--landed", required=True)
+            p.add_argument("--dataset", nargs="*", default=[ORDERS_TABLE, ITEMS_TABLE])
         if name in ("bronze", "silver", "validate"):
             p.add_argument("--orders", required=True)
             p.add_argument("--items", required=True)
@@ -307,6 +333,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(f"strata-{args.job}")
     if args.job == "table":
         out = run_table(spark, args.table, args.silver, args.source, args.report, tuple(args.period), severities)
+    elif args.job == "landing":
+        out = verify_landing(spark, args.source, args.landed, args.dataset, args.report, severities)
     elif args.job == "bronze":
         out = validate_bronze(spark, args.orders, args.items, args.report, severities)
     elif args.job == "silver":

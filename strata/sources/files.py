@@ -7,9 +7,10 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import digest as D
 from strata.session import hadoop_path
 from strata.sources.schemas import all_text
 
@@ -175,26 +176,38 @@ def manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def content_manifest(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """One row per dataset: rows and summed line lengths (header lines left out), read as splittable text.
+    """One row per dataset with the digest of its rows by column name (see ``operators.digest``).
 
-    A file is never loaded whole, so its size has no limit and its splits spread over tasks.
+    Read as splittable CSV and folded map-side: a file is never loaded whole, and one changed value changes the digest.
     """
     out = None
     for name, path in paths.items():
         raw = spark.read.option("header", True).option("enforceSchema", False)
         frame = raw.schema(all_text(csv_header(spark, path))).csv(path)
-        part = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_length(frame.columns)), F.lit(0))
-                         .cast("bigint").alias("characters")).select(F.lit(name).alias("dataset"), "rows", "characters")
+        part = D.digest(frame).select(F.lit(name).alias("dataset"), *D.MEASURES)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def row_length(columns: Sequence[str]) -> Column:
-    """Characters of a text row's values; NULL has none."""
-    total = F.lit(0)
-    for c in columns:
-        total = total + F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0))
-    return total
+def line_manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """One row per file under ``root``: dataset, file_name, bytes and the digest of its lines, header included.
+
+    Lines are digested split by split and merged by file, whatever the files hold; the size in bytes tells
+    what lines do not show (line ends). Spark's sources skip files of no bytes, so those are not listed.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+             .select("value", F.col("_metadata.file_path").alias("file")))
+    digests = lines.groupBy("file").agg(*D.measures(F.col("value"), F.length("value")))
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+              .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes")))
+    parts = F.split("file", "/")
+    return listed.join(digests, "file", "left").select(
+        F.element_at(parts, -2).alias("dataset"), F.element_at(parts, -1).alias("file_name"), "bytes",
+        *[F.coalesce(c, F.lit(0).cast(digests.schema[c].dataType)).alias(c) for c in D.MEASURES])
+
+
+#: How a dataset or file of one manifest stands to the other.
+STATUSES = ("same", "changed", "missing", "unexpected")
 
 
 def compare_manifests(expected: DataFrame, landed: DataFrame,

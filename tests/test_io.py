@@ -91,7 +91,7 @@ def test_manifest_and_compare(spark, tmp_uri):
     totals = {r["dataset"]: (r["files"], r["bytes"]) for r in io.dataset_totals(src).collect()}
     assert totals == {"orders": (1, 4), "items": (1, 4)}
     read = {n: io.content_manifest(spark, {"orders": f"{tmp_uri}/{n}/orders"}) for n in ("src", "dst")}
-    assert [tuple(r) for r in read["src"].collect()] == [("orders", 1, 1)]
+    assert [tuple(r)[:3] for r in read["src"].collect()] == [("orders", 1, 1)]
     _write(f"{tmp_uri}/dst/orders/a.csv", "x\n123\n")
     changed = io.compare_manifests(read["src"], io.content_manifest(spark, {"orders": f"{tmp_uri}/dst/orders"}),
                                    keys=("dataset",)).collect()

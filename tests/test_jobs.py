@@ -108,3 +108,28 @@ def test_single_table_runs(spark, tmp_uri):
     out = J.main(["table", "--table", "order_product_sales", "--silver", silver])
     assert out == 0
     assert io.read_table(spark, f"{silver}/order_product_sales").count() == 2
+
+
+def test_landing_is_verified_by_content_not_by_size(spark, tmp_uri):
+    def put(side, dataset, name, text):
+        os.makedirs(f"{tmp_uri}/{side}/{dataset}", exist_ok=True)
+        with open(f"{tmp_uri}/{side}/{dataset}/{name}", "w", newline="") as f:
+            f.write(text)
+
+    for side in ("sent", "landed"):
+        put(side, "orders", "a.csv", "order_id,price\no1,10.00\no2,12.00\n")
+        put(side, "orders", "z.csv", "order_id,price\no7,1.00\n")
+        put(side, "order_items", "b.csv", "order_id,price\no1,10.00\n")
+    go = lambda: J.verify_landing(spark, f"{tmp_uri}/sent", f"{tmp_uri}/landed", report=f"{tmp_uri}/report")
+    assert go().exit_code == 0
+    put("landed", "orders", "a.csv", "order_id,price\no9,99.99\no2,12.00\n")   # as many bytes, other values
+    put("landed", "order_items", "c.csv", "order_id,price\n")
+    out = go()
+    assert out.status == "FAILED" and out.exit_code == 1
+    said = {r["check"]: (r["affected_rows"], r["message"]) for r in out.results}
+    assert said == {"orders_unchanged": (1, "files same=1 changed=1 missing=0 unexpected=0"),
+                    "order_items_unchanged": (1, "files same=1 changed=0 missing=0 unexpected=1")}
+    put("landed", "orders", "a.csv", "order_id,price\r\no1,10.00\r\no2,12.00\r\n")   # other line ends
+    assert "orders/orders_unchanged" in go().error
+    assert J.main(["landing", "--source", f"{tmp_uri}/sent", "--landed", f"{tmp_uri}/sent"]) == 0
+    assert J.main(["landing", "--source", f"{tmp_uri}/sent", "--landed", f"{tmp_uri}/sent", "--dataset", "returns"]) == 1
