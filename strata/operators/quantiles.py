@@ -30,7 +30,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 4096
+#: Slices of an interval, and the fewest: fewer would only add rounds.
+SLICES, FEWEST = 4096, 256
 
 
 @dataclass(frozen=True)
@@ -127,7 +128,7 @@ def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
     wanted: dict[int, set[int]] = {}
     for (i, _), at in place.items():
         wanted.setdefault(i, set()).update((math.floor(at), math.ceil(at)))
-    found = select_ranks(df, columns, wanted, whole, slices or SLICES)
+    found = select_ranks(df, columns, wanted, whole, max(slices or SLICES, FEWEST))
     rows = []
     for (i, p), at in place.items():
         low, high = found[i, math.floor(at)], found[i, math.ceil(at)]

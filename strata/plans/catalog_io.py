@@ -25,6 +25,7 @@ from strata.plans.catalog import (
 )
 from strata.sources import adapters as A
 from strata.sources import files as io
+from strata.sources import tables as T
 from strata.sources.schemas import ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS
 from strata.session import scratch_path
 
@@ -284,6 +285,36 @@ def gold_job(spark, sf_dir):
     return edge(io.read_table(spark, J.table_uri(f"{root}/gold", J.GOLD_TABLE)))
 
 
+CHANGED_MONTH = "1997-03"
+
+
+@register("gold_incremental", Q.with_(Q.ALL, f"""
+SELECT strftime(purchase_date, '%Y-%m') AS month, strftime(purchase_date, '%Y-%m') = '{CHANGED_MONTH}' AS rebuilt, count(*) AS rows,
+       cast(sum(quantity) AS BIGINT) AS quantity, cast(sum(total_revenue) AS DECIMAL(38,2)) AS total_revenue,
+       cast(sum(total_freight + CASE WHEN strftime(purchase_date, '%Y-%m') = '{CHANGED_MONTH}' THEN orders_count ELSE 0 END)
+            AS DECIMAL(38,2)) AS total_freight, cast(sum(orders_count) AS BIGINT) AS orders_count
+FROM gold GROUP BY 1, 2"""))
+def gold_incremental(spark, sf_dir):
+    """Gold after a second build upon Silver in which one month's freight was corrected, by month: which months were
+    built again, and what the table holds."""
+    root = scratch_path(spark, "incremental")
+    silver, dest = f"{root}/silver", J.table_uri(f"{root}/gold", J.GOLD_TABLE)
+    sales = S.order_product_sales(layers(spark, sf_dir).items, layers(spark, sf_dir).orders)
+    path = io.publish(sales, J.table_uri(silver, J.SALES_TABLE))
+    _ran(J.build_gold(spark, silver, f"{root}/gold", valid_sale_statuses=A.BENCH_VALID_SALE_STATUSES))
+    corrected = F.date_format("purchase_date", "yyyy-MM") == CHANGED_MONTH
+    io.publish(io.read_table(spark, path).withColumn("freight_total", F.when(corrected, F.col("freight_total") + 1)
+               .otherwise(F.col("freight_total")).cast(sales.schema["freight_total"].dataType)), path)
+    _ran(J.build_gold(spark, silver, f"{root}/gold", valid_sale_statuses=A.BENCH_VALID_SALE_STATUSES))
+    rebuilt = T.current(spark, dest).facts["rebuilt"]
+    month = F.date_format("purchase_date", "yyyy-MM").alias("month")
+    return io.read_table(spark, dest).groupBy(month).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("quantity").alias("quantity"),
+        F.sum("total_revenue").cast("decimal(38,2)").alias("total_revenue"),
+        F.sum("total_freight").cast("decimal(38,2)").alias("total_freight"), F.sum("orders_count").alias("orders_count")
+    ).withColumn("rebuilt", F.col("month").isin(rebuilt))
+
+
 def _validated(spark, sf_dir, upto):
     root = scratch_path(spark, "job")
     orders_uri, items_uri = _silver(spark, sf_dir, root)

@@ -3,8 +3,8 @@
 Every job takes a session and storage URIs (any scheme Spark can write: a shared
 filesystem, HDFS, an object store). The pattern for each published table:
 
-    write beside the destination -> check what was written (one fused pass) -> verdict
-    -> switch it into place, or discard it
+    write a new folder -> check what was written (one fused pass) -> verdict
+    -> publish it as the table's next version, or discard it
 
 so a table is computed once, checks see exactly the rows that will be published, the old
 table stays readable until the new one has passed, and nothing is kept on executors: a
@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks as C
+from strata.operators import digest as D
 from strata.operators import gold as G
 from strata.operators import reconcile as R
 from strata.operators import silver as S
 from strata.plans import suites as U
 from strata.session import build_session, hadoop_path
 from strata.sources import files as io
+from strata.sources import tables as T
 from strata.sources.schemas import (
     DEFAULT_PERIOD, DEFAULT_VALID_SALE_STATUSES, ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS,
 )
@@ -240,20 +242,56 @@ def run_table(spark: SparkSession, table: str, silver_root: str, source_uri: str
 # --- I3: Silver -> Gold ------------------------------------------------------------
 
 
+NO_MONTH = "none"
+#: Changes when the model's rule does, so that no month built by another rule is kept.
+GOLD_RULE = 1
+
+
+def month_digests(sales: DataFrame) -> dict[str, str]:
+    """Content digest of each month of sales: one map-side aggregation, a row for each month of the calendar."""
+    month = F.coalesce(F.date_format("purchase_date", "yyyy-MM"), F.lit(NO_MONTH)).alias("month")
+    return {r["month"]: "-".join(str(r[m]) for m in D.MEASURES)
+            for r in D.digest(sales, [month], columns=sales.columns).collect()}
+
+
 def build_gold(spark: SparkSession, silver_root: str, gold_root: str, export_root: str | None = None,
                valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES,
-               report: str | None = None, severities: Severities = None) -> JobOutcome:
-    """Daily sales model; rebuilt from Silver without touching it. An empty one is never published."""
+               report: str | None = None, severities: Severities = None, full: bool = False) -> JobOutcome:
+    """Daily sales model; built from Silver without touching it. An empty one is never published.
+
+    Incremental: the valid sales of each month are digested and compared with the digests stored at the last build.
+    Only months whose content differs (new sales, corrected ones, another status list) are computed and written, as
+    parts of their own; the next version names the other months' files again. ``full`` builds every month.
+    """
     def body(collected):
         staging = G.staging(io.read_table(spark, table_uri(silver_root, SALES_TABLE)))
         dest = table_uri(gold_root, GOLD_TABLE)
-
-        def checks(gold):
+        sales = G.valid_sales(staging, valid_sale_statuses)
+        months = month_digests(sales)
+        last = T.current(spark, dest)
+        before = last.facts.get("months", {}) if last and not full and last.facts.get("rule") == GOLD_RULE else {}
+        kept = {m: last.parts[m] for m, d in months.items() if before.get(m) == d and m in last.parts}
+        todo = sorted(set(months) - set(kept))
+        month = F.coalesce(F.date_format("purchase_date", "yyyy-MM"), F.lit(NO_MONTH))
+        chosen = sales.filter(month.isin(todo)) if kept else sales
+        # Rebalanced, so that a month is few files, and a large one several tasks.
+        built = G.daily_product_sales(chosen, valid_sale_statuses).withColumn("month", month)
+        staged = T.stage(built.hint("rebalance", "month"), dest, ["month"])
+        schema = built.drop("month").schema
+        try:
+            folder = staged.rsplit("/", 1)[1]
+            parts = {**kept, **{m: f"{folder}/month={m}" for m in todo}}
+            gold = T.frame(spark, dest, T.Version(0, parts, schema))
             # A status list that matches nothing empties both sides of the reconciliation.
-            return [*U.gold_contract(gold, staging), *U.gold_tests(gold, staging, valid_sale_statuses),
-                    C.not_empty("gold_not_empty", GOLD_TABLE, C.row_count(gold))]
-        publish_checked(G.daily_product_sales(staging, valid_sale_statuses), checks, dest, GOLD_TABLE, collected,
-                        severities)
+            judge([*U.gold_contract(gold, staging), *U.gold_tests(gold, staging, valid_sale_statuses),
+                   C.not_empty("gold_not_empty", GOLD_TABLE, C.row_count(gold))], GOLD_TABLE, collected, severities)
+            T.commit(spark, dest, parts, schema, {"months": months, "rule": GOLD_RULE, "rebuilt": todo},
+                     follows=last.number if last else 0)
+        except BaseException:
+            T.discard(spark, staged)
+            raise
+        log.info("%s: %d months built, %d kept", GOLD_TABLE, len(todo), len(kept))
+        T.expire(spark, dest)
         if export_root:
             io.export_sorted(io.read_table(spark, dest), table_uri(export_root, GOLD_TABLE), GOLD_KEYS)
     return _finish(spark, "build_gold", body, report)
@@ -322,6 +360,7 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--status", nargs="*", default=list(DEFAULT_VALID_SALE_STATUSES))
         if name == "gold":
             p.add_argument("--export")
+            p.add_argument("--full", action="store_true")
         if name == "validate":
             p.add_argument("--upto", choices=(R.SILVER_ONLY, R.THROUGH_GOLD), default=R.THROUGH_GOLD)
         if name == "silver":
@@ -340,7 +379,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "silver":
         out = run_silver(spark, args.orders, args.items, args.silver, args.report, tuple(args.period), severities)
     elif args.job == "gold":
-        out = build_gold(spark, args.silver, args.gold, args.export, args.status, args.report, severities)
+        out = build_gold(spark, args.silver, args.gold, args.export, args.status, args.report, severities,
+                         args.full)
     else:
         out = validate_layers(spark, args.orders, args.items, args.silver, args.gold, args.upto,
                               args.status, args.report, severities)

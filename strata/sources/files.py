@@ -1,9 +1,8 @@
-"""Sources and sinks: Bronze text files, Silver/Gold Parquet, sorted exports, landing manifest."""
+"""Sources and sinks: Bronze text files, sorted exports, landing manifests; published tables are in ``tables``."""
 
 from __future__ import annotations
 
 import csv
-import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -11,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import digest as D
-from strata.session import hadoop_path
 from strata.sources.schemas import all_text
+from strata.sources.tables import discard, publish, read_table, stage, switch  # noqa: F401
 
 
 @dataclass
@@ -89,59 +88,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A published Silver or Gold table."""
-    return spark.read.parquet(path)
-
-
-def stage(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
-    """Write a Parquet table beside its destination; nothing at ``path`` changes. Returns the staged location.
-
-    No ``coalesce(1)``: every task writes its own file, AQE sizes the partitions, and
-    the commit protocol makes a retried task (lost executor) safe.
-    """
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(staged)
-    return staged
-
-
-def switch(spark: SparkSession, staged: str, path: str) -> str:
-    """Put a complete staged table in place of ``path``: two renames; a failure between them is undone."""
-    fs, new = hadoop_path(spark, staged)
-    _, dest = hadoop_path(spark, path)
-    _, old = hadoop_path(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
-    had = fs.exists(dest)
-    if had and not fs.rename(dest, old):
-        raise OSError(f"could not move {path} aside")
-    try:
-        if not fs.rename(new, dest):
-            raise OSError(f"could not move {staged} to {path}")
-    except Exception:
-        if had:
-            fs.rename(old, dest)
-        raise
-    if had:
-        fs.delete(old, True)
-    return path
-
-
-def discard(spark: SparkSession, staged: str) -> None:
-    fs, path = hadoop_path(spark, staged)
-    fs.delete(path, True)
-
-
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
-    """Replace a Parquet table: the old one stays readable until the new one is complete.
-
-    Partition columns live in directory names; on read Spark infers their type from those names.
-    """
-    spark = df.sparkSession
-    return switch(spark, stage(df, path, partition_by), path)
-
-
 def export_sorted(df: DataFrame, dest: str, keys: Sequence[str],
                   formats: Sequence[str] = ("parquet", "csv")) -> dict[str, str]:
     """Globally ordered export: range-partitioned sort, part files in key order.

@@ -40,12 +40,12 @@ def test_an_outlier_costs_one_round_more(spark, rounds):
 
 def test_no_task_sends_more_rows_than_slices(spark, rounds):
     df = spark.range(100_000).selectExpr("cast(if(id = 0, 1e18, 1 + id % 50000 / 1e6) as double) as x").repartition(4)
-    got(df, 32)
+    got(df, 300)
     for r in rounds:
         plan = r._jdf.queryExecution().executedPlan().toString()
         intervals = r.select("interval").distinct().count()
         assert "collect_list" not in plan and "collect_set" not in plan and "partial_count" in plan
-        assert r.count() <= intervals * 34
+        assert r.count() <= intervals * 302
 
 
 def test_many_orders_of_magnitude_and_both_signs(spark, rounds):
