@@ -37,7 +37,7 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType, LongType, MapType, StringType, StructField, StructType, TimestampType,
@@ -549,8 +549,8 @@ def log_verdict(v: Verdict, log: logging.Logger) -> None:
             len(v.advisory), v.table())
 
 
-def report_frame(spark: SparkSession, rows: list, status: str,
-                 duration_seconds: float | None = None, run_id: str | None = None) -> DataFrame:
+def report_frame(spark: SparkSession, rows: list, status: str, duration_seconds: float | None = None,
+                 run_id: str | None = None) -> DataFrame:
     """The collected results of one run as a report frame (run columns + one row per check)."""
     base = spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows], RESULT_SCHEMA)
     return base.select(
@@ -580,3 +580,25 @@ REPORT_SCHEMA = StructType([
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """A report table by its schema; its history is not scanned to infer one."""
     return spark.read.schema(REPORT_SCHEMA).json(path)
+
+
+def run_history(report: DataFrame) -> DataFrame:
+    """Each check of each run against the runs before: change in affected rows, first failing run, length of its streak.
+
+    ``report`` is a report table; runs follow each other by time, then run_id. A check that a run did not reach has no
+    row there and breaks no streak. Windows are per check, so the work is spread over the checks' histories.
+    """
+    of = Window.partitionBy("table_name", "check").orderBy("run_at", "run_id")
+    so_far = of.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    failed = F.col("result") == FAIL
+    turned = F.coalesce((F.lag("result").over(of) != F.col("result")).cast("int"), F.lit(1))
+    marked = report.select(
+        "table_name", "check", "run_id", "run_at", "result", "affected_rows",
+        F.row_number().over(of).alias("run_number"), (F.col("affected_rows") - F.lag("affected_rows").over(of)).alias("change"),
+        F.min(F.when(failed, F.struct("run_at", "run_id"))).over(so_far)["run_id"].alias("first_failing_run"),
+        F.sum(failed.cast("int")).over(so_far).alias("failures"), turned.alias("turned"))
+    numbered = marked.withColumn("streak_number", F.sum("turned").over(so_far))
+    streak = Window.partitionBy("table_name", "check", "streak_number").orderBy("run_at", "run_id")
+    return numbered.withColumn("streak", F.row_number().over(streak)).select(
+        "run_id", "run_at", "table_name", "check", "result", "affected_rows", "run_number", "change", "first_failing_run",
+        "failures", "streak")

@@ -1,18 +1,18 @@
-"""Cross-layer reconciliation: the layers must agree with each other.
+"""Cross-layer reconciliation: layers declare what can be measured on them, relations say what must hold between.
 
-Bronze -> Silver typing loses no rows; the grain change keeps every unit; Gold's units
-and revenue equal those of valid Silver sales (revenue within 0.01); Gold never
-exceeds Silver. All numbers come from one fused evaluation (one aggregate pass per
-table, one grouped pass per key), never from one action per number.
+A *measure* is a number of one table (``silver.sales.units``), an aggregate over its rows or its keys. A *relation*
+names two measures, how they must stand to each other, and how far apart they may be; checks, their names
+and messages follow from it, so another relation is another line. All measures a set of relations needs come from
+one fused evaluation (one aggregate pass a table, one grouped pass a key), never one action a number.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -23,6 +23,7 @@ from strata.sources.schemas import DEFAULT_VALID_SALE_STATUSES
 
 SILVER_ONLY = "silver"
 THROUGH_GOLD = "gold"
+LAYERS = ("bronze", SILVER_ONLY, THROUGH_GOLD)
 
 
 @dataclass
@@ -35,87 +36,127 @@ class LayerFrames:
     gold: DataFrame | None = None
 
 
+def _total(column: str) -> Callable[[DataFrame, Column], C.Metric]:
+    return lambda df, sold: C.sum_metric(df, column)
+
+
+def _sold(column: str) -> Callable[[DataFrame, Column], C.Metric]:
+    """The same sum over valid sales only, in the same pass."""
+    return lambda df, sold: C.rows_metric(df, F.coalesce(F.sum(F.when(sold, F.col(column))), F.lit(0)))
+
+
+def _distinct(*keys: str) -> Callable[[DataFrame, Column], C.Metric]:
+    return lambda df, sold: C.distinct_count(df, list(keys))
+
+
+def _rows(df: DataFrame, sold: Column) -> C.Metric:
+    return C.row_count(df)
+
+
+@dataclass(frozen=True)
+class Table:
+    """A table of a layer: which frame it is, what results call it, and its measures."""
+
+    frame: str
+    called: str
+    measures: dict[str, Callable[[DataFrame, Column], C.Metric]]
+
+
+TABLES = {
+    "bronze.orders": Table("bronze_orders", "orders", {"rows": _rows}),
+    "bronze.items": Table("bronze_items", "order_items", {"rows": _rows}),
+    "silver.orders": Table("orders", "orders", {"rows": _rows}),
+    "silver.items": Table("items", "order_items", {"rows": _rows}),
+    "silver.sales": Table("sales", "order_product_sales", {
+        "rows": _rows, "keys": _distinct("order_id", "product_id"), "units": _total("quantity"),
+        "sold_rows": lambda df, sold: C.rows_metric(df, F.count_if(sold)), "sold_units": _sold("quantity"),
+        "sold_revenue": _sold("item_revenue")}),
+    "gold.daily": Table("gold", "daily_product_sales", {
+        "rows": _rows, "keys": _distinct("purchase_date", "product_id"), "units": _total("quantity"),
+        "revenue": _total("total_revenue"), "products": _distinct("product_id"), "days": _distinct("purchase_date")}),
+}
+MONEY = "revenue"
+
+
+@dataclass(frozen=True)
+class Relation:
+    """``left`` stands to ``right`` as ``how`` says: equal, close (within ``tolerance``) or at_most."""
+
+    left: str
+    how: str
+    right: str
+    tolerance: Decimal = Decimal(0)
+
+    @property
+    def name(self) -> str:
+        return f"{self.left}_{self.how}_{self.right}".replace(".", "_")
+
+    @property
+    def depth(self) -> int:
+        """Place of the last layer that it needs."""
+        return max(LAYERS.index(m.split(".")[0]) for m in (self.left, self.right))
+
+    def check(self, measured: "LayerMetrics") -> C.Check:
+        table = TABLES[self.left.rsplit(".", 1)[0]].called
+        a, b = measured[self.left], measured[self.right]
+        if self.how == "equal":
+            return C.expected_count(self.name, table, a, b)
+        if self.how == "close":
+            return C.within_tolerance(self.name, table, a, b, self.tolerance)
+        if self.how == "at_most":
+            return C.not_greater(self.name, table, a, b)
+        raise ValueError(f"unknown relation {self.how!r}")
+
+
+RELATIONS = (
+    Relation("silver.orders.rows", "equal", "bronze.orders.rows"),
+    Relation("silver.items.rows", "equal", "bronze.items.rows"),
+    Relation("silver.sales.units", "equal", "silver.items.rows"),
+    Relation("silver.sales.rows", "equal", "silver.sales.keys"),
+    Relation("gold.daily.rows", "equal", "gold.daily.keys"),
+    Relation("gold.daily.units", "equal", "silver.sales.sold_units"),
+    Relation("gold.daily.revenue", "close", "silver.sales.sold_revenue", Decimal("0.01")),
+    Relation("gold.daily.units", "at_most", "silver.sales.units"),
+)
+
+
 class LayerMetrics:
-    """The metrics of every layer, as Metric objects that checks and reports share."""
+    """Every measure of the given layers, as Metric objects that checks and reports share."""
 
     def __init__(self, f: LayerFrames,
                  valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES):
-        self.frames = f
-        # Valid sales as conditional aggregates over the sales frame (same single pass).
-        valid = G.is_valid_sale(valid_sale_statuses)
-
-        def when_valid(c):
-            return F.when(valid, F.col(c))
-        self.named = {
-            "bronze_orders_rows": C.row_count(f.bronze_orders),
-            "bronze_order_items_rows": C.row_count(f.bronze_items),
-            "silver_orders_rows": C.row_count(f.orders),
-            "silver_order_items_rows": C.row_count(f.items),
-            "silver_sales_rows": C.row_count(f.sales),
-            "silver_sales_distinct_keys": C.distinct_count(f.sales, ["order_id", "product_id"]),
-            "silver_units_total": C.sum_metric(f.sales, "quantity"),
-            "silver_valid_sales_rows": C.rows_metric(f.sales, F.count_if(valid)),
-            "silver_valid_units": C.rows_metric(f.sales, F.coalesce(F.sum(when_valid("quantity")), F.lit(0))),
-            "silver_valid_revenue": C.rows_metric(f.sales, F.coalesce(F.sum(when_valid("item_revenue")), F.lit(0))),
-        }
-        if f.gold is not None:
-            self.named.update({
-                "gold_rows": C.row_count(f.gold),
-                "gold_distinct_keys": C.distinct_count(f.gold, ["purchase_date", "product_id"]),
-                "gold_units": C.sum_metric(f.gold, "quantity"),
-                "gold_revenue": C.sum_metric(f.gold, "total_revenue"),
-                "gold_products": C.distinct_count(f.gold, ["product_id"]),
-                "gold_days": C.distinct_count(f.gold, ["purchase_date"]),
-            })
+        sold = G.is_valid_sale(valid_sale_statuses)
+        self.named = {f"{name}.{measure}": made(getattr(f, t.frame), sold)
+                      for name, t in TABLES.items() if getattr(f, t.frame) is not None
+                      for measure, made in t.measures.items()}
 
     @classmethod
     def from_values(cls, values: dict) -> "LayerMetrics":
-        """Metrics already computed (one collected row), as constants for the checks."""
+        """Measures already computed (a row of ``frame``), as constants for the checks."""
         m = cls.__new__(cls)
-        m.frames = None
-        m.named = {k: C.literal(v) for k, v in values.items()}
+        m.named = {f"{name}.{measure}": C.literal(values[_column(f"{name}.{measure}")])
+                   for name, t in TABLES.items() for measure in t.measures if _column(f"{name}.{measure}") in values}
         return m
 
     def __getitem__(self, name: str) -> C.Metric:
+        if name not in self.named:
+            raise ValueError(f"{name} needs a layer that was not given")
         return self.named[name]
 
     def frame(self) -> DataFrame:
-        """One row with every metric; money as decimal(38,2), counts as bigint."""
-        wide = C.metrics_frame(self.named)
-        cols = []
-        for name in self.named:
-            is_money = name.endswith("_revenue")
-            cols.append(F.col(name).cast(DecimalType(38, 2) if is_money else "bigint").alias(name))
-        return wide.select(*cols)
-
-
-def layer_checks(m: LayerMetrics, upto: str = THROUGH_GOLD) -> list[C.Check]:
-    """Four Bronze -> Silver checks, plus four Silver -> Gold checks with ``upto='gold'``."""
-    checks = [
-        C.expected_count("bronze_to_silver_orders_lossless", "orders",
-                         m["silver_orders_rows"], m["bronze_orders_rows"]),
-        C.expected_count("bronze_to_silver_order_items_lossless", "order_items",
-                         m["silver_order_items_rows"], m["bronze_order_items_rows"]),
-        C.expected_count("silver_units_equal_item_rows", "order_product_sales",
-                         m["silver_units_total"], m["silver_order_items_rows"]),
-        C.expected_count("silver_grain_order_id_product_id", "order_product_sales",
-                         m["silver_sales_rows"], m["silver_sales_distinct_keys"]),
-    ]
-    if upto == SILVER_ONLY:
-        return checks
-    if "gold_rows" not in m.named:
-        raise ValueError("Gold checks need the Gold frame")
-    checks += [
-        C.expected_count("gold_grain_purchase_date_product_id", "daily_product_sales",
-                         m["gold_rows"], m["gold_distinct_keys"]),
-        C.expected_count("gold_units_reconciled_with_silver", "daily_product_sales",
-                         m["gold_units"], m["silver_valid_units"]),
-        C.within_tolerance("gold_revenue_reconciled_with_silver", "daily_product_sales",
-                           m["gold_revenue"], m["silver_valid_revenue"], Decimal("0.01")),
-        C.not_greater("gold_not_above_silver", "daily_product_sales",
-                      m["gold_units"], m["silver_units_total"]),
-    ]
-    return checks
+        """One row with every measure; money as decimal(38,2), counts as bigint."""
+        wide = C.metrics_frame({_column(name): m for name, m in self.named.items()})
+        return wide.select(*[F.col(_column(name)).cast(DecimalType(38, 2) if name.endswith(MONEY) else "bigint")
+                             .alias(_column(name)) for name in self.named])
+
+
+def _column(name: str) -> str:
+    return name.replace(".", "_")
+
+
+def layer_checks(m: LayerMetrics, upto: str = THROUGH_GOLD, relations: Sequence[Relation] = RELATIONS) -> list[C.Check]:
+    """Checks of the relations between layers as far as ``upto``."""
+    return [r.check(m) for r in relations if r.depth <= LAYERS.index(upto)]
 
 
 def layer_summary(metrics_row: DataFrame) -> DataFrame:
@@ -123,37 +164,22 @@ def layer_summary(metrics_row: DataFrame) -> DataFrame:
 
     ``metrics_row`` is ``LayerMetrics.frame()`` (one row), so this is a projection.
     """
-    c = F.col
-    has_gold = "gold_rows" in metrics_row.columns
-    null_long = F.lit(None).cast("bigint")
-    null_money = F.lit(None).cast(DecimalType(38, 2))
-
-    def row(layer, table, rows, units=None, revenue=None, days=None, products=None,
-            discarded=None, discarded_pct=None):
-        return F.struct(
-            F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
-            rows.cast("bigint").alias("rows"),
-            (units if units is not None else null_long).cast("bigint").alias("units"),
-            (revenue if revenue is not None else null_money).cast(DecimalType(38, 2)).alias("revenue"),
-            (days if days is not None else null_long).cast("bigint").alias("days"),
-            (products if products is not None else null_long).cast("bigint").alias("products"),
-            (discarded if discarded is not None else null_long).cast("bigint").alias("discarded_units"),
-            (discarded_pct if discarded_pct is not None else F.lit(None)).cast("double")
-            .alias("discarded_pct"),
-        )
-
-    rows = [
-        row("bronze", "orders", c("bronze_orders_rows")),
-        row("bronze", "order_items", c("bronze_order_items_rows")),
-        row("silver", "orders", c("silver_orders_rows")),
-        row("silver", "order_items", c("silver_order_items_rows"), units=c("silver_order_items_rows")),
-        row("silver", "order_product_sales", c("silver_sales_rows"), units=c("silver_units_total"),
-            revenue=c("silver_valid_revenue")),
-    ]
-    if has_gold:
-        discarded = c("silver_units_total") - c("gold_units")
-        rows.append(row("gold", "daily_product_sales", c("gold_rows"), units=c("gold_units"),
-                        revenue=c("gold_revenue"), days=c("gold_days"),
-                        products=c("gold_products"), discarded=discarded,
-                        discarded_pct=pct(discarded, c("silver_units_total"))))
+    shown = {  # what a layer's row shows, by the measure it comes from
+        "bronze.orders": {}, "bronze.items": {}, "silver.orders": {}, "silver.items": {"units": "rows"},
+        "silver.sales": {"units": "units", "revenue": "sold_revenue"},
+        "gold.daily": {k: k for k in ("units", "revenue", "days", "products")}}
+    rows = []
+    for name, from_ in shown.items():
+        if _column(f"{name}.rows") not in metrics_row.columns:
+            continue
+        at = lambda m: F.col(_column(f"{name}.{m}"))  # noqa: E731, B023
+        lost = F.col("silver_sales_units") - at("units") if name == "gold.daily" else F.lit(None)
+        share = pct(lost, F.col("silver_sales_units")) if name == "gold.daily" else F.lit(None)
+        value = lambda m: at(from_[m]) if m in from_ else F.lit(None)  # noqa: E731, B023
+        rows.append(F.struct(
+            F.lit(name.split(".")[0]).alias("layer"), F.lit(TABLES[name].called).alias("table_name"),
+            at("rows").cast("bigint").alias("rows"), value("units").cast("bigint").alias("units"),
+            value("revenue").cast(DecimalType(38, 2)).alias("revenue"), value("days").cast("bigint").alias("days"),
+            value("products").cast("bigint").alias("products"), lost.cast("bigint").alias("discarded_units"),
+            share.cast("double").alias("discarded_pct")))
     return metrics_row.select(F.inline(F.array(*rows)))

@@ -285,6 +285,44 @@ def gold_job(spark, sf_dir):
     return edge(io.read_table(spark, J.table_uri(f"{root}/gold", J.GOLD_TABLE)))
 
 
+#: Three runs of the orders suite: as they are, then with rows lost of one status and keys repeated, then as they are again.
+RUNS = {"run-1": "order_id IS NOT NULL", "run-2": "order_status <> 'P'", "run-3": "order_id IS NOT NULL"}
+
+
+def _history_sql():
+    runs = []
+    for run, kept in RUNS.items():
+        twice = "UNION ALL SELECT * FROM silver_orders WHERE order_status = 'O'" if run == "run-2" else ""
+        runs.append(f"SELECT '{run}' AS run_id, count(*) AS n, count(DISTINCT order_id) AS keys, "
+                    f"count(*) FILTER (WHERE purchase_date IS NULL) AS undated, count(*) FILTER (WHERE order_status IS NULL) "
+                    f"AS unknown FROM (SELECT * FROM silver_orders WHERE {kept} {twice})")
+    checks = {"unique_order_id": "n - keys", "purchase_date_not_null": "undated", "order_status_not_null": "unknown"}
+    rows = Q.union(*[f"SELECT run_id, '{name}' AS \"check\", cast({n} AS BIGINT) AS affected_rows FROM runs"
+                     for name, n in checks.items()])
+    return [f"runs AS ({Q.union(*runs)})", f"results AS (SELECT *, CASE WHEN affected_rows = 0 THEN 'OK' ELSE 'FAIL' END AS result "
+            f"FROM ({rows}))"]
+
+
+@register("report_history", Q.with_(Q.ORDERS_ + _history_sql(), """
+SELECT run_id, 'orders' AS table_name, "check", result, affected_rows, row_number() OVER w AS run_number,
+       affected_rows - lag(affected_rows) OVER w AS change,
+       min(CASE WHEN result = 'FAIL' THEN run_id END) OVER w AS first_failing_run,
+       cast(sum(CASE WHEN result = 'FAIL' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS failures,
+       run_id = 'run-1' OR lag(result) OVER w <> result AS turned
+FROM results WINDOW w AS (PARTITION BY "check" ORDER BY run_id)"""))
+def report_history(spark, sf_dir):
+    """Three runs with different outcomes in one report table, and each check's history read from it."""
+    report = f"{scratch_path(spark, 'history')}/reports"
+    orders = layers(spark, sf_dir).orders
+    for run, kept in RUNS.items():
+        df = orders.filter(kept)
+        df = df.unionByName(orders.filter("order_status = 'O'")) if run == "run-2" else df
+        checks = [C.unique(df, ["order_id"], "orders"), C.not_null(df, "purchase_date", "orders"),
+                  C.not_null(df, "order_status", "orders")]
+        C.write_report(spark, C.evaluate(checks).collect(), report, "OK", run_id=run)
+    return C.run_history(C.read_report(spark, report)).withColumn("turned", F.col("streak") == 1).drop("run_at", "streak")
+
+
 CHANGED_MONTH = "1997-03"
 
 

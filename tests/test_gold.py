@@ -92,7 +92,7 @@ def test_layer_checks_catch_lost_rows(spark):
     bo, bi, so, si, sales = _layers(spark)
     m = R.LayerMetrics(R.LayerFrames(bo, bi, so, si.where("order_id != 'o4'"), sales, None))
     rows = {r["check"]: r for r in C.evaluate(R.layer_checks(m, R.SILVER_ONLY)).collect()}
-    assert rows["bronze_to_silver_order_items_lossless"]["affected_rows"] == 1
+    assert rows["silver_items_rows_equal_bronze_items_rows"]["affected_rows"] == 1
 
 
 def test_gold_tests_detect_each_violation(spark):
