@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from datetime import datetime
 from decimal import Decimal
 from typing import Callable, Sequence
 
@@ -274,6 +275,48 @@ class Evaluator:
         return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+class _Recorder(Evaluator):
+    """Notes the row measures of one frame instead of planning them."""
+
+    def __init__(self, df: DataFrame):
+        super().__init__()
+        self.df, self.found = df, []
+
+    def add(self, m: Metric) -> Column:
+        if m.kind == "rows" and m.df is self.df:
+            self.found.append(m.expr)
+            return F.lit(None)
+        return super().add(m)
+
+
+class _Measured(Evaluator):
+    """Takes the row measures of one frame from values already known, in the order a recorder notes them."""
+
+    def __init__(self, df: DataFrame, values: Sequence):
+        super().__init__()
+        self.df, self.values = df, iter(values)
+
+    def add(self, m: Metric) -> Column:
+        if m.kind == "rows" and m.df is self.df:
+            return _constant(next(self.values))
+        return super().add(m)
+
+
+def _constant(value) -> Column:
+    """A measured value as a column; wall-clock times stay as written, whatever the session's zone."""
+    if isinstance(value, datetime):
+        return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
+def row_measures(checks: Sequence["Check"], df: DataFrame) -> list[Column]:
+    """The aggregates over the rows of ``df`` that the checks ask for: what an observation of a write can measure."""
+    recorder = _Recorder(df)
+    for c in checks:
+        c.plan(recorder)
+    return recorder.found
+
+
 def metrics_frame(named: dict[str, Metric]) -> DataFrame:
     """Named metrics as one row, computed with the same fusion as checks."""
     ev = Evaluator()
@@ -474,9 +517,12 @@ def with_severities(checks: Sequence[Check], severities: dict[str, str] | None)
 # --- evaluation, gate, report ---------------------------------------------
 
 
-def evaluate(checks: Sequence[Check]) -> DataFrame:
-    """All checks as one results frame (one row per check, in the given order)."""
-    ev = Evaluator()
+def evaluate(checks: Sequence[Check], measured: tuple[DataFrame, Sequence] | None = None) -> DataFrame:
+    """All checks as one results frame (one row per check, in the given order).
+
+    ``measured``: a frame and the values of its ``row_measures``, taken while it was written; its rows are not read again.
+    """
+    ev = _Measured(*measured) if measured else Evaluator()
     planned = [(c, c.plan(ev)) for c in checks]
     wide = ev.wide()
     structs = [

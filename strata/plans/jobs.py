@@ -33,7 +33,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks as C
@@ -77,22 +77,33 @@ def table_uri(root: str, table: str) -> str:
 Severities = dict[str, str] | None
 
 
-def judge(checks: Sequence[C.Check], context: str, collected: list, severities: Severities = None) -> None:
+def judge(checks: Sequence[C.Check], context: str, collected: list, severities: Severities = None,
+          measured: tuple[DataFrame, Sequence] | None = None) -> None:
     """Evaluate, keep every result, log, and raise on a blocking one."""
-    v = C.verdict(C.evaluate(C.with_severities(checks, severities)), context)
+    v = C.verdict(C.evaluate(C.with_severities(checks, severities), measured), context)
     collected.extend(v.results)
     C.log_verdict(v, log)
     v.require()
 
 
+def stage_measured(df: DataFrame, measures: Sequence[Column], dest: str) -> tuple[str, list]:
+    """Stage a table and take row aggregates of what is written in the same pass; a retried task counts once."""
+    if not measures:
+        return io.stage(df, dest), []
+    seen = Observation()
+    staged = io.stage(df.observe(seen, *[m.alias(f"m{k}") for k, m in enumerate(measures)]), dest)
+    return staged, [seen.get[f"m{k}"] for k in range(len(measures))]
+
+
 def publish_checked(df: DataFrame, checks: Callable[[DataFrame], list[C.Check]], dest: str,
                     context: str, collected: list, severities: Severities = None) -> None:
-    """Stage -> check what was staged -> switch, or discard."""
+    """Stage -> check what was staged -> switch, or discard. Row checks are measured by the write itself."""
     spark = df.sparkSession
-    staged = io.stage(df, dest)
+    staged, values = stage_measured(df, C.row_measures(checks(df), df), dest)
     try:
-        judge(checks(io.read_table(spark, staged)), context, collected, severities)
-        io.switch(spark, staged, dest)
+        written = io.read_table(spark, staged)
+        judge(checks(written), context, collected, severities, (written, values))
+        io.switch(spark, staged, dest, df.schema)
     except BaseException:
         io.discard(spark, staged)
         raise

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import digest as D
+from strata.session import checkpoint_dir
 from strata.sources.schemas import all_text
 from strata.sources.tables import discard, publish, read_table, stage, switch  # noqa: F401
 
@@ -99,7 +100,7 @@ def export_sorted(df: DataFrame, dest: str, keys: Sequence[str],
     if unknown:
         raise ValueError(f"unsupported export format {unknown[0]!r}")
     out = {}
-    ordered = df.orderBy(*keys)
+    ordered = sorted_once(df, keys) if len(formats) > 1 else df.orderBy(*keys)
     for fmt in formats:
         path = f"{dest.rstrip('/')}.{fmt}"
         w = ordered.write.mode("overwrite")
@@ -108,6 +109,17 @@ def export_sorted(df: DataFrame, dest: str, keys: Sequence[str],
     return out
 
 
+def sorted_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` in the order of ``keys``, sampled, shuffled and sorted once, its partitions written to the checkpoint folder.
+
+    What is derived from it reads those partitions in their order, each by one task, without a shuffle.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    return df.orderBy(*keys).checkpoint()
+
+
 def manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """One row per file under ``root``: dataset (parent folder), file_name, bytes.
 

@@ -115,3 +115,24 @@ def test_publish_partitioned_round_trip(spark, tmp_uri):
 def test_export_rejects_unknown_format(spark, tmp_uri):
     with pytest.raises(ValueError):
         io.export_sorted(spark.range(3), f"{tmp_uri}/x", ["id"], formats=("xlsx",))
+
+
+def test_one_sort_serves_both_formats(spark, tmp_uri):
+    df = spark.range(20_000).selectExpr("(id * 7919) % 9973 as a", "cast(id % 13 as string) as b", "id").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several part files from few rows
+    try:
+        once = io.sorted_once(df, ["a", "b"])
+        for plan in (once, once.select("a")):
+            assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+        assert once.rdd.getNumPartitions() > 1
+        paths = io.export_sorted(df, f"{tmp_uri}/out/model", ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(glob.glob(paths["csv"] + "/part-*.csv")) > 1
+    rows = []
+    for f in sorted(glob.glob(paths["csv"] + "/part-*.csv")):
+        with open(f) as lines:
+            rows += [tuple(x.strip().split(",")) for x in list(lines)[1:]]
+    assert len(rows) == 20_000 and [(int(a), b) for a, b, _ in rows] == sorted((int(a), b) for a, b, _ in rows)
+    files = sorted(glob.glob(paths["parquet"] + "/part-*.parquet"))
+    assert [k for f in files for k in pq.read_table(f).column("id").to_pylist()] == [int(i) for _, _, i in rows]
