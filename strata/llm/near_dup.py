@@ -17,8 +17,8 @@
    ``BLOCK`` members is dealt as pairs of blocks, so no task holds more. No cap on lists, partners or candidates.
 4. Components by star contraction (``components.py``).
 
-Defined results: null, or a text without words, has an empty set and is linked with nothing; rows
-that share a doc_id are one node; a null doc_id sorts last; repeated rows repeat their result.
+Defined results: null, or a text without words, has an empty set and is linked with nothing; each row is a
+node of its own, also where rows share a doc_id or have none; rows without doc_id come last. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from strata.llm import textbatch as tb
 from strata.llm.components import components
-from strata.llm.shared import ordered_id, partitions, plain_id, stored
+from strata.llm.shared import distinct_ids, identified, partitions, stored
 
-COORDINATES, MATCHES, SALT, BLOCK = 64, 38, 256, 4096
+COORDINATES, MATCHES, SALT, BLOCK, SALTS = 64, 38, 256, 4096, 32
 U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(17))
 _MULTIPLY = _rng.integers(0, 2**63, COORDINATES, dtype=U) * U(2) + U(1)
@@ -215,13 +215,30 @@ def _open_lists(posted: DataFrame, grouped: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row a document; component_id is its group's least doc_id."""
-    spark = docs.sparkSession
-    rows = docs.select(ordered_id().alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if distinct_ids(docs):
+        return near_rows(docs, shingle, percent).select(
+            "doc_id", "n_shingles", F.col("component").alias("component_id"),
+            (F.col("component") == F.col("doc_id")).alias("kept"))
+    docs = identified(docs)
+    grouped = near_rows(docs.select(F.col("__id").alias("doc_id"), "text"), shingle, percent)
+    # The least row's own doc_id, by a salted join: a group may hold a third of all rows.
+    ids = docs.select(F.col("__id"), "doc_id")
+    salted = grouped.withColumnRenamed("doc_id", "__id").withColumn("salt", F.pmod(F.xxhash64("__id"), F.lit(SALTS)))
+    heads = grouped.select("component").distinct().join(
+        ids.select(F.col("__id").alias("component"), F.col("doc_id").alias("component_id")), "component").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(heads, ["component", "salt"]).join(ids, "__id").select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_rows(rows: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component of rows (doc_id, text) whose doc_ids differ; component is the group's least doc_id."""
+    spark = rows.sparkSession
     signed = stored(rows.mapInArrow(_sign(shingle), SIGNED), "signed")
     sets = signed.filter("n_shingles > 0")
     ids = ["id1", "id2", "n_shingles"]
     least = stored(sets.groupBy(*ids).agg(F.min("doc_id").alias("class_id")), "classes")
-    members = sets.select("doc_id", *ids).join(least, ids)
     classes = stored(
         sets.join(least, ids).filter("doc_id = class_id").select("class_id", "id1", "n_shingles", "keys")
         .dropDuplicates(["class_id", "id1"]), "representatives")
@@ -238,10 +255,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> Dat
         "bucket", F.pmod(F.col("list"), F.lit(n)).cast("int"))
     links = links.unionByName(stored(opened.groupBy("bucket").applyInPandas(
         _settle(shingle, percent), "a long, b long").distinct(), "links"))
-    # Rows that share a doc_id tie their classes together.
-    ties = members.filter("doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
-    group = components(ties.unionByName(links))
-    return (signed.select("doc_id", "n_shingles").join(group, F.col("doc_id") == F.col("node"), "left")
-            .withColumn("component_id", F.coalesce("component", "doc_id"))
-            .select(plain_id("doc_id").alias("doc_id"), "n_shingles", plain_id("component_id").alias("component_id"),
-                    (F.col("component_id") == F.col("doc_id")).alias("kept")))
+    # Copies are no nodes: their class is, and they meet its component in one join by set.
+    group = components(links)
+    placed = least.join(group, F.col("class_id") == F.col("node"), "left").select(
+        *ids, F.coalesce("component", "class_id").alias("component"))
+    return signed.select("doc_id", *ids).join(placed, ids, "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))

@@ -45,33 +45,31 @@ def ordered_id(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
-def plain_id(name: str, last: int = NULL_ID - 1) -> Column:
-    """doc_id as given: null behind ``last``, the greatest that is."""
-    return F.when(F.col(name) <= last, F.col(name))
+def plain_id(name: str) -> Column:
+    """``ordered_id`` as given: null again where it was null."""
+    return F.when(F.col(name) < NULL_ID, F.col(name))
 
 
-def identified(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``docs`` with ``__id``, and the greatest doc_id: doc_id, or a long of the row's own behind it where that is null.
+def distinct_ids(docs: DataFrame) -> bool:
+    """Whether every row has a doc_id of its own."""
+    n, known = docs.agg(F.count(F.lit(1)), F.count_distinct(F.col("doc_id").cast("long"))).first()
+    return n == known
 
-    Rows without doc_id are numbered once and written, so that every use sees the same numbers.
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__id``, a long of each row's own, in the order of doc_id (null last).
+
+    Where every row has a doc_id of its own, that is it. Otherwise rows are sorted once by doc_id, text hash
+    and place, numbered and written, so that every use sees the same numbers; rows that
+    share a doc_id, or have none, are documents of their own. The sort's further keys
+    deal a doc_id that many rows share over many tasks.
     """
     given = F.col("doc_id").cast("long")
-    last, unknown = docs.agg(F.max(given), F.count_if(given.isNull())).first()
-    if not unknown:
-        return docs.withColumn("__id", given), NULL_ID - 1
-    last = -2**63 if last is None else last
-    rows = stored(docs.filter(given.isNull()).withColumn("__id", F.monotonically_increasing_id()), "without-id")
-    part = F.call_function("shiftright", F.col("__id"), F.lit(33))
-    before, n = [], 0
-    for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
-        before += [F.lit(r["part"]), F.lit(n - (r["part"] << 33))]
-        n += r["n"]
-    if last + n >= NULL_ID:
-        raise ValueError("no longs left behind the greatest doc_id for the rows without one")
-    # Dense numbers 0 .. n - 1 by the places of the partitions.
-    number = F.col("__id") + F.element_at(F.create_map(*before), part)
-    rows = rows.withColumn("__id", F.lit(last + 1) + number)
-    return docs.filter(given.isNotNull()).withColumn("__id", given).unionByName(rows), last
+    if distinct_ids(docs):
+        return docs.withColumn("__id", given)
+    ordered = (docs.withColumn("__id", F.monotonically_increasing_id())
+               .orderBy(given.asc_nulls_last(), F.xxhash64("text"), "__id"))
+    return stored(ordered.withColumn("__id", F.monotonically_increasing_id()), "identified")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

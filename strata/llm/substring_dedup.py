@@ -14,8 +14,9 @@ same document further ahead). Windows are judged on the input.
    reaches its bucket once for each batch of a task, not once for each document.
 3. Flagged starts go back to their documents by doc_id; words are cut there.
 
-Defined results: null or empty text has no words; rows with equal doc_id count as one
-document seen twice (they share flags); a row without doc_id is a document of its own, sorted last. Extra columns are ignored.
+Defined results: null or empty text has no words; each row is a document of its own: rows that share a
+doc_id are ordered by text, of equal ones one is the first; rows without doc_id come last. Texts over
+``SEGMENT`` bytes are cut between words into segments that overlap by ``width - 1`` words. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,16 +31,56 @@ from pyspark.sql import functions as F
 
 from strata.llm import packed, sketch
 from strata.llm import textbatch as tb
-from strata.llm.shared import identified, ordered_id, partitions, plain_id
+from strata.llm.shared import identified, ordered_id, partitions
 
-GRAM = 8
+GRAM, SEGMENT = 8, 1 << 22
+
+
+def _segments(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Bytes, row offsets, row ids and the number of each row's first word in its document.
+
+    Slices of whole documents, or parts of one that is longer than ``SEGMENT``.
+    """
+    for batch in tb.chunks(batches):
+        data, offsets = tb.buffers(batch.column("text"))
+        ids = (batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+               if "doc_id" in batch.schema.names else np.zeros(batch.num_rows, np.int64))
+        if len(data) <= 2 * SEGMENT:
+            yield data, offsets, ids, np.zeros(len(ids), np.int64)
+            continue
+        for i in range(len(ids)):
+            yield from _parts(data[offsets[i]: offsets[i + 1]], ids[i: i + 1], width)
+
+
+def _parts(text: np.ndarray, row: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """One document in parts: each begins ``width - 1`` words before the last one's end."""
+    begin, number = 0, 0
+    while begin < len(text):
+        at, stop, ends = begin, min(len(text), begin + SEGMENT), 0
+        while True:
+            space = tb.SPACE[text[at: stop + 1]]
+            ends += np.count_nonzero(~space[:-1] & space[1:])
+            if ends >= width or stop == len(text):
+                break
+            at, stop = stop, min(len(text), stop + SEGMENT)
+        part = text[begin: stop]
+        if stop < len(text) and not tb.SPACE[text[stop]]:
+            # The word that the cut goes through belongs to the next part.
+            part = part[: np.flatnonzero(tb.SPACE[part])[-1]]
+        edge = np.array([0, len(part)])
+        start = tb.words(part, edge)[0]
+        yield part, edge, row, np.array([number])
+        if stop == len(text):
+            return
+        ahead = len(start) - (width - 1)
+        number += ahead
+        begin += int(start[ahead])
 
 
 class _Chunk:
     """Windows of a slice of documents."""
 
-    def __init__(self, batch: pa.RecordBatch, width: int, gram: int):
-        data, offsets = tb.buffers(batch.column("text"))
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int, gram: int):
         start, end, first = tb.words(data, offsets)
         self.hashes = tb.word_hashes(data, start, end)
         self.first = first
@@ -66,8 +107,8 @@ class _Chunk:
 
 def _keys(width: int, gram: int):
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in tb.chunks(batches):
-            yield _Chunk(batch, width, gram).elections()
+        for data, offsets, _, _ in _segments(batches, width):
+            yield _Chunk(data, offsets, width, gram).elections()
 
     return keys_of
 
@@ -110,8 +151,8 @@ def _candidates(width: int, gram: int, sketched, bits: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         flags = sketched.value
-        for batch in tb.chunks(batches):
-            c = _Chunk(batch, width, gram)
+        for data, offsets, ids, number in _segments(batches, width):
+            c = _Chunk(data, offsets, width, gram)
             if not len(c.windows):
                 continue
             change = np.r_[True, c.elected[1:] != c.elected[:-1]]
@@ -121,8 +162,8 @@ def _candidates(width: int, gram: int, sketched, bits: int, buckets: int):
                 continue
             h1 = tb.window_hash(tb.prefix_sums(c.hashes), width)[at]
             h2 = (tb.second_window_hash(c.hashes, width)[at] >> np.uint64(32)).astype(np.uint32)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            held.append((h1, h2, ids[c.row[at]], (at - c.first[c.row[at]]).astype(np.int32)))
+            row = c.row[at]
+            held.append((h1, h2, ids[row], (at - c.first[row] + number[row]).astype(np.int32)))
             n += len(at)
             if n >= HELD:
                 yield from flush(held)
@@ -199,12 +240,10 @@ def _cut(width: int):
 
 def dedup_windows(docs: DataFrame, width: int = 20, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), one row for each input row."""
-    docs, last = identified(docs)
-    rows = docs.select(F.col("__id").alias("doc_id"), "text")
-    joined = rows.join(repeated_windows(rows, width, gram), "doc_id", "left")
-    return joined.mapInArrow(
-        _cut(width), "doc_id long, n_words long, n_removed long, kept_text string"
-    ).withColumn("doc_id", plain_id("doc_id", last))
+    docs = identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = repeated_windows(docs.select(F.col("__id").alias("doc_id"), "text"), width, gram)
+    joined = docs.join(found.withColumnRenamed("doc_id", "__id"), "__id", "left").select("doc_id", "text", "found")
+    return joined.mapInArrow(_cut(width), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def digest(kept: DataFrame) -> DataFrame:

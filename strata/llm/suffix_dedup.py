@@ -16,8 +16,8 @@ starts anywhere else, in another document or further along the same one.
    million times reaches its bucket once for each batch, not a million times.
 3. Runs of repeated starts go back to their documents, where bytes are cut.
 
-Defined results: null is empty; each row is a document, and rows with equal doc_id
-share their removals (rows without doc_id share nothing); texts over ``SEGMENT`` bytes are cut in overlapping segments.
+Defined results: null is empty; each row is a document of its own, also where rows share a doc_id or have
+none; extra columns are ignored; texts over ``SEGMENT`` bytes are cut in overlapping segments.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import packed, sketch
 from strata.llm import textbatch as tb
-from strata.llm.shared import identified, ordered_id, partitions, plain_id
+from strata.llm.shared import identified, ordered_id, partitions
 
 LENGTH, GRAM, SHALLOW, SMALL, SEGMENT = 400, 64, 64, 16, 1 << 22
 
@@ -333,11 +333,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (remaining bytes; may split a character), one row a document."""
-    docs, last = identified(docs)
-    rows = docs.select(F.col("__id").alias("doc_id"), "text")
-    return rows.join(repeated_spans(rows, length, gram), "doc_id", "left").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    ).withColumn("doc_id", plain_id("doc_id", last))
+    docs = identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = repeated_spans(docs.select(F.col("__id").alias("doc_id"), "text"), length, gram)
+    joined = docs.join(found.withColumnRenamed("doc_id", "__id"), "__id", "left").select("doc_id", "text", "found")
+    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digest(kept: DataFrame) -> DataFrame:

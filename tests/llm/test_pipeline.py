@@ -56,13 +56,14 @@ def test_language_stage_drops_texts_without_a_language_only(made):
 
 def test_line_stage(made):
     _, out, _, _ = made
-    before = rows(out[0])
-    gone = brute.lines_removed([(i, t) for i, t in before if i is not None], line_dedup.EDITS, line_dedup.MIN_WORDS,
+    # Each row is a document of its own, in the order of doc_id.
+    before = sorted(rows(out[0]), key=key)
+    gone = brute.lines_removed([(k, t) for k, (_, t) in enumerate(before)], line_dedup.EDITS, line_dedup.MIN_WORDS,
                                line_dedup.MIN_EXACT)
     expected = []
-    for i, t in before:
-        text = "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get(i, ()))
-        if not gone.get(i) or brute.words(text):
+    for k, (i, t) in enumerate(before):
+        text = "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get(k, ()))
+        if not gone.get(k) or brute.words(text):
             expected.append((i, text))
     assert sorted(rows(out[1]), key=key) == sorted(expected, key=key)
 
