@@ -2,7 +2,8 @@
 
 language ID -> line dedup -> MinHash near-dedup -> benchmark decontamination -> mixing. All
 stages but the last return the columns of ``documents``; the last adds what the mix takes.
-Rows with a null doc_id are never dropped as copies of another document.
+Each row is a document of its own, also where rows share a doc_id or have none; rows with a null doc_id
+are never dropped as copies of another document.
 """
 
 from __future__ import annotations
@@ -18,6 +19,11 @@ from strata.llm.ship import ship
 SHINGLE, PERCENT = 5, 80
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row of every document, with a number of the row's own."""
+    return identified(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
+
+
 def recognise_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a recognised language."""
     ship(spark)
@@ -38,23 +44,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least doc_id; of its equal rows, one."""
     ship(spark)
-    # Rows without doc_id would be one node, and tie unrelated documents together.
-    known = docs.filter("doc_id is not null")
-    dropped = near_dup.near_duplicates(known, SHINGLE, PERCENT).filter("not kept").select("doc_id").distinct()
-    kept = stored(known.join(dropped, "doc_id", "left_anti").select(*docs.columns), "near-kept")
-    again = stored(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
-    return (kept.join(again, "doc_id", "left_anti").select(*docs.columns)
-            .unionByName(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
-            .unionByName(docs.filter("doc_id is null")))
+    rows = numbered(docs)
+    known = rows.filter("doc_id is not null").select(F.col("__id").alias("doc_id"), "text")
+    dropped = near_dup.near_rows(known, SHINGLE, PERCENT).filter("component <> doc_id").select(
+        F.col("doc_id").alias("__id"))
+    return rows.join(stored(dropped, "near-copies"), "__id", "left_anti").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark passage, with or without doc_id."""
     ship(spark)
-    rows, _ = identified(docs)
+    rows = numbered(docs)
     found = decontaminate.find(rows.select(F.col("__id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     dropped = stored(found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
-    return rows.join(dropped, "__id", "left_anti").select(*docs.columns)
+    return rows.join(dropped, "__id", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
