@@ -3,7 +3,8 @@
 A *measure* is a number of one table (``silver.sales.units``), an aggregate over its rows or its keys. A *relation*
 names two measures, how they must stand to each other, and how far apart they may be; checks, their names
 and messages follow from it, so another relation is another line. All measures a set of relations needs come from
-one fused evaluation (one aggregate pass a table, one grouped pass a key), never one action a number.
+one fused evaluation (one aggregate pass a table, one grouped pass a key), never one action a number; measures of
+published tables are had from the statistics kept with their parts, where there are any (``statistics.py``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql.types import DecimalType
 from strata.functions.convert import pct
 from strata.operators import checks as C
 from strata.operators import gold as G
+from strata.operators.statistics import Shape, Statistics
 from strata.sources.schemas import DEFAULT_VALID_SALE_STATUSES
 
 SILVER_ONLY = "silver"
@@ -36,44 +38,65 @@ class LayerFrames:
     gold: DataFrame | None = None
 
 
-def _total(column: str) -> Callable[[DataFrame, Column], C.Metric]:
-    return lambda df, sold: C.sum_metric(df, column)
+@dataclass(frozen=True)
+class Measure:
+    """One number of a table: how it is measured on rows, and how it is had from kept statistics."""
+
+    made: Callable[[DataFrame, Column], C.Metric]
+    kept: Callable[[Statistics, Sequence[str]], object]
+    total: str | None = None
+    key: tuple[str, ...] = ()
+    sold: bool = False
+
 
+def _total(column: str) -> Measure:
+    return Measure(lambda df, sold: C.sum_metric(df, column), lambda s, valid: s.total(column), total=column)
 
-def _sold(column: str) -> Callable[[DataFrame, Column], C.Metric]:
+
+def _sold(column: str) -> Measure:
     """The same sum over valid sales only, in the same pass."""
-    return lambda df, sold: C.rows_metric(df, F.coalesce(F.sum(F.when(sold, F.col(column))), F.lit(0)))
+    return Measure(lambda df, sold: C.rows_metric(df, F.coalesce(F.sum(F.when(sold, F.col(column))), F.lit(0))),
+                   lambda s, valid: s.total(column, valid), total=column, sold=True)
 
 
-def _distinct(*keys: str) -> Callable[[DataFrame, Column], C.Metric]:
-    return lambda df, sold: C.distinct_count(df, list(keys))
+def _distinct(*keys: str) -> Measure:
+    return Measure(lambda df, sold: C.distinct_count(df, list(keys)), lambda s, valid: s.distinct(keys), key=keys)
 
 
-def _rows(df: DataFrame, sold: Column) -> C.Metric:
-    return C.row_count(df)
+ROWS = Measure(lambda df, sold: C.row_count(df), lambda s, valid: s.rows())
+SOLD_ROWS = Measure(lambda df, sold: C.rows_metric(df, F.count_if(sold)), lambda s, valid: s.rows(valid), sold=True)
 
 
 @dataclass(frozen=True)
 class Table:
-    """A table of a layer: which frame it is, what results call it, and its measures."""
+    """A table of a layer: which frame it is, what results call it, its measures, and the column that cuts its parts."""
 
     frame: str
     called: str
-    measures: dict[str, Callable[[DataFrame, Column], C.Metric]]
+    measures: dict[str, Measure]
+    cut: str | None = None
+
+    @property
+    def shape(self) -> Shape:
+        """Statistics that hold every measure."""
+        ms = self.measures.values()
+        return Shape(tuple(dict.fromkeys(m.total for m in ms if m.total)),
+                     "order_status" if any(m.sold for m in ms) else None,
+                     tuple(dict.fromkeys(m.key for m in ms if m.key)), self.cut)
 
 
 TABLES = {
-    "bronze.orders": Table("bronze_orders", "orders", {"rows": _rows}),
-    "bronze.items": Table("bronze_items", "order_items", {"rows": _rows}),
-    "silver.orders": Table("orders", "orders", {"rows": _rows}),
-    "silver.items": Table("items", "order_items", {"rows": _rows}),
+    "bronze.orders": Table("bronze_orders", "orders", {"rows": ROWS}),
+    "bronze.items": Table("bronze_items", "order_items", {"rows": ROWS}),
+    "silver.orders": Table("orders", "orders", {"rows": ROWS}),
+    "silver.items": Table("items", "order_items", {"rows": ROWS}),
     "silver.sales": Table("sales", "order_product_sales", {
-        "rows": _rows, "keys": _distinct("order_id", "product_id"), "units": _total("quantity"),
-        "sold_rows": lambda df, sold: C.rows_metric(df, F.count_if(sold)), "sold_units": _sold("quantity"),
-        "sold_revenue": _sold("item_revenue")}),
+        "rows": ROWS, "keys": _distinct("order_id", "product_id"), "units": _total("quantity"),
+        "sold_rows": SOLD_ROWS, "sold_units": _sold("quantity"), "sold_revenue": _sold("item_revenue")}),
     "gold.daily": Table("gold", "daily_product_sales", {
-        "rows": _rows, "keys": _distinct("purchase_date", "product_id"), "units": _total("quantity"),
-        "revenue": _total("total_revenue"), "products": _distinct("product_id"), "days": _distinct("purchase_date")}),
+        "rows": ROWS, "keys": _distinct("purchase_date", "product_id"), "units": _total("quantity"),
+        "revenue": _total("total_revenue"), "products": _distinct("product_id"), "days": _distinct("purchase_date")},
+        cut="purchase_date"),
 }
 MONEY = "revenue"
 
@@ -124,11 +147,17 @@ class LayerMetrics:
     """Every measure of the given layers, as Metric objects that checks and reports share."""
 
     def __init__(self, f: LayerFrames,
-                 valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES):
-        sold = G.is_valid_sale(valid_sale_statuses)
-        self.named = {f"{name}.{measure}": made(getattr(f, t.frame), sold)
-                      for name, t in TABLES.items() if getattr(f, t.frame) is not None
-                      for measure, made in t.measures.items()}
+                 valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES,
+                 statistics: dict[str, Statistics] | None = None):
+        """``statistics`` by table name: measures had from them are constants; all others are measured on the rows."""
+        sold, valid, kept = G.is_valid_sale(valid_sale_statuses), list(valid_sale_statuses), statistics or {}
+        self.named = {}
+        for name, t in TABLES.items():
+            df = getattr(f, t.frame)
+            for measure, m in t.measures.items() if df is not None else ():
+                value = m.kept(kept[name], valid) if name in kept else None
+                self.named[f"{name}.{measure}"] = m.made(df, sold) if value is None else C.literal(
+                    value if measure.endswith(MONEY) else int(value))
 
     @classmethod
     def from_values(cls, values: dict) -> "LayerMetrics":

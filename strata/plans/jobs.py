@@ -41,6 +41,7 @@ from strata.operators import digest as D
 from strata.operators import gold as G
 from strata.operators import reconcile as R
 from strata.operators import silver as S
+from strata.operators import statistics as ST
 from strata.plans import suites as U
 from strata.session import build_session, hadoop_path
 from strata.sources import files as io
@@ -95,6 +96,26 @@ def stage_measured(df: DataFrame, measures: Sequence[Column], dest: str) -> tupl
     return staged, [seen.get[f"m{k}"] for k in range(len(measures))]
 
 
+SHAPES = {t.called: t.shape for name, t in R.TABLES.items() if not name.startswith("bronze.")}
+
+
+def kept_facts(table: str, df: DataFrame) -> dict:
+    """Statistics of a table of one part, as facts of its version."""
+    parts = ST.measure_parts(df, SHAPES[table])
+    return {} if parts is None else ST.facts(SHAPES[table], {"": parts.get("", {"groups": [], "distinct": {}})})
+
+
+def kept_statistics(spark: SparkSession, silver_root: str, gold_root: str | None) -> dict[str, ST.Statistics]:
+    """Statistics in the pointers of the published tables, by the name that relations use."""
+    found = {}
+    for name, t in R.TABLES.items():
+        root = {"silver": silver_root, "gold": gold_root}.get(name.split(".")[0])
+        v = T.current(spark, table_uri(root, t.called)) if root else None
+        if v and (kept := ST.Statistics.of(t.shape, v.facts, list(v.parts))):
+            found[name] = kept
+    return found
+
+
 def publish_checked(df: DataFrame, checks: Callable[[DataFrame], list[C.Check]], dest: str,
                     context: str, collected: list, severities: Severities = None) -> None:
     """Stage -> check what was staged -> switch, or discard. Row checks are measured by the write itself."""
@@ -103,7 +124,7 @@ def publish_checked(df: DataFrame, checks: Callable[[DataFrame], list[C.Check]],
     try:
         written = io.read_table(spark, staged)
         judge(checks(written), context, collected, severities, (written, values))
-        io.switch(spark, staged, dest, df.schema)
+        io.switch(spark, staged, dest, df.schema, kept_facts(context, written))
     except BaseException:
         io.discard(spark, staged)
         raise
@@ -296,7 +317,16 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str, export_roo
             # A status list that matches nothing empties both sides of the reconciliation.
             judge([*U.gold_contract(gold, staging), *U.gold_tests(gold, staging, valid_sale_statuses),
                    C.not_empty("gold_not_empty", GOLD_TABLE, C.row_count(gold))], GOLD_TABLE, collected, severities)
-            T.commit(spark, dest, parts, schema, {"months": months, "rule": GOLD_RULE, "rebuilt": todo},
+            shape = SHAPES[GOLD_TABLE]
+            told = (last.facts.get("statistics") or {}) if last else {}
+            old = told["parts"] if told.get("shape") == ST.said(shape) else {}
+            # Kept months were measured when they were built.
+            unknown = {m: p for m, p in parts.items() if m not in kept or m not in old}
+            fresh = T.frame(spark, dest, T.Version(0, unknown, schema))
+            measured = ST.measure_parts(fresh, shape, month) if unknown else {}
+            statistics = {m: measured[m] if m in unknown else old[m] for m in parts}
+            T.commit(spark, dest, parts, schema, {"months": months, "rule": GOLD_RULE, "rebuilt": todo,
+                                                  **ST.facts(shape, statistics, ST.measure_whole(gold, shape))},
                      follows=last.number if last else 0)
         except BaseException:
             T.discard(spark, staged)
@@ -326,12 +356,18 @@ def layer_frames(spark: SparkSession, orders_uri: str, items_uri: str, silver_ro
 def validate_layers(spark: SparkSession, orders_uri: str, items_uri: str, silver_root: str,
                     gold_root: str | None = None, upto: str = R.THROUGH_GOLD,
                     valid_sale_statuses: Sequence[str] = DEFAULT_VALID_SALE_STATUSES,
-                    report: str | None = None, severities: Severities = None) -> JobOutcome:
-    """4 checks with ``upto='silver'``, 8 with ``upto='gold'``; metrics in one fused pass."""
+                    report: str | None = None, severities: Severities = None, scan: bool = False) -> JobOutcome:
+    """4 checks with ``upto='silver'``, 8 with ``upto='gold'``.
+
+    Published tables are judged by the statistics kept with their versions, so only the Bronze extracts are read;
+    ``scan`` measures every table's rows again, in one fused pass, with equal results.
+    """
     def body(collected):
         frames = layer_frames(spark, orders_uri, items_uri, silver_root,
                               gold_root if upto == R.THROUGH_GOLD else None)
-        metrics = R.LayerMetrics(frames, valid_sale_statuses)
+        gold = gold_root if upto == R.THROUGH_GOLD else None
+        kept = {} if scan else kept_statistics(spark, silver_root, gold)
+        metrics = R.LayerMetrics(frames, valid_sale_statuses, kept)
         row = metrics.frame().collect()[0]  # one row of scalars
         summary = R.layer_summary(spark.createDataFrame([row]))
         log.info("rows by layer: %s", {f"{r['layer']}.{r['table_name']}": r["rows"] for r in summary.collect()})
@@ -374,6 +410,7 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--full", action="store_true")
         if name == "validate":
             p.add_argument("--upto", choices=(R.SILVER_ONLY, R.THROUGH_GOLD), default=R.THROUGH_GOLD)
+            p.add_argument("--scan", action="store_true")
         if name == "silver":
             p.add_argument("--period", nargs=2, default=list(DEFAULT_PERIOD))
     args = ap.parse_args(argv)
@@ -394,7 +431,7 @@ def main(argv: list[str] | None = None) -> int:
                          args.full)
     else:
         out = validate_layers(spark, args.orders, args.items, args.silver, args.gold, args.upto,
-                              args.status, args.report, severities)
+                              args.status, args.report, severities, args.scan)
     log.info("%s finished: %s (%.1f s)", args.job, out.status, out.duration_seconds)
     return out.exit_code
 
