@@ -11,7 +11,7 @@ and footers (``training_page``). ``SAMPLE_PAGES`` pages at most are sampled, the
 
 *Decoding.* A part of a rejected element is rejected, and an element that holds accepted text is
 accepted: among all labellings that obey this the one with the largest sum of log-odds is
-found bottom-up (a subtree is worth the larger of nothing and its own score plus its children's)
+found bottom-up (a subtree is worth the larger of nothing and its own score plus its parts')
 and read off top-down. No ancestor and descendant contradict each other.
 
 Every page is judged alone from its whole html, in one scan without shuffle. Null or empty html
@@ -21,8 +21,10 @@ gives the empty string; truncated pages close what is open; repeated rows repeat
 from __future__ import annotations
 
 import html as entities
+import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,11 +37,12 @@ from strata.llm.trees import BoostedTrees
 
 SAMPLE_PAGES, SAMPLE_CHARS, VARIANTS, SEED = 240, 16_384, 2, 5
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|object|math|title)\b[^>]*"
-    r"(?:>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|<[/a-zA-Z][^>]*\Z",
-    re.S | re.I)
+MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*)|(/))")
+VALUE = re.compile(r"=\s*([\"'])|>")
+#: Elements whose content is no markup, and elements that go with all they hold once they are closed.
+RAW = {n: re.compile(rf"</{n}(?=[\s/>]|\Z)", re.I) for n in ("script", "style", "textarea", "title")}
+DROPPED = frozenset("noscript template iframe svg select object math".split())
+PAIRED = re.compile(rf"<(/?)({'|'.join(sorted(DROPPED))})(?=[\s/>])([^<>]*)", re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -90,11 +93,80 @@ class Page:
         return len(self.parent) - 1
 
 
+def closing(source: str) -> dict[int, int]:
+    """Where each dropped element that is closed ends, by the place of its start tag; a self-closed one holds nothing."""
+    opened: dict[str, list[int]] = {}
+    ends = {}
+    for m in PAIRED.finditer(source):
+        places = opened.setdefault(m[2].lower(), [])
+        if not m[1]:
+            if not m[3].endswith("/"):
+                places.append(m.start())
+        elif places:
+            at = source.find(">", m.end())
+            ends[places.pop()] = len(source) if at < 0 else at + 1
+            if at < 0:
+                break
+    return ends
+
+
+def markup(source: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """Begin and end of each piece of markup, whether it is an end tag, its name (None: nothing to show) and attributes.
+
+    Every step goes on behind what it has looked at, so the time is linear whatever is left open: a comment, a tag, or
+    raw text that is not closed runs to the end; a quoted value that is not closed ends with its tag, at the next ``>``.
+    """
+    at, size = 0, len(source)
+    unclosed: set[str] = set()
+    ends: dict[int, int] | None = None
+    while m := MARKUP.search(source, at):
+        begin, name = m.start(), m[4]
+        if name is None:
+            mark = "-->" if m[1] else ">"
+            found = source.find(mark, m.end())
+            at = size if found < 0 else found + len(mark)
+            yield begin, at, False, None, ""
+            continue
+        name, last, end = name.lower(), m.end(), bool(m[3])
+        at = last
+        while v := VALUE.search(source, at):
+            at = v.end()
+            quote = v[1]
+            if quote is None:
+                break
+            if quote not in unclosed:
+                found = source.find(quote, at)
+                if found < 0:
+                    unclosed.add(quote)
+                else:
+                    at = found + 1
+        else:
+            at = size
+        attributes = source[last: at]
+        if not end and name in RAW:
+            close = RAW[name].search(source, at)
+            found = source.find(">", close.end()) if close else -1
+            at = size if found < 0 else found + 1
+            name = None
+        elif name in DROPPED:
+            if not end:
+                ends = closing(source) if ends is None else ends
+                at = max(at, ends.get(begin, at))
+            name = None
+        yield begin, at, end, name, attributes
+
+
 def parse(source: str) -> Page:
     page = Page()
     stack = [(0, "#root")]
     held: list[str] = []
     links = linked = marks = 0
+    opened: Counter[str] = Counter()
+
+    def cut(k: int) -> None:
+        """Close the open elements from place ``k`` on."""
+        opened.subtract(name for _, name in stack[k:])
+        del stack[k:]
 
     def close_run() -> None:
         nonlocal linked, marks
@@ -114,46 +186,45 @@ def parse(source: str) -> Page:
                 linked += len(piece)
 
     at = 0
-    for m in TOKEN.finditer(source):
-        if m.start() > at:
-            text(source[at: m.start()])
-        at = m.end()
-        name = m[3]
+    for begin, stop, end, name, attributes in markup(source):
+        text(source[at: begin])
+        at = stop
         if name is None:
             continue
-        name = name.lower()
         if name in INLINE:
             marks += 1
             if name == "a":
-                links = max(0, links - 1) if m[2] else links + 1
+                links = max(0, links - 1) if end else links + 1
             elif name == "br":
                 held.append(" ")
             continue
         close_run()
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][1] == name:
-                    del stack[k:]
-                    links = 0
-                    break
+        if end:
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k][1] != name:
+                    k -= 1
+                cut(k)
+                links = 0
             continue
         if name in VOID:
             continue
         ends = {"p"} if name in ENDS_P else SAME.get(name, ())
-        if ends:
+        if any(opened[e] > 0 for e in ends):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][1] in ends:
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k][1] in SCOPE:
                     break
         good = bad = 0
-        if m[4]:
-            for _, a, b, c in ATTRIBUTE.findall(m[4]):
+        if attributes:
+            for _, a, b, c in ATTRIBUTE.findall(attributes):
                 words = set(WORD.findall((a or b or c).lower()))
                 good += len(words & GOOD)
                 bad += len(words & BAD)
         stack.append((page.add(stack[-1][0], name, good, bad), name))
+        opened[name] += 1
     rest = source[at:]
     if rest:
         text(rest)
@@ -186,7 +257,8 @@ def features(pages: list[Page]) -> np.ndarray:
     good_tag = np.isin(kind, [KIND["article"], KIND["main"]]).astype(float)
     up = np.stack([good, bad, bad_tag, good_tag], 1)
     # Depth by depth: subtree sums from the leaves up, what stands above from the root down.
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max(initial=0)) + 1)]
+    by_depth = np.argsort(depth, kind="stable")
+    levels = np.split(by_depth, np.searchsorted(depth[by_depth], np.arange(1, int(depth.max(initial=0)) + 1)))
     for at in levels[:0:-1]:
         np.add.at(sums, parent[at], sums[at])
     above = np.zeros_like(up)
@@ -212,21 +284,29 @@ def features(pages: list[Page]) -> np.ndarray:
 
 
 def decode(page: Page, score: np.ndarray) -> list[str]:
-    """Accepted text runs in page order, under the labelling of the largest total score that has no contradiction."""
+    """Accepted text runs in page order, under the labelling of the largest total score that has no contradiction.
+
+    ``forced`` is what a subtree gives if its top is accepted: an accepted element takes every part that gives more
+    than nothing, and where there is none the least bad one, as it must hold accepted text.
+    """
     n = len(page.parent)
-    worth = score.tolist()
-    worth[0] = 0.0
-    gain = [0.0] * n
+    own = score.tolist()
+    gain, least = [0.0] * n, [-math.inf] * n
+    only = [0] * n
+    forced = [-math.inf] * n
     for v in range(n - 1, 0, -1):
-        # A node without text anywhere below has nothing to accept.
-        total = worth[v] + gain[v] if page.tag[v] == "#text" or gain[v] > 0 else 0.0
-        worth[v] = total
-        if total > 0:
-            gain[page.parent[v]] += total
+        up = page.parent[v]
+        below = 0.0 if page.tag[v] == "#text" else gain[v] if gain[v] > 0 else least[v]
+        forced[v] = own[v] + below
+        if forced[v] > 0:
+            gain[up] += forced[v]
+        if forced[v] >= least[up]:
+            least[up], only[up] = forced[v], v
     kept = [True] + [False] * (n - 1)
     out = []
     for v in range(1, n):
-        if kept[page.parent[v]] and worth[v] > 0:
+        up = page.parent[v]
+        if kept[up] and (forced[v] > 0 or (up > 0 and gain[up] <= 0 and only[up] == v)):
             kept[v] = True
             if page.tag[v] == "#text":
                 out.append(page.text[v])
@@ -291,8 +371,8 @@ def training_page(blocks: list[str], rng: random.Random) -> str:
 
 def _truth(source: str) -> tuple[Page, np.ndarray]:
     """The page and, for each node, whether main text lies in it."""
-    attributes = [m[4] or "" for m in TOKEN.finditer(source) if m[3] and not m[2] and m[3].lower() not in INLINE
-                  and m[3].lower() not in VOID]
+    attributes = [words for _, _, end, name, words in markup(source) if name and not end and name not in INLINE
+                  and name not in VOID]
     page = parse(source)
     inside = np.zeros(len(page.parent), bool)
     holds = np.zeros(len(page.parent), bool)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from strata.functions.convert import month_text, pct, ts_text
 from strata.operators import checks as C
 from strata.operators.quantiles import column_percentiles, exact_percentiles
+from strata.operators.skew import spread_join
 from strata.sources.schemas import ORDER_TIMESTAMP_COLUMNS
 
 PRICE_PROBS = (0.01, 0.25, 0.50, 0.75, 0.95, 0.99, 1.00)
@@ -33,14 +34,26 @@ def _unpivot(row: DataFrame, structs: list[Column]) -> DataFrame:
 
 
 def keys(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rows and distinct values per column; ``is_key`` when distinct == rows."""
-    row = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_distinct(c).alias(f"_d_{c}") for c in columns])
-    return _unpivot(row, [
-        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                 F.col("_rows").alias("rows"), F.col(f"_d_{c}").alias("distinct_values"),
-                 (F.col(f"_d_{c}") == F.col("_rows")).alias("is_key"))
-        for c in columns])
+    """Rows and distinct values per column; ``is_key`` when distinct == rows.
+
+    One scan: each row gives (column number, value), tasks reduce them to distinct values with their counts, and only
+    those are shuffled, dealt by column and value. Rows are the sum of one column's counts.
+    """
+    kinds = {df.schema[c].dataType for c in columns}
+    value = (lambda c: F.col(c)) if len(kinds) == 1 else (lambda c: F.to_json(F.struct(F.col(c).alias("v"))))
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("_c"), F.when(F.col(c).isNotNull(), value(c)).alias("_v")) for k, c in enumerate(columns)])))
+    counted = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # A row of no rows for each column, so that an empty table has its columns in the result.
+    none = counted.sparkSession.range(len(columns)).select(
+        F.col("id").cast("int").alias("_c"), F.lit(None).cast(counted.schema["_v"].dataType).alias("_v"),
+        F.lit(0).cast("bigint").alias("_n"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_c") + 1)
+    rows, distinct = F.sum("_n"), F.count("_v")
+    return counted.unionByName(none).groupBy("_c").agg(
+        rows.alias("rows"), distinct.alias("distinct_values")).select(
+            F.lit(table).alias("table_name"), name.alias("column_name"), "rows", "distinct_values",
+            (F.col("distinct_values") == F.col("rows")).alias("is_key"))
 
 
 # --- D10: value distribution ----------------------------------------------------
@@ -280,9 +293,9 @@ def anomalies(items: DataFrame) -> DataFrame:
 
 
 def orders_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Inner join on order_id (one to many): the relevant columns of the result."""
-    return orders.select("order_id", "order_purchase_timestamp", "order_status").join(
-        items.select("order_id", "product_id", "order_item_id", "price"), "order_id", "inner")
+    """Inner join on order_id (one to many): the relevant columns of the result. Hot orders are dealt over tasks."""
+    return spread_join(orders.select("order_id", "order_purchase_timestamp", "order_status"),
+                       items.select("order_id", "product_id", "order_item_id", "price"), "order_id")
 
 
 def join_coverage(left: DataFrame, right: DataFrame, key: str = "order_id") -> DataFrame:
