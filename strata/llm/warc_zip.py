@@ -41,6 +41,8 @@ from pyspark.sql import functions as F
 from strata.llm.shared import fresh_path, partitions, stored
 
 MIN_REVISIT, ARCHIVE_BYTES, RANGE_BYTES, MAX_TAIL = 1000, 32 << 20, 4 << 20, 22 + 65535
+#: Bytes given to a decompressor at once, and shares that pages with one payload are dealt to.
+PIECE, SALTS = 1 << 14, 32
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
@@ -49,16 +51,21 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """page_id, url, html and refers_to: the page that holds the payload, null for responses.
 
-    Only digests and ids are grouped; pages meet the (few) repeated digests in one join.
+    Only digests and ids are grouped; pages meet the repeated digests in one join, dealt by digest and ``SALTS`` shares
+    of the page ids, so a payload with many copies is no single key; pages below ``min_bytes`` meet none.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html"), F.lit("")).alias("html"))
     key = F.when(F.octet_length("html") >= min_bytes, F.sha1(F.col("html").cast("binary")))
-    rows = rows.withColumn("key", key)
+    share = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))
+    # Small pages have keys that no digest equals, so that they are dealt by themselves.
+    rows = rows.withColumn("key", key).withColumn("share", share)
     repeated = (rows.filter("key is not null").groupBy("key")
                 .agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n"))
-                .filter("n > 1").select("key", "holder"))
-    return rows.join(repeated, "key", "left").select(
+                .filter("n > 1").select("key", "holder", F.explode(F.sequence(
+                    F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("share")))
+    rows = rows.withColumn("key", F.coalesce("key", F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))))
+    return rows.join(repeated, ["key", "share"], "left").select(
         "page_id", "url", "html",
         F.when(~F.col("holder").eqNullSafe(F.col("page_id")), F.col("holder")).alias("refers_to"))
 
@@ -243,19 +250,24 @@ def ranges(f: pa.NativeFile, range_bytes: int = RANGE_BYTES) -> list[tuple[int,
 
 
 def records(raw: bytes) -> Iterator[bytes]:
-    """Records of a range: gzip members one after the other, or plain records."""
-    while raw:
-        if raw[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(31)
-            one = d.decompress(raw) + d.flush()
-            raw = d.unused_data
-            yield one
+    """Records of a range: gzip members one after the other, or plain records; what is not yet read is never copied whole."""
+    view, at = memoryview(raw), 0
+    while at < len(raw):
+        if raw[at: at + 2] == b"\x1f\x8b":
+            d, out = zlib.decompressobj(31), []
+            while not d.eof:
+                if at >= len(raw):
+                    raise ValueError("a gzip member is cut off")
+                piece = view[at: at + PIECE]
+                out.append(d.decompress(piece))
+                at += len(piece) - len(d.unused_data)
+            yield b"".join(out)
         else:
-            head = raw.index(b"\r\n\r\n") + 4
-            length = next(int(x.partition(b":")[2]) for x in raw[:head].split(b"\r\n")
+            head = raw.index(b"\r\n\r\n", at) + 4
+            length = next(int(x.partition(b":")[2]) for x in raw[at: head].split(b"\r\n")
                           if x.lower().startswith(b"content-length:"))
-            yield raw[: head + length + 4]
-            raw = raw[head + length + 4:]
+            yield raw[at: head + length + 4]
+            at = head + length + 4
 
 
 RECORD = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, "

@@ -1,8 +1,10 @@
 """Building blocks: sorting, sketch, hashes, components, edit distance, trees, ZIP and WARC, DOM extraction."""
 
+import gzip
 import io
 import random
 import struct
+import time
 import zipfile
 from collections import Counter
 
@@ -191,7 +193,7 @@ def trees():
     return main_text.train(sources), sources
 
 
-def test_templates_not_seen_in_training(trees):
+def test_training_templates_with_other_choices(trees):
     model, sources = trees
     rng, right, wrong, missed = random.Random(77), 0, 0, 0
     for s in sources[:80]:
@@ -212,7 +214,61 @@ def test_labels_never_contradict(trees):
     assert main_text.decode(page, score) == ["T", "b", "c", "d"]
 
 
+def test_decoding_is_the_best_of_all_labellings():
+    """Against every set of text nodes; an element is accepted if one below it is, and costs or gives its score."""
+    rng = random.Random(12)
+    for _ in range(300):
+        page = main_text.Page()
+        for k in range(rng.randint(1, 10)):
+            holders = [v for v in range(len(page.parent)) if page.tag[v] != "#text"]
+            node = page.add(rng.choice(holders), rng.choice(["#text", "div", "p"]))
+            page.text[node] = f"t{k}" if page.tag[node] == "#text" else ""
+        score = np.array([rng.uniform(-2, 2) for _ in page.parent])
+        leaves = [v for v, t in enumerate(page.tag) if t == "#text"]
+
+        def worth(chosen):
+            held = set()
+            for v in chosen:
+                while v > 0 and v not in held:
+                    held.add(v)
+                    v = page.parent[v]
+            return sum(score[v] for v in held)
+
+        best = max(worth([v for k, v in enumerate(leaves) if bits >> k & 1]) for bits in range(1 << len(leaves)))
+        got = main_text.decode(page, score)
+        assert worth([v for v in leaves if page.text[v] in got]) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("source", [
+    "<a" * 60000 + '">', "<div>" * 30000 + "</p>" * 60000, "<svg>" * 60000, "<svg " * 60000, '<p title="' * 40000,
+    "<!--" * 60000, "<script>" * 60000, "<div>" * 100000, "<p>" * 100000, "<li><ul>" * 40000, "=" * 200000 + "<x" + "= " * 100000])
+def test_the_scanner_takes_linear_time(source):
+    begin = time.process_time()
+    page = main_text.parse(source)
+    assert time.process_time() - begin < 3
+    if len(page.parent) > 50000:
+        assert main_text.features([page]).shape[0] == len(page.parent)
+
+
+def test_records_take_linear_time():
+    one = gzip.compress(warc_zip.record(1, "u", b"a page of text" * 20, None))
+    begin = time.process_time()
+    assert sum(1 for _ in warc_zip.records(one * 20000)) == 20000
+    plain = warc_zip.record(1, "u", b"a page of text" * 20, None)
+    assert list(warc_zip.records(plain * 20000)) == [plain] * 20000
+    assert time.process_time() - begin < 6
+    long = warc_zip.record(2, "u", random.Random(3).randbytes(100_000), None)
+    assert list(warc_zip.records(gzip.compress(long) + one)) == [long, gzip.decompress(one)]
+    with pytest.raises(ValueError):
+        list(warc_zip.records(one[:-20]))
+
+
 @pytest.mark.parametrize("source,blocks", [
+    ('<p>one <svg class="i"/> two</p><p>three</p>', ["one two", "three"]),
+    ("<p>a</p><iframe src=x><p>b</p><p>c</p>", ["a", "b", "c"]), ("<p>a</p><iframe src=x>no</iframe><p>b</p>", ["a", "b"]),
+    ('<p>q <a title="x>bad</p><p>next', ["q bad", "next"]), ("<p title=it's>a</p><p>that's", ["a", "that's"]),
+    ("<p>a<select><option>1</select>b<object>x<object>y</object>z</object>c", ["abc"]),
+    ("<p>a</ x>b</>c <title>no</TITLE >d<textarea><p>no</textarea>e", ["abc de"]), ("a < b, c <3 and <", ["a < b, c <3 and <"]),
     ("", []), ("plain &amp; simple", ["plain & simple"]), ("<p>a<br>b  c<p>d", ["a b c", "d"]),
     ("<p>x &lt;b&gt; <b>y</b>z</p>", ["x <b> yz"]), ("<script>var a='<p>no</p>'</script><p>yes", ["yes"]),
     ("<!-- <p>no</p> --><ul><li>one<li>two</ul>", ["one", "two"]), ("<p>cut <a href='x", ["cut"]),
