@@ -3,8 +3,9 @@
 *Index.* Each task turns about ``tb.CHUNK`` bytes of documents into one segment: its documents,
 and for each term the sorted places where it occurs (places of different documents are
 kept ``GAP`` apart, so no match crosses them). Segments are rows of a Parquet table in the
-shared folder. An index made for a known benchmark keeps the postings of its terms only;
-nothing else can match.
+shared folder. An index made for a known benchmark keeps the postings of terms that a bitmap of
+``2**VOCABULARY_BITS`` marks knows: every term of the benchmark, whatever its size, and the few others that
+share a mark. Those match nothing; they only take room.
 
 *Search.* The benchmark is the query set: it is sent out in blocks of ``BLOCK_BYTES``, each a
 pass over the index, so its size is bounded in memory whatever it is. In a segment, windows with a term
@@ -15,12 +16,13 @@ agree in every list.
 
 Terms are lower-cased (A-Z) runs of ASCII letters, digits and all characters beyond ASCII, identified by
 64-bit hashes. Defined results: null has no terms; a null item_id hits words but names no item; rows that
-share an item_id are one item; each document row is judged alone.
+share an item_id are one item; each document row is judged alone; an empty table gives an empty result; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ from strata.llm.shared import ordered_id, plain_id, stored
 
 WIDTH, REACH, GAP = 10, 14, 64
 BLOCK_BYTES = 8 << 20
+#: Marks of the vocabulary: 8 MB; ten million terms leave one other term in seven in the index.
+VOCABULARY_BITS = 26
 
 #: Bytes that end a term: all of ASCII but letters and digits.
 ENDS = np.ones(256, bool)
@@ -46,18 +50,34 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tb.word_hashes(data, start, end, lower=True), first
 
 
+def _mark(term: np.ndarray, bits: int) -> np.ndarray:
+    return (tb.mix(term) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def vocabulary_marks(blocks: Iterable[Windows], bits: int = VOCABULARY_BITS) -> np.ndarray:
+    """Packed marks of the terms of all blocks."""
+    marks = np.zeros(1 << bits, bool)
+    for w in blocks:
+        marks[_mark(w.terms, bits)] = True
+    return np.packbits(marks)
+
+
+def marked(term: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """False only for terms that surely are not in the vocabulary."""
+    at = _mark(term, (8 * len(marks)).bit_length() - 1)
+    return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
 def build_index(docs: DataFrame, vocabulary=None) -> DataFrame:
-    """Segments of the positional index (not stored yet). ``vocabulary``: broadcast sorted term hashes, or all terms."""
+    """Segments of the positional index (not stored yet). ``vocabulary``: broadcast marks of terms, or all terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tb.chunks(batches):
             term, first = _terms(*tb.buffers(batch.column("text")))
             doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
             place = np.arange(len(term)) + doc * GAP
-            if vocabulary is not None and len(term):
-                known = vocabulary.value
-                at = np.minimum(np.searchsorted(known, term), max(0, len(known) - 1))
-                keep = known[at] == term if len(known) else np.zeros(len(term), bool)
+            if vocabulary is not None:
+                keep = marked(term, vocabulary.value)
                 term, place = term[keep], place[keep]
             order = np.argsort(term, kind="stable")
             term, place = term[order], place[order]
@@ -185,24 +205,20 @@ def block_of(benchmark: DataFrame, k: int, n: int, width: int = WIDTH) -> Window
 
 
 def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, reach: int = REACH,
-         block_bytes: int = BLOCK_BYTES) -> DataFrame:
+         block_bytes: int = BLOCK_BYTES, vocabulary_bits: int = VOCABULARY_BITS) -> DataFrame:
     """One row a document: doc_id, n_words, hits (word places in exact phrases), items, near_items (sorted names)."""
     sc = docs.sparkSession.sparkContext
     n = n_blocks(benchmark, block_bytes)
-    passes, index = [], None
+    # Blocks pass the driver one at a time, first for their marks, then to be sent out.
+    blocks = (block_of(benchmark, k, n, width) for k in range(n))
+    marks = sc.broadcast(vocabulary_marks(blocks, vocabulary_bits))
+    index = stored(build_index(docs, marks).withColumn("segment", F.monotonically_increasing_id()), "index")
+    every = None
     for k in range(n):
-        w = block_of(benchmark, k, n, width)
-        if index is None:
-            # Written once; an index for several blocks keeps all terms, as their vocabulary has no bound.
-            vocabulary = sc.broadcast(w.terms) if n == 1 else None
-            index = stored(build_index(docs, vocabulary).withColumn(
-                "segment", F.monotonically_increasing_id()), "index")
-        passes.append(index.mapInArrow(_search(sc.broadcast(w), reach), FOUND))
-    if len(passes) == 1:
-        return passes[0].drop("segment", "row").withColumn("doc_id", plain_id("doc_id"))
-    every = passes[0]
-    for p in passes[1:]:
-        every = every.unionByName(p)
+        found = index.mapInArrow(_search(sc.broadcast(block_of(benchmark, k, n, width)), reach), FOUND)
+        every = found if every is None else every.unionByName(found)
+    if n == 1:
+        return every.drop("segment", "row").withColumn("doc_id", plain_id("doc_id"))
     joined = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
     return every.groupBy("segment", "row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
