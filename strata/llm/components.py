@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from strata.llm.shared import stored
 
-MAX_ROUNDS = 50
-
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
@@ -21,13 +19,12 @@ def components(edges: DataFrame) -> DataFrame:
     node and its smaller neighbours move to the least of them. The graph becomes stars
     around the least nodes in a logarithmic number of rounds; each is a few
     aggregations and joins on nodes, written to the shared folder, so lineage stays short.
+    Rounds go on until one changes nothing, however long the chains are.
     """
     now = stored(edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = _mark(now)
-    for _ in range(MAX_ROUNDS):
-        if not mark[0]:
-            break
+    while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = (both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -40,7 +37,5 @@ def components(edges: DataFrame) -> DataFrame:
         if new == mark:
             break
         mark = new
-    else:
-        raise RuntimeError(f"components still change after {MAX_ROUNDS} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
