@@ -4,18 +4,21 @@ Bytes fold to ``CLASSES`` classes (letters without case, space, digits, punctuat
 other alphabets). Filters of several widths slide over a fixed-length window of embedded
 bytes; each filter's greatest response in the window is kept, and a softmax over those gives
 the languages. It is trained by Adam on windows of a bounded sample: ``PER_LANGUAGE`` documents of
-each language at most, the first by hash, outside the held-out fold. Only text and lang are used.
+each language at most, the first by hash, outside the held-out fold. Only text and lang are used. A limit on
+the hash, from counts by language, keeps nearly all other documents out of the sample's shuffle at every size.
 
 To apply it, each filter becomes tables of responses by byte pair, so a window costs a few
 lookups a byte. Every text is cut whole into consecutive windows, evaluated in batches;
 a text's probabilities are the mean of its windows', weighted by their bytes. One scan, no shuffle.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; with nothing to
-learn from, every text is. Repeated rows get equal results; a null doc_id is not held out.
+learn from, every text is. Repeated rows get equal results; a null doc_id is not held out; an empty table
+gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +31,8 @@ from strata.llm import textbatch as tb
 
 WINDOW, CLASSES, EMBEDDED, FILTERS, WIDTHS = 256, 64, 8, 8, (2, 3, 4)
 PER_LANGUAGE, EXCERPTS, EPOCHS, BATCH, SEED = 300, 4, 6, 64, 3
+#: Times ``PER_LANGUAGE`` that the hash limit is expected to let through; raised where too few have text.
+SPARE = 2
 UNKNOWN = "und"
 #: The pipeline rejects texts under this score, little over what a guess among four languages gets.
 MIN_SCORE = 0.3
@@ -195,12 +200,27 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, excerpts: int = EX
     pieces = F.array_distinct(F.array(*[
         F.substring(F.col("text"), (F.floor(n * (k / excerpts)) + 1).cast("int"), F.lit(WINDOW))
         for k in range(excerpts)]))
+    usable = docs.filter(~held_out() & F.col("lang").isNotNull()).select(
+        F.col("lang").cast("string").alias("lang"), "doc_id", "text", F.xxhash64("doc_id").alias("h"))
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return []
     first = Window.partitionBy("lang").orderBy("h", "doc_id", "pieces")
-    rows = (docs.filter(~held_out() & F.col("lang").isNotNull() & (F.trim("text") != ""))
-            .select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), pieces.alias("pieces"))
-            .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language))
-    # Bounded: per_language * excerpts * WINDOW characters a language.
-    return sorted((r["lang"], piece) for r in rows.select("lang", "pieces").collect() for piece in r["pieces"])
+    spare = SPARE
+    while True:
+        # The least hashes are wanted: a limit that some more than those lie under keeps the rest out of the shuffle.
+        share = {lang: min(1.0, spare * per_language / n) for lang, n in counts.items()}
+        limits = docs.sparkSession.createDataFrame(
+            [(lang, min(2**63 - 1, int(s * 2**64) - 2**63)) for lang, s in share.items()], "lang string, most long")
+        rows = (usable.join(F.broadcast(limits), "lang").filter((F.col("h") <= F.col("most")) & (F.trim("text") != ""))
+                .select("lang", "doc_id", "h", pieces.alias("pieces"))
+                .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language))
+        # Bounded: per_language * excerpts * WINDOW characters a language.
+        got = rows.select("lang", "pieces").collect()
+        have = Counter(r["lang"] for r in got)
+        if all(have[lang] == per_language or s == 1.0 for lang, s in share.items()):
+            return sorted((r["lang"], piece) for r in got for piece in r["pieces"])
+        spare *= 16
 
 
 def _judged(model: Compiled | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
