@@ -24,8 +24,19 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one."""
+    return f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark)}/llm/{kind}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all that the operators wrote in this application; call when their results have been read or written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, kind: str) -> DataFrame:
