@@ -15,7 +15,8 @@ found bottom-up (a subtree is worth the larger of nothing and its own score plus
 and read off top-down. No ancestor and descendant contradict each other.
 
 Every page is judged alone from its whole html, in one scan without shuffle. Null or empty html
-gives the empty string; truncated pages close what is open; repeated rows repeat their result.
+gives the empty string; truncated pages close what is open; repeated rows repeat their result; an empty
+table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ index covers becomes one range that is scanned record by record.
 Payloads of ``MIN_REVISIT`` bytes or more that occur more than once are stored once: the row with
 the largest page_id is the response, the others revisit it. Defined results: null html is an
 empty payload; rows that share the largest page_id are all responses; a null page_id never is one
-that others refer to. Archives are reached through ``pyarrow.fs`` by the URI of the shared folder.
+that others refer to; an empty table gives an empty result; other columns are not read, whatever their
+names. Archives are reached through ``pyarrow.fs`` by the URI of the shared folder.
 """
 
 from __future__ import annotations
