@@ -15,7 +15,7 @@ judged on the input.
    segment number, segment) and probes, for each length L it could match, the few places that the
    edits left and right of a segment allow. Keys meet in an equi-join that also compares
    unit parities: an edit changes at most two of 31, so other pairs are not even emitted.
-3. Of a long list each line meets the list's hubs first; a line near an earlier one is settled and leaves (``near_links``).
+3. Lists of many lines are compared block by block, and only each line's count of near ones leaves a block (``near_links``).
 4. Pairs are verified by banded bit-parallel edit distance: a band of ``2 * edits + 1`` diagonals
    is one integer of vertical differences, updated once a unit by a fold.
 
@@ -28,9 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.shared import identified, ordered_id, stored
+from strata.llm.shared import identified, ordered_id, partitions, stored
 
-EDITS, MIN_WORDS, MIN_EXACT, PER_EDIT, WIDE = 2, 8, 1, 8, 16
+EDITS, MIN_WORDS, MIN_EXACT, PER_EDIT, WIDE, BLOCK = 2, 8, 1, 8, 16, 256
 #: More than a text can have lines.
 LINES = 1 << 31
 
@@ -158,101 +158,135 @@ def within(longer: Column, shorter: Column, edits: int, most: Column | None = No
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """Of distinct pairs (a, b) of hashes, those whose lines are near."""
+    """Of distinct pairs (a, b) of hashes, those whose lines are near; with fa and fb, where the lines occur first."""
     x, y = F.col("x"), F.col("y")
-    both = (pairs.join(texts.select(F.col("h1").alias("a"), "worded", F.col("units").alias("x")), "a")
-            .join(texts.select(F.col("h1").alias("b"), F.col("worded").alias("also"), F.col("units").alias("y")), "b")
+    both = (pairs.join(texts.select(F.col("h1").alias("a"), "worded", F.col("units").alias("x"), F.col("f").alias("fa")), "a")
+            .join(texts.select(F.col("h1").alias("b"), F.col("worded").alias("also"), F.col("units").alias("y"),
+                               F.col("f").alias("fb")), "b")
             .filter("worded = also"))
-    ordered = both.select("a", "b", "worded", F.when(F.size(x) >= F.size(y), x).otherwise(y).alias("x"),
+    ordered = both.select("a", "b", "fa", "fb", "worded", F.when(F.size(x) >= F.size(y), x).otherwise(y).alias("x"),
                           F.when(F.size(x) >= F.size(y), y).otherwise(x).alias("y"))
-    return ordered.filter(within(x, y, edits, allowed(F.size(y), F.col("worded"), edits))).select("a", "b")
-
-
-def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int, wide: int | None = None) -> DataFrame:
-    """Pairs (a, b) of hashes of near lines, each pair once: for every line that has an earlier near one, one at least.
+    return ordered.filter(within(x, y, edits, allowed(F.size(y), F.col("worded"), edits))).select("a", "b", "fa", "fb")
+
+
+def _compared(edits: int) -> Column:
+    """Lines of two blocks against each other: for each line of either, how many of the other are near, and whether an
+    earlier one is. A pair counts under the first list that its lines share, and not at all if they share a short one."""
+    def cell(a: Column, b: Column) -> Column:
+        # Places where nothing fits are nulls among the keys sought.
+        shared = F.array_min(F.array_intersect(a["probing"], b["long"])) == F.col("key")
+        near = ((F.bit_count(a["p"].bitwiseXOR(b["p"])) <= 2 * edits) & _ahead(a["m"], a["h1"], b["m"], b["h1"])
+                & (a["worded"] == b["worded"]) & shared & ~F.coalesce(F.arrays_overlap(a["probing"], b["short"]), F.lit(False))
+                & within(a["units"], b["units"], edits, allowed(b["m"], b["worded"], edits)))
+        return F.when(near, F.when(b["f"] < a["f"], 1).otherwise(2)).otherwise(0)
+
+    return F.transform("seekers", lambda a: F.transform("members", lambda b: cell(a, b)))
+
+
+def _ahead(m: Column, h1: Column, other_m: Column, other_h1: Column) -> Column:
+    """Of two lines one seeks the other: the longer one, of equally long ones that of the smaller hash."""
+    return (m > other_m) | ((m == other_m) & (h1 < other_h1))
+
+
+def _long_links(held: DataFrame, seeking: DataFrame, found: DataFrame, edits: int, block: int) -> DataFrame:
+    """h1, near, links of the lines of long lists. Lists are cut into blocks of about ``block`` lines, and each block of
+    seekers meets each block of members in a row of its own: pairs are compared inside that row and only counted."""
+    n = partitions(held.sparkSession)
+    size = lambda df, n: df.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(n))
+    sizes = size(held, "nb").join(size(seeking, "na"), "key")
+    members = held.groupBy("h1").agg(F.collect_set("key").alias("long"))
+
+    def blocks(rows: DataFrame, name: str, own: str, other: str, line: Column) -> DataFrame:
+        part = F.pmod(F.hash("h1"), F.col(own)).alias(own[1] + "_block")
+        dealt = (rows.join(sizes, "key").groupBy("key", part, other).agg(F.collect_list(line).alias(name))
+                 .withColumn("ab"[own == "na"] + "_block", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop(other))
+        # Small rows, long work: a stated number, so that they are not put together by their bytes.
+        return dealt.repartition(n, "key", "a_block", "b_block")
+
+    by_member = blocks(held.join(members, "h1").join(found, "h1"), "members", "nb", "na", F.struct(
+        "h1", "f", "p", "m", "worded", "units", "long", F.array_except("indexed", "long").alias("short")))
+    by_seeker = blocks(seeking.join(found, "h1"), "seekers", "na", "nb", F.struct(
+        "h1", "f", "p", "m", "worded", "units", "probing"))
+    met = by_seeker.join(by_member, ["key", "a_block", "b_block"]).select("seekers", "members", _compared(edits).alias("cells"))
+    ones = F.transform("seekers", lambda a, i: F.struct(
+        a["h1"].alias("h1"), F.exists(F.get("cells", i), lambda c: c == 1).alias("near"),
+        F.size(F.filter(F.get("cells", i), lambda c: c > 0)).cast("long").alias("links")))
+    others = F.transform("members", lambda b, j: F.struct(
+        b["h1"].alias("h1"), F.exists("cells", lambda row: F.get(row, j) == 2).alias("near"),
+        F.size(F.filter("cells", lambda row: F.get(row, j) > 0)).cast("long").alias("links")))
+    return met.select(F.explode(F.filter(F.concat(ones, others), lambda x: x["links"] > 0)).alias("x")).select("x.*")
+
+
+def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int, wide: int | None = None,
+               block: int | None = None) -> DataFrame:
+    """h1, near (an earlier line is near), links (near lines, all of them) of every line that has a near one.
 
     ``distinct`` has each line once with its keys and where it occurs first, from which the texts of candidates are
-    read. Under a key with ``wide`` (``WIDE``) indexed lines or fewer, all pairs are compared. Under any other, every line is first
-    compared with two hubs, the earliest line of the list and the one that occurs most often; a line that is near an
-    earlier hub is settled and seeks no more. Only the others go on to the rest of their lists, so
-    pairs grow with the lines of a group of near copies, not with their square.
+    read. Under a key with ``wide`` (``WIDE``) indexed lines or fewer, candidates are pairs in rows of their own. Longer lists are
+    compared block by block (``BLOCK``) and only counts leave a block, so that rows stay few where thousands of lines are near each other.
     """
-    wide = WIDE if wide is None else wide
+    wide, block = WIDE if wide is None else wide, block or BLOCK
     kept = distinct.filter("size(indexed) > 0")
-    side = lambda keys, h: kept.select(F.explode(keys).alias("key"), F.col("h1").alias(h), F.col("p").alias(f"p{h}"),
-                                       F.col("f").alias(f"f{h}"), F.col("n").alias(f"n{h}")).filter("key is not null")
-    indexed, probing = side("indexed", "b"), side("probing", "a")
+    side = lambda keys: kept.select(F.explode(keys).alias("key"), "h1", "p", "m").filter("key is not null")
+    indexed, probing = side("indexed"), side("probing")
     lists = indexed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    close = (F.col("a") != F.col("b")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits)
-    pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    short = indexed.select("key", "b", "pb").join(lists.filter(F.col("members") <= wide), "key")
-    pairs = stored(probing.select("key", "a", "pa").join(short, "key").filter(close).select(*pair).distinct(), "pairs")
+    close = (_ahead(F.col("ma"), F.col("a"), F.col("m"), F.col("h1"))
+             & (F.bit_count(F.col("pa").bitwiseXOR(F.col("p"))) <= 2 * edits))
+    short = indexed.join(lists.filter(F.col("members") <= wide).select("key"), "key")
+    pairs = stored(probing.select("key", F.col("h1").alias("a"), F.col("p").alias("pa"), F.col("m").alias("ma"))
+                   .join(short, "key").filter(close).select("a", F.col("h1").alias("b")).distinct(), "pairs")
     long_keys = stored(lists.filter(F.col("members") > wide).select("key"), "long-keys")
-    held = stored(indexed.join(long_keys, "key"), "long-lists")
-    seeking = stored(probing.join(long_keys, "key"), "seekers")
+    in_long = lambda keys: kept.select(F.explode(keys).alias("key"), "h1").join(long_keys, "key").distinct()
+    held, seeking = stored(in_long("indexed"), "long-lists"), stored(in_long("probing"), "seekers")
+    with_long = held.select("h1").unionByName(seeking.select("h1")).distinct()
+    keyed = stored(kept.join(with_long, "h1").select("h1", "p", "m", "indexed", "probing"), "long-lines")
 
     wanted = (pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1")))
-              .unionByName(held.select(F.col("b").alias("h1"))).unionByName(seeking.select(F.col("a").alias("h1"))).distinct())
+              .unionByName(keyed.select("h1")).distinct())
     at = kept.select("h1", "f").join(wanted, "h1").select("h1", "f.doc_id", "f.line_no")
     # Texts travel whole, a row a document, and only those that hold a candidate are split; written as units, so that the
     # fold below reads columns.
     by_doc = at.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1")).alias("wanted"))
     held_lines = docs.select(ordered_id().alias("doc_id"), "text").join(by_doc, "doc_id").select(
-        "wanted", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1).alias("lines"))
-    read = held_lines.select(F.explode(F.transform("wanted", lambda w: F.struct(
-        w["h1"].alias("h1"), F.get(F.col("lines"), w["line_no"]).alias("line")))).alias("x")).select("x.h1", "x.line")
+        "doc_id", "wanted", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1).alias("lines"))
+    read = held_lines.select("doc_id", F.explode(F.transform("wanted", lambda w: F.struct(
+        w["h1"].alias("h1"), w["line_no"].alias("line_no"), F.get(F.col("lines"), w["line_no"]).alias("line")))).alias("x")).select(
+            "x.h1", F.struct("doc_id", "x.line_no").alias("f"), "x.line")
     texts = stored(read.filter(F.xxhash64(_words(F.col("line"))) == F.col("h1"))  # rows may share a doc_id
-                   .dropDuplicates(["h1"]).select("h1", _words(F.col("line")).alias("words"))
-                   .select("h1", (F.size("words") >= min_words).alias("worded"), _units(min_words).alias("units")), "texts")
-
-    hubs = held.groupBy("key").agg(F.min(F.struct("fb", "b", "pb")).alias("early"),
-                                   F.max(F.struct("nb", "b", "pb", "fb")).alias("often"))
-    hubs = hubs.select("key", F.explode(F.array(*[F.struct(F.col(f"{x}.b").alias("b"), F.col(f"{x}.pb").alias("pb"))
-                                                  for x in ("early", "often")])).alias("hub")).select("key", "hub.*")
-    tried = seeking.join(hubs, "key").filter(close).select(*pair).distinct()
-    near = stored(_verified(pairs.unionByName(tried).distinct(), texts, edits), "near-pairs")
-    order = kept.select("h1", "f")
-    later = (near.join(order.select(F.col("h1").alias("a"), F.col("f").alias("fa")), "a")
-             .join(order.select(F.col("h1").alias("b"), F.col("f").alias("fb")), "b")
-             .select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("h1")).distinct())
-    settled = stored(later, "settled")
-    open_seekers = seeking.join(settled.withColumnRenamed("h1", "a"), "a", "left_anti")
-    open_held = held.join(settled.withColumnRenamed("h1", "b"), "b", "left_anti")
-    rest = (open_seekers.join(held, "key").filter(close & (F.col("fb") < F.col("fa"))).select(*pair)
-            .unionByName(seeking.join(open_held, "key").filter(close & (F.col("fa") < F.col("fb"))).select(*pair))
-            .distinct().join(near, ["a", "b"], "left_anti"))
-    return near.unionByName(_verified(rest, texts, edits))
+                   .dropDuplicates(["h1"]).select("h1", "f", _words(F.col("line")).alias("words"))
+                   .select("h1", "f", (F.size("words") >= min_words).alias("worded"), _units(min_words).alias("units")), "texts")
+
+    sides = _verified(pairs, texts, edits)
+    one = F.lit(1).cast("long").alias("links")
+    ends = sides.select(F.explode(F.array(F.struct(F.col("a").alias("h1"), (F.col("fa") > F.col("fb")).alias("near"), one),
+                                          F.struct(F.col("b").alias("h1"), (F.col("fb") > F.col("fa")).alias("near"), one))).alias("x"))
+    return ends.select("x.*").unionByName(_long_links(held, seeking, keyed.join(texts, "h1"), edits, block)).groupBy("h1").agg(
+        F.max("near").alias("near"), F.sum("links").alias("links"))
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS,
                   min_exact: int = MIN_EXACT) -> DataFrame:
-    """doc_id (null as the greatest long), removed (line numbers), n_near (removed for a near copy), n_links (near lines found)."""
+    """doc_id (null as the greatest long), removed (line numbers), n_near (removed for a near copy), n_links (near lines), of
+    the documents that have a line which occurs again or is near another."""
     # Parsed and hashed once, for all uses below.
     found = stored(lines(docs, min_exact).select(
         "doc_id", "line_no", "h1", "h2", (F.col("n") >= min_words).alias("worded"), _units(min_words).alias("units"))
         # Each unit is hashed once; keys and parities are made of the hashes.
         .select("*", F.size("units").alias("m"), F.transform("units", lambda u: F.hash(u)).alias("codes")).select(
-            "doc_id", "line_no", "h1", "h2", index_keys(edits).alias("indexed"),
+            "doc_id", "line_no", "h1", "h2", "m", index_keys(edits).alias("indexed"),
             probe_keys(edits).alias("probing"), parity().alias("parity")), "lines")
     # Equal lines are one: their keys are equal too. With the place as one number the aggregation needs no sort.
     place = F.col("doc_id").cast("decimal(19,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col("line_no")
-    by_line = found.groupBy("h1", "h2", "indexed", "probing", F.col("parity").alias("p")).agg(
+    by_line = found.groupBy("h1", "h2", "m", "indexed", "probing", F.col("parity").alias("p")).agg(
         F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
     line_no = F.expr(f"pmod(place, {LINES}BD)")
     distinct = stored(by_line.select(
-        "h1", "h2", "indexed", "probing", "p", F.struct(
+        "h1", "h2", "m", "indexed", "probing", "p", F.struct(
             F.expr(f"(place - pmod(place, {LINES}BD)) div {LINES}BD").alias("doc_id"),
             line_no.cast("int").alias("line_no")).alias("f"), "n"), "distinct-lines")
-    links = stored(near_links(distinct, docs, edits, min_words), "links")
-    first = distinct.select("h1", "h2", F.col("f").alias("first"))
-    places = first.select("h1", "first")
-    sides = (links.join(places.withColumnsRenamed({"h1": "a", "first": "fa"}), "a")
-             .join(places.withColumnsRenamed({"h1": "b", "first": "fb"}), "b"))
-    later = F.explode(F.array(F.struct(F.col("a").alias("h1"), (F.col("fa") > F.col("fb")).alias("later")),
-                              F.struct(F.col("b").alias("h1"), (F.col("fb") > F.col("fa")).alias("later"))))
-    near = sides.select(later.alias("x")).groupBy("x.h1").agg(
-        F.max("x.later").alias("near"), F.count(F.lit(1)).alias("links"))
-    flagged = first.join(near, "h1", "left")
+    near = near_links(distinct, docs, edits, min_words)
+    first = distinct.select("h1", "h2", F.col("f").alias("first"), "n")
+    flagged = first.join(near, "h1", "left").filter("n > 1 or links > 0").drop("n")  # all others stay, without a link
     is_first = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no"))
     is_near = F.coalesce("near", F.lit(False))
     return (found.select("doc_id", "line_no", "h1", "h2").join(flagged, ["h1", "h2"])
