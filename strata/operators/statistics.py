@@ -9,7 +9,7 @@ nothing was kept, on the table when it is asked for.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 from typing import Sequence
 
@@ -65,6 +65,24 @@ def measure_parts(df: DataFrame, shape: Shape, part: Column | None = None) -> di
     return found
 
 
+def without(shape: Shape, surplus: dict[tuple[str, ...], int]) -> Shape:
+    """The shape less the keys whose surplus is known: what is left to measure."""
+    return replace(shape, keys=tuple(k for k in shape.keys if k not in surplus))
+
+
+def add_counted(parts: dict[str, dict] | None, surplus: dict[tuple[str, ...], int]) -> dict[str, dict] | None:
+    """Distinct counts from ``surplus`` (rows beyond the first of their key, where a check has counted them on these rows).
+
+    They are a part's rows less its surplus: that of the one part, or none in any part.
+    """
+    for key, extra in surplus.items():
+        if extra and len(parts or {}) > 1:
+            raise ValueError(f"a surplus of {_name(key)} over several parts belongs to none of them")
+        for kept in (parts or {}).values():
+            kept["distinct"][_name(key)] = sum(g[1] for g in kept["groups"]) - extra
+    return parts
+
+
 def measure_whole(df: DataFrame, shape: Shape) -> dict[str, int]:
     """Distinct counts that do not add up over parts."""
     return {_name(k): df.agg(_distinct(k)).first()[0] for k in shape.keys if shape.cut and not shape.additive(k)}

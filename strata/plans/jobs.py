@@ -99,10 +99,18 @@ def stage_measured(df: DataFrame, measures: Sequence[Column], dest: str) -> tupl
 SHAPES = {t.called: t.shape for name, t in R.TABLES.items() if not name.startswith("bronze.")}
 
 
-def kept_facts(table: str, df: DataFrame) -> dict:
-    """Statistics of a table of one part, as facts of its version."""
-    parts = ST.measure_parts(df, SHAPES[table])
-    return {} if parts is None else ST.facts(SHAPES[table], {"": parts.get("", {"groups": [], "distinct": {}})})
+def counted_surplus(results: Sequence, table: str, shape: ST.Shape) -> dict[tuple[str, ...], int]:
+    """Rows beyond the first of their key, by key, where the uniqueness check of a table has counted them."""
+    counted = {r["check"]: r["affected_rows"] for r in results if r["table_name"] == table}
+    return {k: counted[name] for k in shape.keys if (name := f"unique_{'_'.join(k)}") in counted}
+
+
+def kept_facts(table: str, df: DataFrame, results: Sequence = ()) -> dict:
+    """Statistics of a table of one part, as facts of its version; ``results`` are those of the checks of these rows."""
+    shape = SHAPES[table]
+    known = counted_surplus(results, table, shape)
+    parts = ST.add_counted(ST.measure_parts(df, ST.without(shape, known)), known)
+    return {} if parts is None else ST.facts(shape, {"": parts.get("", {"groups": [], "distinct": {}})})
 
 
 def kept_statistics(spark: SparkSession, silver_root: str, gold_root: str | None) -> dict[str, ST.Statistics]:
@@ -122,9 +130,9 @@ def publish_checked(df: DataFrame, checks: Callable[[DataFrame], list[C.Check]],
     spark = df.sparkSession
     staged, values = stage_measured(df, C.row_measures(checks(df), df), dest)
     try:
-        written = io.read_table(spark, staged)
+        written, before = io.read_table(spark, staged), len(collected)
         judge(checks(written), context, collected, severities, (written, values))
-        io.switch(spark, staged, dest, df.schema, kept_facts(context, written))
+        io.switch(spark, staged, dest, df.schema, kept_facts(context, written, collected[before:]))
     except BaseException:
         io.discard(spark, staged)
         raise
@@ -318,12 +326,15 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str, export_roo
             judge([*U.gold_contract(gold, staging), *U.gold_tests(gold, staging, valid_sale_statuses),
                    C.not_empty("gold_not_empty", GOLD_TABLE, C.row_count(gold))], GOLD_TABLE, collected, severities)
             shape = SHAPES[GOLD_TABLE]
+            # No key twice in all of Gold: none in any part either, so a part has as many keys as rows.
+            single = any(r["check"] == f"grain_{'_'.join(GOLD_KEYS)}" and r["affected_rows"] == 0 for r in collected)
             told = (last.facts.get("statistics") or {}) if last else {}
             old = told["parts"] if told.get("shape") == ST.said(shape) else {}
             # Kept months were measured when they were built.
             unknown = {m: p for m, p in parts.items() if m not in kept or m not in old}
             fresh = T.frame(spark, dest, T.Version(0, unknown, schema))
-            measured = ST.measure_parts(fresh, shape, month) if unknown else {}
+            known = {tuple(GOLD_KEYS): 0} if single else {}
+            measured = ST.add_counted(ST.measure_parts(fresh, ST.without(shape, known), month), known) if unknown else {}
             statistics = {m: measured[m] if m in unknown else old[m] for m in parts}
             T.commit(spark, dest, parts, schema, {"months": months, "rule": GOLD_RULE, "rebuilt": todo,
                                                   **ST.facts(shape, statistics, ST.measure_whole(gold, shape))},
