@@ -158,15 +158,14 @@ def within(longer: Column, shorter: Column, edits: int, most: Column | None = No
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """Of distinct pairs (a, b) of hashes, those whose lines are near; with fa and fb, where the lines occur first."""
+    """Of distinct pairs (a, b) of hashes, a of as many units as b or more, those whose lines are near; with fa and fb,
+    where the lines occur first."""
     x, y = F.col("x"), F.col("y")
     both = (pairs.join(texts.select(F.col("h1").alias("a"), "worded", F.col("units").alias("x"), F.col("f").alias("fa")), "a")
             .join(texts.select(F.col("h1").alias("b"), F.col("worded").alias("also"), F.col("units").alias("y"),
                                F.col("f").alias("fb")), "b")
             .filter("worded = also"))
-    ordered = both.select("a", "b", "fa", "fb", "worded", F.when(F.size(x) >= F.size(y), x).otherwise(y).alias("x"),
-                          F.when(F.size(x) >= F.size(y), y).otherwise(x).alias("y"))
-    return ordered.filter(within(x, y, edits, allowed(F.size(y), F.col("worded"), edits))).select("a", "b", "fa", "fb")
+    return both.filter(within(x, y, edits, allowed(F.size(y), F.col("worded"), edits))).select("a", "b", "fa", "fb")
 
 
 def _compared(edits: int) -> Column:
