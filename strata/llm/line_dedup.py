@@ -25,6 +25,8 @@ are ordered by text, rows without one come last; other columns are kept as they
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,10 @@ def _split_lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    """The line's words; one kind of space first, so that the split needs no pattern."""
-    return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " ", -1), "")
+    """The line's words; one kind of space first, so that the split needs no pattern. Few lines hold another kind."""
+    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c")) | F.contains(line, F.lit("\r"))
+    spaced = F.when(other, F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+    return F.array_remove(F.split(spaced, " ", -1), "")
 
 
 def lines(docs: DataFrame, min_exact: int = MIN_EXACT) -> DataFrame:
@@ -94,23 +98,34 @@ def probe_keys(edits: int) -> Column:
     segments before it are the ones hit first; that bounds its shift from both sides. Places where no such line
     fits hold null: taking them out here, by a lambda, would leave all keys to evaluation without generated code.
     """
-    keys = []
-    for fewer in range(edits + 1):
+    def keys_of(every: range, keep: Callable[[Column, Column, int, int], Column]) -> list[Column]:
+        keys = []
+        for fewer in range(edits + 1):
+            length = F.col("m") - fewer
+            for e in every:
+                for i in range(e + 1):
+                    start, size = _segment(length, i, e + 1)
+                    for shift in range(max(-i, fewer - (e - i)), min(i, fewer + e - i) + 1):
+                        if fewer <= e:
+                            keys.append(keep(_key(e, i, length, start + shift, size), start + shift, fewer, e))
+        return keys
+
+    def fits(key: Column, start: Column, fewer: int, e: int) -> Column:
         length = F.col("m") - fewer
-        may = allowed(length, F.col("worded"), edits)
-        for e in range(max(1, fewer), edits + 1):
-            for i in range(e + 1):
-                start, size = _segment(length, i, e + 1)
-                for shift in range(max(-i, fewer - (e - i)), min(i, fewer + e - i) + 1):
-                    keys.append(F.when((may == e) & (length > 0) & (start + shift >= 0),
-                                       _key(e, i, length, start + shift, size)))
-    return F.array(*keys) if keys else F.array().cast("array<int>")
+        return F.when((allowed(length, F.col("worded"), edits) == e) & (length > 0) & (start >= 0), key)
+
+    if not edits:
+        return F.array().cast("array<int>")
+    # Most lines may differ by all edits whatever the length sought, and every place fits: nothing is asked of a key there.
+    plain = F.array(*keys_of(range(edits, edits + 1), lambda key, start, fewer, e: key))
+    return F.when(F.col("m") >= (PER_EDIT + 1) * edits, plain).otherwise(F.array(*keys_of(range(1, edits + 1), fits)))
 
 
 def parity() -> Column:
-    """31 parities of the line's units by hash, as a number that is not negative."""
+    """31 parities of the line's units by hash, as a number that is not negative; a 32nd is left out."""
+    # A shift takes the last five bits of the hash.
     return F.aggregate("codes", F.lit(0), lambda s, code: s.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1), F.pmod(code, F.lit(31)))))
+        F.call_function("shiftleft", F.lit(1), code))).bitwiseAND(F.lit(2**31 - 1))
 
 
 def within(longer: Column, shorter: Column, edits: int, most: Column | None = None) -> Column:
@@ -154,7 +169,11 @@ def within(longer: Column, shorter: Column, edits: int, most: Column | None = No
 
         return F.element_at(F.transform(F.array(F.struct(vp.alias("vp"), vn.alias("vn"), d0.alias("d0"))), rest), 1)
 
-    return (extra <= edits) & (F.aggregate(masks, state, column, lambda s: s["d"]) <= (edits if most is None else most))
+    most = F.lit(edits) if most is None else most
+    # Lines as long as each other mostly differ by replaced units alone; counting those is far cheaper than the fold.
+    replaced = F.size(F.filter(F.zip_with(longer, shorter, lambda a, b: a != b), lambda other: other))
+    return (extra <= edits) & (((extra == 0) & (replaced <= most))
+                               | (F.aggregate(masks, state, column, lambda s: s["d"]) <= most))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
@@ -233,7 +252,7 @@ def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int,
              & (F.bit_count(F.col("pa").bitwiseXOR(F.col("p"))) <= 2 * edits))
     short = indexed.join(lists.filter(F.col("members") <= wide).select("key"), "key")
     pairs = stored(probing.select("key", F.col("h1").alias("a"), F.col("p").alias("pa"), F.col("m").alias("ma"))
-                   .join(short, "key").filter(close).select("a", F.col("h1").alias("b")).distinct(), "pairs")
+                   .join(short.hint("shuffle_hash"), "key").filter(close).select("a", F.col("h1").alias("b")).distinct(), "pairs")
     long_keys = stored(lists.filter(F.col("members") > wide).select("key"), "long-keys")
     in_long = lambda keys: kept.select(F.explode(keys).alias("key"), "h1").join(long_keys, "key").distinct()
     held, seeking = stored(in_long("indexed"), "long-lists"), stored(in_long("probing"), "seekers")
@@ -259,7 +278,10 @@ def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int,
     one = F.lit(1).cast("long").alias("links")
     ends = sides.select(F.explode(F.array(F.struct(F.col("a").alias("h1"), (F.col("fa") > F.col("fb")).alias("near"), one),
                                           F.struct(F.col("b").alias("h1"), (F.col("fb") > F.col("fa")).alias("near"), one))).alias("x"))
-    return ends.select("x.*").unionByName(_long_links(held, seeking, keyed.join(texts, "h1"), edits, block)).groupBy("h1").agg(
+    # Written one after the other: as one plan, all their stages are planned and compiled on the driver at once.
+    by_pair = stored(ends.select("x.*"), "pair-links")
+    by_block = stored(_long_links(held, seeking, keyed.join(texts, "h1"), edits, block), "long-links")
+    return by_pair.unionByName(by_block).groupBy("h1").agg(
         F.max("near").alias("near"), F.sum("links").alias("links"))
 
 
@@ -283,7 +305,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORD
         "h1", "h2", "m", "indexed", "probing", "p", F.struct(
             F.expr(f"(place - pmod(place, {LINES}BD)) div {LINES}BD").alias("doc_id"),
             line_no.cast("int").alias("line_no")).alias("f"), "n"), "distinct-lines")
-    near = near_links(distinct, docs, edits, min_words)
+    near = stored(near_links(distinct, docs, edits, min_words), "near-lines")
     first = distinct.select("h1", "h2", F.col("f").alias("first"), "n")
     flagged = first.join(near, "h1", "left").filter("n > 1 or links > 0").drop("n")  # all others stay, without a link
     is_first = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no"))
