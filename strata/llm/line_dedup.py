@@ -17,7 +17,8 @@ judged on the input.
    unit parities: an edit changes at most two of 31, so other pairs are not even emitted.
 3. Lists of many lines are compared block by block, and only each line's count of near ones leaves a block (``near_links``).
 4. Pairs are verified by banded bit-parallel edit distance: a band of ``2 * edits + 1`` diagonals
-   is one integer of vertical differences, updated once a unit by a fold.
+   is one integer of vertical differences, updated once a unit by a fold. Units that both lines begin or end
+   with go first: they cost nothing in any cheapest way from one line to the other.
 
 Defined results: null text is one empty line; each row is a document of its own: rows that share a doc_id
 are ordered by text, rows without one come last; other columns are kept as they are, whatever their names.
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from strata.llm.shared import identified, ordered_id, partitions, stored
 
 EDITS, MIN_WORDS, MIN_EXACT, PER_EDIT, WIDE, BLOCK = 2, 8, 1, 8, 16, 256
+#: Indexed keys of one partition that are held as a hash table, at about 100 bytes each; of more, they are sorted.
+HASHED = 1 << 18
 #: More than a text can have lines.
 LINES = 1 << 31
 
@@ -128,8 +131,21 @@ def parity() -> Column:
         F.call_function("shiftleft", F.lit(1), code))).bitwiseAND(F.lit(2**31 - 1))
 
 
-def within(longer: Column, shorter: Column, edits: int, most: Column | None = None) -> Column:
-    """Whether two unit arrays, the first at least as long, are within ``edits`` edits, and within ``most`` if given.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _cut(longer: Column, shorter: Column) -> Column:
+    """The two arrays, as a and b, without the units that both begin with."""
+    same = F.zip_with(longer, shorter, lambda a, b: a.eqNullSafe(b))
+    first = F.array_position(same, F.lit(False)).cast("int")  # 0: the arrays are equal
+    rest = lambda units: F.slice(units, F.greatest(first, F.lit(1)), F.when(first == 0, 0).otherwise(F.size(units)))
+    return F.struct(rest(longer).alias("a"), rest(shorter).alias("b"))
+
+
+def _distance(longer: Column, shorter: Column, edits: int) -> Column:
+    """Edits between two unit arrays, the first at least as long and longer by ``edits`` at most; above ``edits``, only that.
 
     Column j of the edit matrix is seen at rows j - edits .. j + edits (bit 0 the topmost). ``vp`` and ``vn``
     hold where the value rises or falls to the next row; rows above the matrix fall towards
@@ -169,11 +185,18 @@ def within(longer: Column, shorter: Column, edits: int, most: Column | None = No
 
         return F.element_at(F.transform(F.array(F.struct(vp.alias("vp"), vn.alias("vn"), d0.alias("d0"))), rest), 1)
 
+    return F.aggregate(masks, state, column, lambda s: s["d"])
+
+
+def within(longer: Column, shorter: Column, edits: int, most: Column | None = None) -> Column:
+    """Whether two unit arrays, the first at least as long, are within ``edits`` edits, and within ``most`` if given."""
+    extra = F.size(longer) - F.size(shorter)
     most = F.lit(edits) if most is None else most
     # Lines as long as each other mostly differ by replaced units alone; counting those is far cheaper than the fold.
     replaced = F.size(F.filter(F.zip_with(longer, shorter, lambda a, b: a != b), lambda other: other))
-    return (extra <= edits) & (((extra == 0) & (replaced <= most))
-                               | (F.aggregate(masks, state, column, lambda s: s["d"]) <= most))
+    unequal = lambda a, b: _let(_cut(a, b), lambda t: _let(
+        _cut(F.reverse(t["a"]), F.reverse(t["b"])), lambda u: _distance(u["a"], u["b"], edits)))
+    return (extra <= edits) & (((extra == 0) & (replaced <= most)) | (unequal(longer, shorter) <= most))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
@@ -251,6 +274,9 @@ def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int,
     close = (_ahead(F.col("ma"), F.col("a"), F.col("m"), F.col("h1"))
              & (F.bit_count(F.col("pa").bitwiseXOR(F.col("p"))) <= 2 * edits))
     short = indexed.join(lists.filter(F.col("members") <= wide).select("key"), "key")
+    # A hash table cannot spill, but its size is known here: a key of a short list has few rows, so that keys fall evenly.
+    if distinct.count() * (edits + 1) <= HASHED * partitions(distinct.sparkSession):
+        short = short.hint("shuffle_hash")
     pairs = stored(probing.select("key", F.col("h1").alias("a"), F.col("p").alias("pa"), F.col("m").alias("ma"))
                    .join(short, "key").filter(close).select("a", F.col("h1").alias("b")).distinct(), "pairs")
     long_keys = stored(lists.filter(F.col("members") > wide).select("key"), "long-keys")
@@ -285,6 +311,20 @@ def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int,
         F.max("near").alias("near"), F.sum("links").alias("links"))
 
 
+def _places(low: int | None, high: int | None) -> tuple[Column, Column]:
+    """A line's place as one number, for doc_ids from ``low`` to ``high``, and doc_id and line_no of the number ``place``.
+
+    It is a long where every place fits one, else a decimal, which is far slower to add and compare.
+    """
+    if low is None or (low >= -2**32 and high < 2**32):
+        return F.col("doc_id") * F.lit(LINES) + F.col("line_no"), F.struct(
+            F.shiftright("place", 31).alias("doc_id"),
+            F.col("place").bitwiseAND(F.lit(LINES - 1)).cast("int").alias("line_no"))
+    rest = F.expr(f"pmod(place, {LINES}BD)")
+    return F.col("doc_id").cast("decimal(19,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col("line_no"), F.struct(
+        F.expr(f"(place - pmod(place, {LINES}BD)) div {LINES}BD").alias("doc_id"), rest.cast("int").alias("line_no"))
+
+
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS,
                   min_exact: int = MIN_EXACT) -> DataFrame:
     """doc_id (null as the greatest long), removed (line numbers), n_near (removed for a near copy), n_links (near lines), of
@@ -297,14 +337,11 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORD
             "doc_id", "line_no", "h1", "h2", "m", index_keys(edits).alias("indexed"),
             probe_keys(edits).alias("probing"), parity().alias("parity")), "lines")
     # Equal lines are one: their keys are equal too. With the place as one number the aggregation needs no sort.
-    place = F.col("doc_id").cast("decimal(19,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col("line_no")
+    place, first_place = _places(*found.agg(F.min("doc_id"), F.max("doc_id")).first())
     by_line = found.groupBy("h1", "h2", "m", "indexed", "probing", F.col("parity").alias("p")).agg(
         F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
-    line_no = F.expr(f"pmod(place, {LINES}BD)")
     distinct = stored(by_line.select(
-        "h1", "h2", "m", "indexed", "probing", "p", F.struct(
-            F.expr(f"(place - pmod(place, {LINES}BD)) div {LINES}BD").alias("doc_id"),
-            line_no.cast("int").alias("line_no")).alias("f"), "n"), "distinct-lines")
+        "h1", "h2", "m", "indexed", "probing", "p", first_place.alias("f"), "n"), "distinct-lines")
     near = stored(near_links(distinct, docs, edits, min_words), "near-lines")
     first = distinct.select("h1", "h2", F.col("f").alias("first"), "n")
     flagged = first.join(near, "h1", "left").filter("n > 1 or links > 0").drop("n")  # all others stay, without a link
@@ -337,7 +374,9 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_words: int = MIN_WORDS,
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed, n_near, n_links, removed: a row for each document."""
-    n_lines = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)).cast("long")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # A line more than there are line breaks: far cheaper than splitting every text again.
+    n_lines = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
     docs = identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     rows = docs.select("__id", "doc_id", n_lines.alias("n_lines"))
     found = removed_lines(docs.select(F.col("__id").alias("doc_id"), "text")).withColumnRenamed("doc_id", "__id")
