@@ -268,18 +268,22 @@ def near_links(distinct: DataFrame, docs: DataFrame, edits: int, min_words: int,
     """
     wide, block = WIDE if wide is None else wide, block or BLOCK
     kept = distinct.filter("size(indexed) > 0")
-    side = lambda keys: kept.select(F.explode(keys).alias("key"), "h1", "p", "m").filter("key is not null")
-    indexed, probing = side("indexed"), side("probing")
-    lists = indexed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    close = (_ahead(F.col("ma"), F.col("a"), F.col("m"), F.col("h1"))
-             & (F.bit_count(F.col("pa").bitwiseXOR(F.col("p"))) <= 2 * edits))
-    short = indexed.join(lists.filter(F.col("members") <= wide).select("key"), "key")
+    # Parities and length in one number: there are many keys, and every column of theirs is shuffled.
+    shape = F.shiftleft(F.col("m").cast("long"), 31).bitwiseOR(F.col("p").cast("long"))
+    side = lambda keys, h1, pm: kept.select(F.explode(keys).alias("key"), F.col("h1").alias(h1), shape.alias(pm)).filter(
+        "key is not null")
+    indexed, probing = side("indexed", "b", "pb"), side("probing", "a", "pa")
+    length = lambda pm: F.shiftright(pm, 31)
+    parities = F.col("pa").bitwiseXOR(F.col("pb")).bitwiseAND(F.lit(2**31 - 1))
+    close = _ahead(length("pa"), F.col("a"), length("pb"), F.col("b")) & (F.bit_count(parities) <= 2 * edits)
+    # Lists are counted once; long ones are few, so that the others are all but those.
+    long_keys = stored(indexed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+                       .filter(F.col("members") > wide).select("key"), "long-keys")
+    short = indexed.join(long_keys, "key", "left_anti")
     # A hash table cannot spill, but its size is known here: a key of a short list has few rows, so that keys fall evenly.
     if distinct.count() * (edits + 1) <= HASHED * partitions(distinct.sparkSession):
         short = short.hint("shuffle_hash")
-    pairs = stored(probing.select("key", F.col("h1").alias("a"), F.col("p").alias("pa"), F.col("m").alias("ma"))
-                   .join(short, "key").filter(close).select("a", F.col("h1").alias("b")).distinct(), "pairs")
-    long_keys = stored(lists.filter(F.col("members") > wide).select("key"), "long-keys")
+    pairs = stored(probing.join(short, "key").filter(close).select("a", "b").distinct(), "pairs")
     in_long = lambda keys: kept.select(F.explode(keys).alias("key"), "h1").join(long_keys, "key").distinct()
     held, seeking = stored(in_long("indexed"), "long-lists"), stored(in_long("probing"), "seekers")
     with_long = held.select("h1").unionByName(seeking.select("h1")).distinct()
